@@ -1,0 +1,6 @@
+"""Streams need no operators of their own here.
+
+Row-local expressions (``quillon.functions``) and transforms whose values are already fitted run
+unchanged on a streaming DataFrame: fitted values without groups are literals in the plan, and those
+per split are a static table joined to the stream.
+"""
