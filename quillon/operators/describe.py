@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillon.functions import as_double, column, numeric_columns
+from quillon.operators import ranks
 from quillon.operators.params import attach
 from quillon.operators.ranks import exact_quantiles
 
@@ -37,14 +38,17 @@ def summarize_data(
     if groups:
         long = long.dropna(subset=groups)
     keys = [*groups, "column"]
-    moments = long.groupBy(*[column(k) for k in keys]).agg(
+    moments = [
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"),
-    )
-    quartiles = exact_quantiles(long, keys, "value", QUARTILES, QUARTILE_NAMES)
-    return moments.join(quartiles, keys, "left").select(
-        *[column(k) for k in keys], "count", "mean", "std", "min", *QUARTILE_NAMES, "max"
-    )
+    ]
+    grouped = long.groupBy(*[column(k) for k in keys])
+    if df.count() * len(columns) <= ranks.SMALL_ROWS:
+        summary = grouped.agg(*moments, *ranks.small_quantiles("value", QUARTILES, QUARTILE_NAMES))
+    else:
+        quartiles = ranks.exact_quantiles(long, keys, "value", QUARTILES, QUARTILE_NAMES)
+        summary = grouped.agg(*moments).join(quartiles, keys, "left")
+    return summary.select(*[column(k) for k in keys], "count", "mean", "std", "min", *QUARTILE_NAMES, "max")
 
 
 def group_means(df: DataFrame, grouping_vars: Sequence[str], agg_cols: Sequence[str] | None = None) -> DataFrame:
@@ -64,7 +68,8 @@ def value_counts(df: DataFrame, field: str, name: str = "n") -> DataFrame:
 
 def count_per_categorical(df: DataFrame, cat_column: str) -> DataFrame:
     """Summary of how many rows the values of a category have."""
-    return summarize_data(value_counts(df, cat_column, f"obs_per_{cat_column}"))
+    name = f"obs_per_{cat_column}"
+    return summarize_data(value_counts(df, cat_column, name), agg_cols=[name])
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

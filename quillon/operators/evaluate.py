@@ -21,6 +21,7 @@ from quillon.operators.ranks import (
     running_counts,
     values_at_ranks,
 )
+from quillon.session import materialize
 
 TIE_BREAKERS = ("random", "pessimistic", "optimistic")
 # The shares of the test set whose top scores count as positive.
@@ -30,13 +31,16 @@ CURVE_START = 0.01
 
 
 def _scored(scores: DataFrame, by: Sequence[str], score: str, label: str | None, key: str | None = None) -> DataFrame:
-    """Common column names, scores as doubles, labels as 0/1; rows without a score are left out."""
+    """Common column names, scores as doubles, labels as 0/1; rows without a score are left out.
+
+    The steps below read these few columns several times, so they are computed once.
+    """
     columns = [*map(column, by), column(score).cast("double").alias("s")]
     if label is not None:
         columns.append(F.coalesce(column(label).cast("int"), F.lit(0)).alias("pos"))
     if key is not None:
         columns.append(column(key).alias("k"))
-    return scores.select(*columns).dropna(subset=[*by, "s"])
+    return materialize(scores.select(*columns).dropna(subset=[*by, "s"]))
 
 
 def _positives(threshold: float) -> Column:
@@ -141,8 +145,12 @@ def topk_counts(
     For the pessimistic and optimistic policies the number of tied rows of each class decides, so no
     row has to be ranked.
     """
-    by = list(by)
-    scored = _scored(scores, by, score, label, key)
+    return _topk_counts(_scored(scores, by, score, label, key), thresholds, key, tie_breaker, seed, list(by))
+
+
+def _topk_counts(scored, thresholds, key, tie_breaker, seed, by: list[str]) -> DataFrame:
+    if tie_breaker not in TIE_BREAKERS:
+        raise ValueError(f"tie_breaker must be one of {TIE_BREAKERS}")
     cuts, _ = bounded_or_lazy(_cuts(scored, by, thresholds, ["pos"]))
     negatives = F.col("n_equal") - F.col("pos_equal")
     if tie_breaker == "optimistic":
@@ -169,8 +177,11 @@ def topk_counts(
 
 def auc_roc(scores: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """Area under the ROC curve per group, exact with ties; missing when only one class occurs."""
-    by = list(by)
-    counts = running_counts(add_value_bucket(_scored(scores, by, score, label), "s"), by, "s", ["pos"])
+    return _auc(_scored(scores, by, score, label), list(by))
+
+
+def _auc(scored: DataFrame, by: list[str]) -> DataFrame:
+    counts = running_counts(add_value_bucket(scored, "s"), by, "s", ["pos"])
     negatives_below = (F.col("n_below") - F.col("pos_below")).cast("double")
     negatives_equal = (F.col("n_equal") - F.col("pos_equal")).cast("double")
     wins = F.sum(F.col("pos_equal") * (negatives_below + negatives_equal / 2))
@@ -188,9 +199,10 @@ def evaluate_classifier(
     and ``auc_at_last_threshold``, the area when only the classes at the last threshold are known.
     """
     by = list(by)
-    counts = topk_counts(scores, thresholds, score, label, key, tie_breaker, seed, by)
+    scored = _scored(scores, by, score, label, key)
+    counts = _topk_counts(scored, thresholds, key, tie_breaker, seed, by)
     none = F.lit(None).cast("double")
-    auc = auc_roc(scores, score, label, by).select(
+    auc = _auc(scored, by).select(
         *by, none.alias("threshold"), F.lit("auc_roc").alias("metric"), F.col("auc_roc").alias("value"))
     tpr = F.try_divide(F.col("tp").cast("double"), F.col("p").cast("double"))
     fpr = F.try_divide((F.col("predicted") - F.col("tp")).cast("double"), (F.col("n") - F.col("p")).cast("double"))

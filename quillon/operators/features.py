@@ -59,9 +59,9 @@ def bin_number(value: Column, edges: Column, closed: str = "right", open_ended:
 
 def bin_label(number: Column, edges: Column, labels: Sequence[str] | None = None, closed: str = "right") -> Column:
     if labels:
-        return F.when(number.isNotNull(), F.element_at(F.array(*[F.lit(str(x)) for x in labels]), number))
+        return F.when(number.isNotNull(), F.get(F.array(*[F.lit(str(x)) for x in labels]), number - 1))
     left, right = ("(", "]") if closed == "right" else ("[", ")")
-    a, b = edges[number - 1].cast("string"), edges[number].cast("string")
+    a, b = F.get(edges, number - 1).cast("string"), F.get(edges, number).cast("string")
     return F.concat(F.lit(left), a, F.lit(", "), b, F.lit(right))
 
 

@@ -31,9 +31,15 @@ def _as_array(df: DataFrame, name: str) -> Column:
     return column(name).cast("array<double>")
 
 
-def _distance(a: Column, b: Column) -> Column:
-    squares = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
-    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, s: total + s))
+def _distances_to(pivots: np.ndarray):
+    """Distance of each vector to every pivot, a batch of rows at a time."""
+
+    @F.pandas_udf("array<double>")
+    def distances(vectors: pd.Series) -> pd.Series:
+        v = np.stack(vectors.to_numpy())
+        return pd.Series(list(np.sqrt(((v[:, None, :] - pivots[None, :, :]) ** 2).sum(axis=2))))
+
+    return distances
 
 
 class NearestNeighbours:
@@ -48,10 +54,10 @@ class NearestNeighbours:
             column(key).alias("n_key"), _as_array(train, features).alias("n_vec"),
             F.coalesce(column(label).cast("double"), F.lit(0.0)).alias("n_label"))
         first = rows.select("n_vec", F.xxhash64("n_key").alias("h")).orderBy("h").limit(pivots).collect()
-        self.pivots = [list(r.n_vec) for r in first]
-        if not self.pivots:
+        if not first:
             raise ValueError("no training rows")
-        placed = rows.withColumn("d", self._pivot_distances(F.col("n_vec")))
+        self.pivot_distances = _distances_to(np.array([r.n_vec for r in first], dtype=float))
+        placed = rows.withColumn("d", self.pivot_distances("n_vec"))
         placed = placed.withColumn("radius", F.array_min("d")).withColumn(
             "cell", (F.array_position("d", F.col("radius")) - 1).cast("int")).drop("d")
         cells = placed.groupBy("cell").agg(
@@ -65,10 +71,6 @@ class NearestNeighbours:
     def _blocks(self, n: int) -> int:
         return -(-n // self.block_rows)
 
-    def _pivot_distances(self, vector: Column) -> Column:
-        pivots = F.array(*[F.array(*[F.lit(float(v)) for v in p]) for p in self.pivots])
-        return F.transform(pivots, lambda p: _distance(vector, p))
-
     def _per_cell(self, values: dict[int, int]) -> Column:
         return F.create_map(*[F.lit(x) for kv in sorted(values.items()) for x in kv])
 
@@ -78,7 +80,7 @@ class NearestNeighbours:
         Equal distances are ordered by the training key.
         """
         queries = test.select(column(self.key).alias("q_key"), _as_array(test, self.features).alias("q_vec"))
-        queries = queries.withColumn("q_dist", self._pivot_distances(F.col("q_vec")))
+        queries = queries.withColumn("q_dist", self.pivot_distances("q_vec"))
         occupied = F.array(*[F.lit(c) for c in sorted(self.cells)])
         home = F.array_min(F.transform(occupied, lambda c: F.struct(
             F.get(F.col("q_dist"), c).alias("d"), c.alias("cell"))))["cell"]

@@ -1,6 +1,6 @@
 """Exact order statistics and running counts without sorting a whole group in one task.
 
-The values are first cut into about ``BUCKETS`` ranges of similar row count. The cut points are
+The values are first cut into ranges of similar row count, more of them the more rows there are. The cut points are
 approximate quantiles of a sample, as in Spark's own range partitioning, but they are fixed numbers by
 the time the exact plan is built, so they only decide how evenly the work spreads, never the answer. Row counts per (group, bucket) then tell in
 which bucket a wanted rank lies, and only the rows of those buckets are looked at closely. A group
@@ -18,13 +18,19 @@ from pyspark.sql import functions as F
 from quillon.functions import column, quoted
 from quillon.operators.params import bounded_or_lazy
 
-BUCKETS = 1024
 CUT_SAMPLE = 0.01
+# A table counted and found to be no larger than this needs no buckets: one task can hold all of it.
+SMALL_ROWS = 200_000
+ROWS_PER_BUCKET, MIN_BUCKETS, MAX_BUCKETS = 50_000, 8, 4096
 BUCKET = "__bucket"
 
 
-def add_value_bucket(df: DataFrame, value: str, buckets: int = BUCKETS) -> DataFrame:
+def add_value_bucket(df: DataFrame, value: str, rows: int | None = None) -> DataFrame:
     """Append a bucket number that never decreases as ``value`` grows. Rows must have a value."""
+    rows = df.count() if rows is None else rows
+    if rows <= SMALL_ROWS:
+        return df.withColumn(BUCKET, F.lit(0.0))
+    buckets = min(max(rows // ROWS_PER_BUCKET, MIN_BUCKETS), MAX_BUCKETS)
     probabilities = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
     sketch = df.sample(CUT_SAMPLE, seed=7).agg(
         F.expr(f"percentile_approx(double({quoted(value)}), array({probabilities}), {5 * buckets})").alias("edges")
@@ -164,13 +170,19 @@ def interpolate(at_ranks: DataFrame, by: Sequence[str], probabilities: Sequence[
     return at_ranks.groupBy(*by).agg(*columns)
 
 
+def small_quantiles(value: Column | str, probabilities: Sequence[float], names: Sequence[str]) -> list[Column]:
+    """The same quantiles as plain aggregates, for a table known to be small."""
+    found = F.percentile(value, [float(p) for p in probabilities])
+    return [found[i].alias(name) for i, name in enumerate(names)]
+
+
 def exact_quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float], names: Sequence[str],
-    bucketed: bool = False,
+    df: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float], names: Sequence[str]
 ) -> DataFrame:
     """Linearly interpolated quantiles per group: one row per group, one column per probability."""
-    rows = df.select(*by, *([BUCKET] if bucketed else []), column(value).cast("double").alias("v"))
-    rows = rows.dropna(subset=[*by, "v"])
-    if not bucketed:
-        rows = add_value_bucket(rows, "v")
-    return interpolate(values_at_ranks(rows, by, "v", quantile_ranks(probabilities)), by, probabilities, names)
+    numbers = df.select(*by, column(value).cast("double").alias("v")).dropna(subset=[*by, "v"])
+    rows = numbers.count()
+    if rows <= SMALL_ROWS:
+        return numbers.groupBy(*by).agg(*small_quantiles("v", probabilities, names))
+    numbers = add_value_bucket(numbers, "v", rows)
+    return interpolate(values_at_ranks(numbers, by, "v", quantile_ranks(probabilities)), by, probabilities, names)

@@ -624,7 +624,7 @@ def edges_sql(count: int) -> str:
 
 @register(f"""
 WITH {edges_sql(10)}
-SELECT greatest(1, len(list_filter(edges, x -> x < value))) AS value_bin, count(*) AS n, min(value) AS lo, max(value) AS hi
+SELECT greatest(1, len([x for x in edges if x < value])) AS value_bin, count(*) AS n, min(value) AS lo, max(value) AS hi
 FROM events, e GROUP BY 1
 """)
 def quantile_bins(spark, sf_dir):
@@ -656,7 +656,7 @@ def edge_bins_left(spark, sf_dir):
 WITH {PROJECTS_SQL}, {SPLITS_SQL},
 e AS (SELECT split_id, [{', '.join(f'quantile_cont(price, {i / 4}::DOUBLE)' for i in range(5))}] AS edges
       FROM member WHERE role = 'train' GROUP BY 1)
-SELECT split_id, role, 'q' || least(4, greatest(1, len(list_filter(edges, x -> x < price)))) AS price, count(*) AS n
+SELECT split_id, role, 'q' || least(4, greatest(1, len([x for x in edges if x < price]))) AS price, count(*) AS n
 FROM member JOIN e USING (split_id) GROUP BY 1, 2, 3
 """)
 def fitted_bins(spark, sf_dir):
@@ -684,7 +684,7 @@ WITH {GAPS_SQL} SELECT projectid, CAST(coalesce(resource = 'O', false) AS INT) A
   CAST(coalesce(resource = 'P', false) AS INT) AS "resource_P", CAST(resource IS NULL AS INT) AS resource_nan,
   CAST(coalesce(grade = '1-URGENT', false) AS INT) AS "grade_1_URGENT", CAST(coalesce(grade = '2-HIGH', false) AS INT) AS "grade_2_HIGH",
   CAST(coalesce(grade = '3-MEDIUM', false) AS INT) AS "grade_3_MEDIUM",
-  CAST(coalesce(grade = '4-NOT SPEC', false) AS INT) AS "grade_4_NOT_SPEC", CAST(grade IS NULL AS INT) AS grade_nan
+  CAST(coalesce(grade = '4-NOT SPECIFIED', false) AS INT) AS "grade_4_NOT_SPECIFIED", CAST(grade IS NULL AS INT) AS grade_nan
 FROM g
 """)
 def dummies_int(spark, sf_dir):

@@ -34,7 +34,7 @@ def score_grid(
     The features are written once; encoders are fitted on each split's own training rows. As in
     Spark's cross validation, a few fits run side by side, each a distributed job.
     """
-    ready = materialize(splits)
+    ready = materialize(splits, [SPLIT, ROLE])  # each fit then reads only the files of its split
     numeric = [c for c in numeric_columns(ready, booleans=True) if c not in (key, label, SPLIT)]
     pieces = []
     for split in split_ids(ready):

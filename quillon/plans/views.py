@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from quillon.functions import column
 from quillon.plans.funding import add_label
+from quillon.session import materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,7 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as projects: posted on the order date, funded on the last ship date (missing without lines)."""
+    """Orders as projects: posted on the order date, funded on the last ship date (missing without lines).
+
+    Joined once and written out, because most operators read their input more than once.
+    """
     shipped = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("funded"))
     people = (
         table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -30,7 +34,7 @@ def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("projectid"), F.col("o_custkey").alias("teacher"), F.col("o_orderdate").alias("posted"),
         "funded", F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("grade"),
         F.col("o_orderstatus").alias("resource"), "poverty", "state", "metro", "balance")
-    return add_label(named, "posted", "funded")
+    return materialize(add_label(named, "posted", "funded"))
 
 
 # The same view for the SQL side.

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,20 +27,33 @@ def build_session(app_name: str = "quillon", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read on from there.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``, or the one set on the context.
 
-    The folder is the one named by ``spark.checkpoint.dir`` (or set on the context). Only a local
-    master may fall back to a temporary folder: on a cluster such a folder would be lost with its
+    Only a local master may fall back to a temporary folder: on a cluster it would be lost with its
     machine.
     """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="quillon-")
+        spark.sparkContext.setCheckpointDir(folder)
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder
+
+
+def materialize(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` to the shared folder and read on from there.
+
+    Used where a result is read several times or a lineage has to be cut. The table is columnar, so
+    later passes read only the columns they need, and counting it reads no data at all. It survives
+    the loss of any executor and stays in the folder until that is cleaned.
+    """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="quillon-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}"
+    writer = df.write.mode("error")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
