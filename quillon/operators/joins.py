@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillon.functions import column
-from quillon.operators.params import DRIVER_ROWS, bounded_or_lazy
+from quillon.operators.params import DRIVER_ROWS
+from quillon.session import materialize
 
 HOT_KEYS = 1000
 SALTS = 4096
@@ -26,9 +27,9 @@ def lookup(
     ``spread_on`` columns so that they do not pile up either.
     """
     keys = list(keys)
-    small, proven = bounded_or_lazy(table, small_limit)
-    if proven:
-        return rows.join(small, keys, "left")
+    table = materialize(table)  # read for its size, for its heaviest keys and for the join
+    if table.count() <= small_limit:
+        return rows.join(F.broadcast(table), keys, "left")
     values = [c for c in table.columns if c not in keys]
     hot = table.orderBy(F.desc(weight)).limit(hot_keys).select(
         *keys, *[column(v).alias(f"__hot_{v}") for v in values], F.lit(True).alias("__hot"))

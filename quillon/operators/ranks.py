@@ -20,7 +20,7 @@ from quillon.operators.params import bounded_or_lazy
 
 CUT_SAMPLE = 0.01
 # A table counted and found to be no larger than this needs no buckets: one task can hold all of it.
-SMALL_ROWS = 200_000
+SMALL_ROWS = 500_000
 ROWS_PER_BUCKET, MIN_BUCKETS, MAX_BUCKETS = 50_000, 8, 4096
 BUCKET = "__bucket"
 

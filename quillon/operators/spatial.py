@@ -2,8 +2,9 @@
 
 Each area goes to the grid whose cell is at least as large as the area, so it touches four cells at
 most; each point looks up one cell per grid in use. That keeps both sides small whatever mix of tiny
-and huge areas there is, and makes the join an equi-join. A cell crowded with points is spread over
-``SALTS`` copies of its few areas.
+and huge areas there is, and makes the join an equi-join. Areas whose total size is found to be small
+are broadcast; larger ones are shuffled, with the few areas of every cell copied ``SALTS`` times so
+that a cell crowded with points is spread out.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from quillon.functions import column
 
 SALTS = 16
+BROADCAST_BYTES = 64 * 1024 * 1024
+BYTES_PER_EDGE, BYTES_PER_CELL = 40, 200
 # Sizes of doubles in use differ by at most about 2100 powers of two; real maps need a handful.
 MAX_GRIDS = 64
 
@@ -61,7 +64,7 @@ def strictly_within(x: Column, y: Column, edges: Column) -> Column:
 
 def link_points_areas(
     points: DataFrame, areas: DataFrame, x: str = "longitude", y: str = "latitude", geometry: str = "the_geom",
-    key: str | None = None,
+    key: str | None = None, broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join every point to every area it lies strictly within.
 
@@ -72,33 +75,40 @@ def link_points_areas(
     size = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"))
     level = F.when(size > 0, F.ceil(F.log2(size))).cast("int")  # a flat area holds no point at all
     prepared = with_bounds(areas, geometry).withColumn("__level", level).where(F.col("__level").isNotNull())
-    found = prepared.select("__level").distinct().limit(MAX_GRIDS + 1).collect()
-    if len(found) > MAX_GRIDS:
+    prepared = prepared.withColumn("__edges", edges_of(column(geometry)))
+    grids = prepared.groupBy("__level").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.size("__edges")).alias("edges")).limit(MAX_GRIDS + 1).collect()
+    if len(grids) > MAX_GRIDS:
         raise ValueError("area sizes span too many orders of magnitude")
-    levels = sorted(r[0] for r in found)
+    levels = sorted(g["__level"] for g in grids)
+    # every area is in four cells at most
+    size_bound = sum(4 * (g.n * BYTES_PER_CELL + g.edges * BYTES_PER_EDGE) for g in grids)
+    salts = 1 if size_bound <= broadcast_bytes else SALTS
 
     def cell(value: Column, at: Column) -> Column:
         return F.floor(value / F.pow(F.lit(2.0), at)).cast("bigint")
 
     carried = [c for c in areas.columns if c != geometry]
     at = F.col("__level")
+    keys = ["__level", "__cx", "__cy", "__salt"]
     placed = (
-        prepared.withColumn("__edges", edges_of(column(geometry)))
+        prepared
         .withColumn("__cx", F.explode(F.sequence(cell(F.col("min_x"), at), cell(F.col("max_x"), at))))
         .withColumn("__cy", F.explode(F.sequence(cell(F.col("min_y"), at), cell(F.col("max_y"), at))))
-        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        .select("__level", "__cx", "__cy", "__salt", "__edges", "min_x", "min_y", "max_x", "max_y",
-                *[column(c) for c in carried])
+        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        .select(*keys, "__edges", "min_x", "min_y", "max_x", "max_y", *[column(c) for c in carried])
     )
+    if salts == 1:
+        placed = F.broadcast(placed)
     px, py = column(x), column(y)
-    salt = F.pmod(F.xxhash64(*[column(c) for c in ([key] if key else points.columns)]), F.lit(SALTS)).cast("int")
-    grids = F.array(*[F.lit(v) for v in levels]) if levels else F.array().cast("array<int>")
+    salt = F.pmod(F.xxhash64(*[column(c) for c in ([key] if key else points.columns)]), F.lit(salts)).cast("int")
+    looked_up = F.array(*[F.lit(v) for v in levels]) if levels else F.array().cast("array<int>")
     located = (
         points.where(px.isNotNull() & py.isNotNull()).withColumn("__salt", salt)
-        .withColumn("__level", F.explode(grids))
+        .withColumn("__level", F.explode(looked_up))
         .withColumn("__cx", cell(px, at)).withColumn("__cy", cell(py, at))
     )
-    candidates = located.join(placed, ["__level", "__cx", "__cy", "__salt"])
+    candidates = located.join(placed, keys)
     inside_box = (px > F.col("min_x")) & (px < F.col("max_x")) & (py > F.col("min_y")) & (py < F.col("max_y"))
     return candidates.where(inside_box).where(strictly_within(px, py, F.col("__edges"))).select(
         *[column(c) for c in points.columns], *[column(c) for c in carried])

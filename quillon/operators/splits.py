@@ -77,28 +77,30 @@ def split_boundaries(
 def assign_splits(df: DataFrame, date_col: str, boundaries: list) -> DataFrame:
     """Copy each row into every training and test set it belongs to.
 
-    The windows are literals in the plan, so this is a row-local generator: no join, no shuffle.
+    The windows follow each other without a break and are literals in the plan, so this is a
+    row-local generator: no join, no shuffle.
     """
-    def timestamp(value) -> Column:
-        return F.lit(value).cast("timestamp_ntz")
-
-    windows = [
-        F.struct(
-            F.lit(b[SPLIT]).alias(SPLIT), timestamp(b.train_end).alias("train_end"),
-            timestamp(b.test_start).alias("test_start"), timestamp(b.test_end).alias("test_end"),
-        )
-        for b in boundaries
-    ]
-    if not windows:
+    if not boundaries:
         return df.select("*", F.lit(1).alias(SPLIT), F.lit("train").alias(ROLE)).limit(0)
+    first_id, last_id = boundaries[0][SPLIT], boundaries[-1][SPLIT]
     d = column(date_col).cast("timestamp_ntz")
-    in_test = F.filter(F.array(*windows), lambda w: (d >= w["test_start"]) & (d < w["test_end"]))
-    in_train = F.filter(F.array(*windows), lambda w: d < w["train_end"])
-    memberships = F.concat(
-        F.transform(in_test, lambda w: F.struct(w[SPLIT].alias(SPLIT), F.lit("test").alias(ROLE))),
-        F.transform(in_train, lambda w: F.struct(w[SPLIT].alias(SPLIT), F.lit("train").alias(ROLE))),
-    )
-    return df.select("*", F.inline(memberships))
+
+    def reached(name: str) -> Column:
+        """How many windows have this boundary at or before the date; the boundaries are in order."""
+        limits = F.array(*[F.lit(b[name]).cast("timestamp_ntz") for b in boundaries])
+        return F.size(F.filter(limits, lambda limit: limit <= d))
+
+    tested = F.lit(first_id - 1) + reached("test_start")
+    in_test = (tested >= first_id) & (d < F.lit(boundaries[-1].test_end).cast("timestamp_ntz"))
+    first_trained = F.lit(first_id) + reached("train_end")
+    none = F.array().cast("array<int>")
+    train_ids = F.when(first_trained <= last_id, F.sequence(first_trained, F.lit(last_id), F.lit(1))).otherwise(none)
+    # one number per copy of the row; the test copy carries its split as a negative number
+    copies = F.concat(F.when(in_test, F.array(-tested)).otherwise(none), train_ids)
+    member = df.where(d.isNotNull()).select("*", F.explode(copies).alias("__copy"))
+    return member.select(
+        *[column(c) for c in df.columns], F.abs("__copy").alias(SPLIT),
+        F.when(F.col("__copy") < 0, "test").otherwise("train").alias(ROLE))
 
 
 def date_range(df: DataFrame, date_col: str):

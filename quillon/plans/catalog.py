@@ -19,6 +19,7 @@ from quillon.operators import cleaning, describe, evaluate, features, outliers,
 from quillon.operators.knn import NearestNeighbours
 from quillon.plans import credit, crime, funding
 from quillon.plans.views import PROJECTS_SQL, SCORES_SQL, projects, rounded, scores, table
+from quillon.session import spread
 from quillon.sources import BLOCK_CODES, BLOCK_MEASURES, PROFILE_COLUMNS, transform_block_stats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -285,7 +286,7 @@ def point_in_polygon(spark, sf_dir):
         key.alias("geoid10"),
         F.array(F.array(corner(x0, y0), corner(x1, y0), corner(x1, y1), corner(x0, y1))).alias("the_geom"))
     placed = F.col("l_returnflag") != "R"
-    points = table(spark, sf_dir, "lineitem").select(
+    points = spread(table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_linenumber",
         F.when(placed, F.floor(F.col("l_extendedprice") / 100).cast("double")).alias("longitude"),
         (F.col("l_quantity") + F.floor(F.col("l_discount") * 100) / 2).alias("latitude"))

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from quillon.functions import column
 from quillon.plans.funding import add_label
-from quillon.session import materialize
+from quillon.session import materialize, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +27,7 @@ def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("c_custkey", F.col("c_mktsegment").alias("poverty"), F.col("n_name").alias("state"),
                 F.col("r_name").alias("metro"), F.col("c_acctbal").alias("balance"))
     )
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     joined = orders.join(shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left").join(
         people, F.col("o_custkey") == F.col("c_custkey"), "left")
     named = joined.select(

@@ -57,3 +57,13 @@ def materialize(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """Use every core on a table that arrives in fewer partitions than there are cores.
+
+    Meant for freshly read tables ahead of heavy row work. A large table has far more partitions and
+    passes through unchanged, without a shuffle.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
