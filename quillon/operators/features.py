@@ -182,10 +182,11 @@ def sparse_encoder(
     if categorical:
         indexed = [f"{c}__index" for c in categorical]
         encoded = [f"{c}__dummies" for c in categorical]
+        # the indexer gives unknown values the last index, which is the one the encoder drops
         stages += [
             StringIndexer(inputCols=list(categorical), outputCols=indexed, stringOrderType="frequencyDesc",
                           handleInvalid="keep"),
-            OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True, handleInvalid="keep"),
+            OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
         ]
         inputs += encoded
     stages.append(VectorAssembler(inputCols=inputs, outputCol=features, handleInvalid="error"))
