@@ -111,6 +111,8 @@ def apply_pipeline(
     Returns ``model_id, model, split_id, metric, threshold, value``.
     """
     steps = dict(features)
+    if "n_ocurr_cols" in steps:  # the spelling of existing settings files
+        steps["n_occur_cols"] = steps.pop("n_ocurr_cols")
     categorical = [*steps.get("dummy_cols", ()), *(steps.get("bin_cols") or {})]
     dropped = set(steps.get("drop_cols", ()))
     idle = (dropped - set(steps.get("n_occur_cols", ()))) | {key, label, date_col}

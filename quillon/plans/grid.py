@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -36,29 +36,42 @@ def score_grid(
     """
     ready = materialize(splits, [SPLIT, ROLE])  # each fit then reads only the files of its split
     numeric = [c for c in numeric_columns(ready, booleans=True) if c not in (key, label, SPLIT)]
-    pieces = []
-    for split in split_ids(ready):
+    keep = [column(key), column(label).cast("int").alias(label), FEATURES]
+
+    def prepare(split: int) -> tuple[DataFrame, DataFrame]:
         encoder = sparse_encoder(train_rows(ready, split), categorical, numeric)
-        keep = [column(key), column(label).cast("int").alias(label), FEATURES]
         train = encoder.transform(train_rows(ready, split)).select(*keep).persist()
-        test = encoder.transform(test_rows(ready, split)).select(*keep)
-
-        def fit_and_score(numbered, train=train, test=test, split=split):
-            number, spec = numbered
-            model = generate_classifier(train, spec, label, key)
-            scored = predict_target_probability(model, test)
-            return materialize(scored.select(
-                F.lit(number).alias("model_id"), F.lit(spec_label(spec, number)).alias("model"),
-                F.lit(split).alias(SPLIT), column(key), column(SCORE).cast("double").alias(SCORE), column(label)))
-
-        with ThreadPoolExecutor(parallelism) as pool:
-            pieces += pool.map(fit_and_score, list(enumerate(specs, start=1)))
-        train.unpersist()
+        return train, encoder.transform(test_rows(ready, split)).select(*keep)
+
+    def fit_and_score(split: int, train: DataFrame, test: DataFrame, number: int, spec: Mapping) -> DataFrame:
+        model = generate_classifier(train, spec, label, key)
+        scored = predict_target_probability(model, test)
+        return materialize(scored.select(
+            F.lit(number).alias("model_id"), F.lit(spec_label(spec, number)).alias("model"), F.lit(split).alias(SPLIT),
+            column(key), column(SCORE).cast("double").alias(SCORE), column(label)))
+
+    pieces = []
+    with ThreadPoolExecutor(parallelism) as pool:
+        started = []
+        for split in split_ids(ready):
+            train, test = prepare(split)
+            fits = [pool.submit(fit_and_score, split, train, test, n, spec) for n, spec in enumerate(specs, start=1)]
+            started.append((train, fits))
+            if len(started) > 1:  # at most two training sets stay cached
+                pieces += _finish(*started.pop(0))
+        for train, fits in started:
+            pieces += _finish(train, fits)
     if not pieces:
         raise ValueError("no split has both training and test rows")
     return reduce(DataFrame.unionByName, pieces)
 
 
+def _finish(train: DataFrame, fits: list[Future]) -> list[DataFrame]:
+    scored = [fit.result() for fit in fits]
+    train.unpersist()
+    return scored
+
+
 def evaluate_grid(
     scores: DataFrame, label: str, key: str, thresholds: Sequence[float] = THRESHOLDS, tie_breaker: str = "random",
     seed: int = 0,
