@@ -158,8 +158,8 @@ def split_dummies(splits: DataFrame, columns: Sequence[str]) -> DataFrame:
     out = splits
     for name in columns:
         text = column(name).cast("string")
+        values = sorted(str(v) for v in frequent_values(train, name))  # fails when there are too many to collect
         known = train.where(text.isNotNull()).groupBy(SPLIT).agg(F.collect_set(text).alias("__known"))
-        values = sorted(str(v) for v in frequent_values(train, name))
         rows = attach(out, [SPLIT], known)
         flags = [
             F.coalesce((text == v) & F.array_contains("__known", v), F.lit(False)).alias(n)

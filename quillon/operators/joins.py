@@ -1,4 +1,4 @@
-"""Lookup join that stays even when a few keys hold most of the rows."""
+"""Joins that stay even when a few keys hold most of the rows."""
 
 from __future__ import annotations
 
@@ -13,6 +13,8 @@ from quillon.session import materialize
 
 HOT_KEYS = 1000
 SALTS = 4096
+BROADCAST_ROWS = 100_000
+COPIES = 16
 
 
 def lookup(
@@ -44,3 +46,19 @@ def lookup(
         *[column(c) for c in rows.columns],
         *[F.coalesce(column(f"__hot_{v}"), column(v)).alias(v) for v in values],
     )
+
+
+def dimension_join(
+    rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left", broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Join rows to a table that describes their keys.
+
+    The table is counted: a small one is broadcast. A larger one is copied ``COPIES`` times and the
+    rows are spread over the copies, so that one key cannot fill a single task.
+    """
+    keys = list(keys)
+    if table.count() <= broadcast_rows:
+        return rows.join(F.broadcast(table), keys, how)
+    salt = F.pmod(F.xxhash64(*map(column, rows.columns)), F.lit(COPIES)).cast("int")
+    copies = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
+    return rows.withColumn("__salt", salt).join(copies, [*keys, "__salt"], how).drop("__salt")

@@ -22,6 +22,7 @@ CUT_SAMPLE = 0.01
 # A table counted and found to be no larger than this needs no buckets: one task can hold all of it.
 SMALL_ROWS = 500_000
 ROWS_PER_BUCKET, MIN_BUCKETS, MAX_BUCKETS = 50_000, 8, 4096
+HASH_BITS = 13
 BUCKET = "__bucket"
 
 
@@ -45,8 +46,8 @@ def add_value_bucket(df: DataFrame, value: str, rows: int | None = None) -> Data
 
 def add_hash_bucket(df: DataFrame, tie_class: Column, hashed: Column) -> DataFrame:
     """Bucket for values ordered by (tie class, 64-bit hash): the hash is already even."""
-    spread = F.shiftright(hashed, 53).cast("double") + 1024.0
-    return df.withColumn(BUCKET, tie_class.cast("double") * 2048.0 + spread)
+    top_bits = F.shiftright(hashed, 64 - HASH_BITS).cast("double")  # from -2^(bits-1) to 2^(bits-1) - 1
+    return df.withColumn(BUCKET, tie_class.cast("double") * float(2**HASH_BITS) + top_bits)
 
 
 def bucket_totals(df: DataFrame, by: Sequence[str], measures: Sequence[str] = ()) -> DataFrame:

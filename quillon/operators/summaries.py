@@ -9,29 +9,30 @@ from pyspark.sql import functions as F
 
 from quillon.functions import column, month_on_common_year, percent
 from quillon.operators.describe import fixed_histogram, summarize_data, value_counts
+from quillon.operators.joins import dimension_join
+from quillon.operators.params import attach
 
 # More pivot columns than this would make a plan nobody can read; list the values wanted instead.
 MAX_PIVOT_VALUES = 1000
 
 
 def summarize_on_field(reports: DataFrame, field: str) -> DataFrame:
-    """Rows per value with their percentage of all rows that have a value, largest first.
-
-    The window sees one row per value, after the counts have been merged.
-    """
-    counts = value_counts(reports, field)
-    return counts.select(
-        column(field), "n", percent(F.col("n"), F.sum("n").over(Window.partitionBy())).alias("percentage")
+    """Rows per value with their percentage of all rows that have a value, largest first."""
+    return _with_total(value_counts(reports, field)).select(
+        column(field), "n", percent(F.col("n"), F.col("__total")).alias("percentage")
     ).orderBy(F.desc("n"), column(field))
 
 
+def _with_total(counts: DataFrame) -> DataFrame:
+    """Append the sum of all counts as a literal: a window would pull every value into one task."""
+    return attach(counts, [], counts.agg(F.sum("n").alias("__total")))
+
+
 def conditional_share(reports: DataFrame, condition: Column, field: str) -> DataFrame:
     """Share of each value among the rows that meet a condition."""
-    counts = value_counts(reports.where(condition), field)
-    return counts.select(
-        column(field), "n",
-        F.try_divide(F.col("n").cast("double"), F.sum("n").over(Window.partitionBy()).cast("double")).alias("share"),
-    )
+    counts = _with_total(value_counts(reports.where(condition), field))
+    share = F.try_divide(F.col("n").cast("double"), F.col("__total").cast("double"))
+    return counts.select(column(field), "n", share.alias("share"))
 
 
 def share_difference(reports: DataFrame, condition: Column, field: str, first: Sequence, second: Sequence) -> DataFrame:
@@ -110,22 +111,15 @@ def link_reports_neighborhoods(
     reports: DataFrame, areas: DataFrame, code: str = "community_area", number: str = "area_number",
     name: str = "community",
 ) -> DataFrame:
-    """Replace an area code by the area's name; an unknown code becomes missing.
-
-    Spark itself broadcasts the area list while it is below the session's broadcast threshold.
-    """
-    names = areas.select(column(number).alias("__code"), column(name).alias("__name"))
-    joined = reports.join(names, column(code) == F.col("__code"), "left").drop("__code")
-    return joined.withColumn(code, F.col("__name")).drop("__name")
+    """Replace an area code by the area's name; an unknown code becomes missing."""
+    names = areas.select(column(number).alias(code), column(name).alias("__name"))
+    named = {c: F.col("__name") if c == code else column(c) for c in reports.columns}
+    return dimension_join(reports, names, [code]).select(*[v.alias(c) for c, v in named.items()])
 
 
 def link_reports_block_stats(reports: DataFrame, stats: DataFrame, key: str = "geoid10") -> DataFrame:
-    """Append area statistics to every row; rows without a match keep missing statistics.
-
-    The size of the statistics and a key with very many rows are both left to adaptive execution: it
-    broadcasts the small side, or else splits the oversized partition.
-    """
-    return reports.join(stats, key, "left")
+    """Append area statistics to every row; rows without a match keep missing statistics."""
+    return dimension_join(reports, stats, [key])
 
 
 def describe_blocks(block_summaries: DataFrame, stats: DataFrame, columns: Sequence[str], key: str = "geoid10") -> DataFrame:
@@ -156,7 +150,5 @@ def map_neighborhood_stats(
 ) -> DataFrame:
     """Row counts joined to the areas, with the smallest and largest count for a colour scale."""
     counts = value_counts(reports, field, "counts").withColumnRenamed(field, name)
-    everywhere = Window.partitionBy()
-    return counts.join(areas, name).select(
-        "*", F.min("counts").over(everywhere).alias("scale_min"), F.max("counts").over(everywhere).alias("scale_max")
-    )
+    drawn = dimension_join(counts, areas, [name], "inner")
+    return attach(drawn, [], drawn.agg(F.min("counts").alias("scale_min"), F.max("counts").alias("scale_max")))

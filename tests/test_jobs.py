@@ -87,3 +87,14 @@ def test_credit_job(spark, tmp_path):
     assert tables["group_means"].count() == 9 and tables["zipcode_counts"].count() == 3
     accuracy = credit.build_and_score(people).first().accuracy
     assert accuracy > 0.9
+
+
+@pytest.mark.parametrize("broadcast_rows", [100, 0])
+def test_dimension_join_small_and_large(spark, broadcast_rows):
+    from quillon.operators.joins import dimension_join
+
+    rows = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(60)] + [(99, None)], "id int, k string")
+    table = spark.createDataFrame([("hot", 1), ("k3", 2)], "k string, v int")
+    out = {r.id: r.v for r in dimension_join(rows, table, ["k"], broadcast_rows=broadcast_rows).collect()}
+    assert len(out) == 61 and out[1] == 1 and out[3] == 2 and out[6] is None and out[99] is None
+    assert dimension_join(rows, table, ["k"], "inner", broadcast_rows).count() == 41
