@@ -59,9 +59,9 @@ def identify_missing(df: DataFrame, columns: Iterable[str] | None = None, suffix
 
 
 def cut_binary(value: Column, threshold: float, or_equal_to: bool = False) -> Column:
-    """Above the threshold or not; a missing value is not above it."""
+    """Above the threshold or not; a missing value is not above it. As a filter it reaches the scan."""
     above = value >= threshold if or_equal_to else value > threshold
-    return F.coalesce(above, F.lit(False))
+    return value.isNotNull() & above
 
 
 def flag_to_double(value: Column, true_text: str = "t") -> Column:
@@ -91,13 +91,13 @@ def to_timestamp(value: Column, fmt: str | None = None) -> Column:
 
 
 def within_dates(value: Column, *ranges: tuple[str, str]) -> Column:
-    """Inside any of the half-open ranges ``[start, end)``."""
+    """Inside any of the half-open ranges ``[start, end)``; as a filter it reaches the scan."""
     hits = F.lit(False)
     for start, end in ranges:
         hits = hits | (
             (value >= F.lit(start).cast("timestamp_ntz")) & (value < F.lit(end).cast("timestamp_ntz"))
         )
-    return F.coalesce(hits, F.lit(False))
+    return value.isNotNull() & hits
 
 
 def year_to_date(value: Column, year: int, end: str) -> Column:
