@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,11 @@ SHORTEST_SECONDS = {
 }
 
 
+def _moment(value: datetime) -> Column:
+    """A literal without a time zone; going through text keeps the driver's own zone out of it."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def shift(start: Column, length: Mapping[str, int], times: Column | int = 1, sign: int = 1) -> Column:
     """``start`` plus ``times`` lengths: months first (the day is cut to the month's last), then the rest."""
     unknown = set(length) - set(SHORTEST_SECONDS)
@@ -56,8 +62,8 @@ def split_boundaries(
     if upper > 20 * MAX_SPLITS:
         raise ValueError(f"more than {MAX_SPLITS} splits; use a longer time_length")
     i = F.col("id")
-    origin = F.lit(first_test).cast("timestamp_ntz") if first_test is not None else shift(
-        F.lit(first_date).cast("timestamp_ntz"), time_length)
+    origin = _moment(first_test) if first_test is not None else shift(
+        _moment(first_date), time_length)
     start = shift(F.col("origin"), time_length, i)
     rows = (
         spark.range(upper).withColumn("origin", origin)
@@ -65,7 +71,7 @@ def split_boundaries(
             (i + 1).cast("int").alias(SPLIT), start.alias("test_start"),
             shift(F.col("origin"), time_length, i + 1).alias("test_end"),
         )
-        .where(F.col("test_start") < F.lit(last_date).cast("timestamp_ntz"))
+        .where(F.col("test_start") < _moment(last_date))
         .withColumn("train_end", shift(F.col("test_start"), gap, sign=-1) if gap else F.col("test_start"))
         .orderBy(SPLIT).collect()
     )
@@ -87,11 +93,11 @@ def assign_splits(df: DataFrame, date_col: str, boundaries: list) -> DataFrame:
 
     def reached(name: str) -> Column:
         """How many windows have this boundary at or before the date; the boundaries are in order."""
-        limits = F.array(*[F.lit(b[name]).cast("timestamp_ntz") for b in boundaries])
+        limits = F.array(*[_moment(b[name]) for b in boundaries])
         return F.size(F.filter(limits, lambda limit: limit <= d))
 
     tested = F.lit(first_id - 1) + reached("test_start")
-    in_test = (tested >= first_id) & (d < F.lit(boundaries[-1].test_end).cast("timestamp_ntz"))
+    in_test = (tested >= first_id) & (d < _moment(boundaries[-1].test_end))
     first_trained = F.lit(first_id) + reached("train_end")
     none = F.array().cast("array<int>")
     train_ids = F.when(first_trained <= last_id, F.sequence(first_trained, F.lit(last_id), F.lit(1))).otherwise(none)
@@ -147,9 +153,7 @@ def _renumber(window):
     return type(window)(**values)
 
 
-def _iso(text: str | None):
-    from datetime import datetime
-
+def _iso(text: str | None) -> datetime | None:
     return datetime.fromisoformat(text) if text else None
 
 
