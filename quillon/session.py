@@ -59,6 +59,30 @@ def materialize(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables that one job writes to the shared folder, under a folder of its own.
+
+    ``keep`` writes a table and reads on from it, as ``materialize`` does; ``clear`` removes everything
+    that was kept, once no result depends on it any more.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}"
+
+    def path(self, name: str = "") -> str:
+        return f"{self.folder}/{name or uuid.uuid4().hex}"
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = self.path()
+        df.write.mode("error").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def spread(table: DataFrame) -> DataFrame:
     """Use every core on a table that arrives in fewer partitions than there are cores.
 
