@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import packing, sharding, token_counts
+from quillon.llm import decontaminate, packing, sharding, token_counts, warc
 from quillon.session import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,14 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), Scratch(spark))
+
+
+@query()
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", (F.size("items") > 0).alias("contaminated"), F.size("items").alias("n_items"), "items", "distances")
+
+
+@query()
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages"), Scratch(spark))
