@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import decontaminate, packing, sharding, token_counts, warc
+from quillon.llm import decontaminate, line_quality, packing, sharding, token_counts, warc
 from quillon.session import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,8 +32,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query()
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cache = token_counts.TokenCache(spark, Scratch(spark).path("token_counts"))
-    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), cache)
+    scratch = Scratch(spark)
+    cache = token_counts.TokenCache(spark, scratch.path("token_counts"))
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), cache, scratch)
 
 
 @query()
@@ -59,3 +60,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"), Scratch(spark))
+
+
+@query(line_quality.SQL)
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = line_quality.judge(table(spark, sf_dir, "documents"), Scratch(spark))
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words")
+    return judged.select("doc_id", *[F.col(f"__q_{n}").alias(n) for n in names])

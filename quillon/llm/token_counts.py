@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.llm.encoders import encoder, encoder_version
-from quillon.session import spread
+from quillon.session import Scratch, spread
 
 
 class TokenCache:
@@ -44,7 +44,7 @@ def same_text(text: Column) -> Column:
 
 
 def count_tokens(
-    docs: DataFrame, tokenizer_path: str, cache: TokenCache, id_column: str = "doc_id", text_column: str = "text",
+    docs: DataFrame, tokenizer_path: str, cache: TokenCache, scratch: Scratch, id_column: str = "doc_id", text_column: str = "text",
     normalise: Callable[[Column], Column] = same_text, limit: int = 1024,
 ) -> DataFrame:
     """One row per document: id, ``n_bytes`` (UTF-8), ``n_tokens``, ``over_limit`` (more than ``limit`` tokens).
@@ -67,7 +67,8 @@ def count_tokens(
     cache.append(misses.mapInArrow(_counter(tokenizer_path), "content binary, n_tokens bigint"), version)
     rows = docs.select(
         F.col(id_column), F.coalesce(F.octet_length(F.col(text_column).cast("string")), F.lit(0)).cast("bigint").alias("n_bytes"), digest)
-    counted = rows.join(cache.read(version), "content", "left")
+    # a table of its own, so that the join may split a content that a third of the rows share
+    counted = rows.join(scratch.keep(cache.read(version)), "content", "left")
     return counted.select(id_column, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
