@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import decontaminate, line_quality, packing, sharding, token_counts, warc
+from quillon.llm import decontaminate, language_id, line_quality, packing, sharding, token_counts, toxicity, warc
 from quillon.session import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = line_quality.judge(table(spark, sf_dir, "documents"), Scratch(spark))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words")
     return judged.select("doc_id", *[F.col(f"__q_{n}").alias(n) for n in names])
+
+
+@query()
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_all(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
