@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import decontaminate, language_id, line_quality, packing, sharding, token_counts, toxicity, warc
+from quillon.llm import decontaminate, language_id, line_quality, near_duplicates, packing, sharding, token_counts, toxicity, warc
 from quillon.session import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+@query(near_duplicates.SQL)
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark))
