@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import decontaminate, language_id, line_quality, near_duplicates, packing, sharding, token_counts, toxicity, warc
+from quillon.llm import decontaminate, language_id, line_quality, line_runs, near_duplicates, packing, sharding, token_counts, toxicity, warc
 from quillon.session import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,11 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(near_duplicates.SQL)
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
+@query(line_runs.SQL)
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_runs.remove_repeated_runs(table(spark, sf_dir, "documents"), Scratch(spark))
+    return done.select(
+        "doc_id", F.col("__n_lines").alias("n_lines"), F.size("__removed").cast("bigint").alias("n_removed"),
+        F.array_join(F.col("__removed").cast("array<string>"), ",").alias("removed_lines"), F.col("__text").alias("text"))
