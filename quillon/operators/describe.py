@@ -82,23 +82,27 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return pairs.dropna(subset=["value"]).distinct().groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
 
 
-def fixed_histogram(df: DataFrame, field: str, low: float, high: float, width: float) -> DataFrame:
+def fixed_histogram(df: DataFrame, field: str, low: float, high: float, width: float, overflow: bool = True) -> DataFrame:
     """Rows per bin ``[low + i*width, low + (i+1)*width)``, the last bin closed; empty bins included.
 
-    Values outside the range are in no bin.
+    With ``overflow``, bin -1 holds what lies below the range (its start is missing) and one bin more what lies
+    above it or is not a number (its end is missing), so the counts add up to all values that are not missing.
     """
     bins = round((high - low) / width)
     x = as_double(field)
-    index = F.least(F.floor((x - F.lit(float(low))) / F.lit(float(width))), F.lit(bins - 1)).cast("bigint")
-    counts = df.where(x.between(low, high)).groupBy(index.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    return _with_empty_bins(counts, bins).select(
-        "bin", (F.lit(float(low)) + F.col("bin") * F.lit(float(width))).alias("bin_start"),
-        (F.lit(float(low)) + (F.col("bin") + 1) * F.lit(float(width))).alias("bin_end"), "n",
-    )
-
-
-def _with_empty_bins(counts: DataFrame, bins: int) -> DataFrame:
-    spine = counts.sparkSession.range(bins).withColumnRenamed("id", "bin")
+    inner = F.least(F.floor((x - F.lit(float(low))) / F.lit(float(width))), F.lit(bins - 1)).cast("bigint")
+    index = F.when(x < low, F.lit(-1)).when(x <= high, inner).otherwise(F.lit(bins)).cast("bigint")
+    known = df.where(x.isNotNull()) if overflow else df.where(x.between(low, high))
+    counts = known.groupBy(index.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    first, last = (-1, bins + 1) if overflow else (0, bins)
+    start = F.lit(float(low)) + F.col("bin") * F.lit(float(width))
+    end = F.lit(float(low)) + (F.col("bin") + 1) * F.lit(float(width))
+    return _with_empty_bins(counts, first, last).select(
+        "bin", F.when(F.col("bin") >= 0, start).alias("bin_start"), F.when(F.col("bin") < bins, end).alias("bin_end"), "n")
+
+
+def _with_empty_bins(counts: DataFrame, first: int, end: int) -> DataFrame:
+    spine = counts.sparkSession.range(first, end).withColumnRenamed("id", "bin")
     return spine.join(counts, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
@@ -130,7 +134,7 @@ def histogram(df: DataFrame, field: str) -> DataFrame:
     lo, hi = range_row.lo, range_row.hi
     if lo == hi:  # a single value sits in the middle of a range of width one
         lo, hi = lo - 0.5, hi + 0.5
-    return fixed_histogram(values, "value", lo, hi, (hi - lo) / bins)
+    return fixed_histogram(values, "value", lo, hi, (hi - lo) / bins, overflow=False)
 
 
 def freedman_diaconis_bins(n: int, lo: float, hi: float, q1: float, q3: float) -> int:

@@ -98,7 +98,17 @@ def predict_target_class(
     """
     if tie_breaker != "random" and label is None:
         raise ValueError(f"the {tie_breaker} tie breaker needs the label column")
-    by = list(by)
+    # the caller's columns may have any name, those of the helper columns too
+    safe = {c: f"in_{i}" for i, c in enumerate(scores.columns)}
+    marked = _mark_positives(
+        scores.toDF(*safe.values()), safe[key], safe[score], threshold, tie_breaker, safe[label] if label is not None else None, seed,
+        [safe[c] for c in by])
+    return marked.select(*[F.col(s).alias(c) for c, s in safe.items() if c != out], F.col("chosen").alias(out))
+
+
+def _mark_positives(
+    scores: DataFrame, key: str, score: str, threshold: float, tie_breaker: str, label: str | None, seed: int, by: list[str],
+) -> DataFrame:
     scored = _scored(scores, by, score, label, key)
     cuts, _ = bounded_or_lazy(_cuts(scored, by, [threshold], []))
     last = _last_places(scored, cuts, by, tie_breaker, seed).select(
@@ -116,7 +126,7 @@ def predict_target_class(
     early = F.col("__k").isNotNull() & (place <= last_place)
     tied = (F.col("__slots") >= F.col("__equal")) | early
     chosen = F.coalesce((s > F.col("__cut")) | ((s == F.col("__cut")) & tied), F.lit(False))
-    return rows.select(*[column(c) for c in scores.columns], chosen.alias(out))
+    return rows.select(*[column(c) for c in scores.columns], chosen.alias("chosen"))
 
 
 def _ratio(part: Column, whole: Column) -> Column:

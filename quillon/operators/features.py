@@ -93,13 +93,11 @@ def fit_edges(df: DataFrame, name: str, bins: int) -> list[float]:
 
 # --- dummies --------------------------------------------------------------------------------------
 
-def frequent_values(df: DataFrame, name: str) -> list:
-    """Values of a column, most frequent first, equally frequent ones in order."""
+def frequent_values(df: DataFrame, name: str) -> list | None:
+    """Values of a column, most frequent first, equally frequent ones in order; None if there are too many for columns."""
     counts = df.where(column(name).isNotNull()).groupBy(column(name).alias("v")).agg(F.count(F.lit(1)).alias("n"))
     rows = fetch_bounded(counts.orderBy(F.desc("n"), "v"), MAX_DUMMIES)
-    if rows is None:
-        raise ValueError(f"{name} has more than {MAX_DUMMIES} values; encode it as a sparse vector")
-    return [r.v for r in rows]
+    return None if rows is None else [r.v for r in rows]
 
 
 def dummy_names(prefix: str, values: Sequence) -> list[str]:
@@ -118,9 +116,11 @@ def create_dummies(df: DataFrame, name: str, values: Sequence | None = None, mis
     """Replace a column by one true/false column per value.
 
     ``missing='false'`` makes all of them false where the value is missing, ``missing='null'`` leaves
-    them missing there.
+    them missing there. More than ``MAX_DUMMIES`` values become one sparse vector column (``sparse_dummies``).
     """
     values = list(values) if values is not None else frequent_values(df, name)
+    if values is None:
+        return sparse_dummies(df, [name], missing=missing)
     text = column(name).cast("string")
     flags = [text == F.lit(str(v)) for v in values]
     if missing == "false":
@@ -129,14 +129,51 @@ def create_dummies(df: DataFrame, name: str, values: Sequence | None = None, mis
     return drop_columns(df.select("*", *named), [name])
 
 
+def sparse_dummies(
+    df: DataFrame, columns: Sequence[str], missing: str = "false", fit_on: DataFrame | None = None, keep_index: bool = False,
+) -> DataFrame:
+    """Replace each column by a sparse vector ``<name>_dummies`` with an entry per value, for any number of values.
+
+    Entries are in the order of frequency in ``fit_on`` (the table itself by default), equally frequent values
+    by text. Other values and missing ones have no entry at 1; with ``missing='null'`` the vector is missing where
+    the value is. ``keep_index`` adds the entry's number as ``<name>_index``.
+    """
+    plain = [f"__value_{i}" for i in range(len(columns))]
+    indexed, encoded = [f"__index_{i}" for i in range(len(columns))], [f"__dummies_{i}" for i in range(len(columns))]
+
+    def texts(table: DataFrame) -> DataFrame:
+        return table.withColumns({p: column(c).cast("string") for p, c in zip(plain, columns, strict=True)})
+
+    rows = texts(df)
+    stages = [
+        StringIndexer(inputCols=plain, outputCols=indexed, stringOrderType="frequencyDesc", handleInvalid="keep"),
+        OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True)]
+    out = Pipeline(stages=stages).fit(texts(df if fit_on is None else fit_on).select(*plain)).transform(rows)
+    added = {}
+    for name, p, i, d in zip(columns, plain, indexed, encoded, strict=True):
+        added[f"{name}_dummies"] = F.when(F.col(p).isNotNull(), F.col(d)) if missing == "null" else F.col(d)
+        if keep_index:
+            added[f"{name}_index"] = F.when(F.col(p).isNotNull(), F.col(i))
+    return out.select(*[column(c) for c in df.columns if c not in columns], *[v.alias(n) for n, v in added.items()])
+
+
 def create_dummies_many(
     df: DataFrame, columns: Sequence[str], drop_first: bool = False, dummy_na: bool = False,
     prefix: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Replace several columns by 0/1 columns, values in sorted order, missing values all 0."""
-    flags = []
+    """Replace several columns by 0/1 columns, values in sorted order, missing values all 0.
+
+    A column with more than ``MAX_DUMMIES`` values becomes one sparse vector column instead (``sparse_dummies``).
+    """
+    flags, wide = [], []
     for name in columns:
-        values = sorted(frequent_values(df, name))
+        found = frequent_values(df, name)
+        if found is None:
+            wide.append(name)
+            if dummy_na:
+                flags.append(column(name).isNull().cast("int").alias(f"{(prefix or {}).get(name, name)}_nan"))
+            continue
+        values = sorted(found)
         kept = values[1:] if drop_first else values
         base = (prefix or {}).get(name, name)
         text = column(name).cast("string")
@@ -146,19 +183,25 @@ def create_dummies_many(
         ]
         if dummy_na:
             flags.append(column(name).isNull().cast("int").alias(f"{base}_nan"))
-    return drop_columns(df.select("*", *flags), list(columns))
+    out = drop_columns(df.select("*", *flags), [c for c in columns if c not in wide])
+    return sparse_dummies(out, wide) if wide else out
 
 
 def split_dummies(splits: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Dummies over a split table: a split's columns follow the values of its own training rows.
 
-    All splits share one set of columns; a value a split never trained on is false throughout it.
+    All splits share one set of columns; a value a split never trained on is false throughout it. A column
+    with more than ``MAX_DUMMIES`` values becomes one sparse vector column, with the same rule.
     """
     train = splits.where(F.col(ROLE) == "train")
     out = splits
     for name in columns:
         text = column(name).cast("string")
-        values = sorted(str(v) for v in frequent_values(train, name))  # fails when there are too many to collect
+        found = frequent_values(train, name)
+        if found is None:
+            out = _split_sparse(out, train, name)
+            continue
+        values = sorted(str(v) for v in found)
         known = train.where(text.isNotNull()).groupBy(SPLIT).agg(F.collect_set(text).alias("__known"))
         rows = attach(out, [SPLIT], known)
         flags = [
@@ -169,6 +212,14 @@ def split_dummies(splits: DataFrame, columns: Sequence[str]) -> DataFrame:
     return out
 
 
+def _split_sparse(splits: DataFrame, train: DataFrame, name: str) -> DataFrame:
+    text = column(name).cast("string")
+    known = train.where(text.isNotNull()).groupBy(F.col(SPLIT), text.alias("__text")).agg(F.count(F.lit(1)).alias("__n"))
+    rows = lookup(splits.withColumn("__text", text), known, [SPLIT, "__text"], "__n", splits.columns)
+    own = [F.when(F.col("__n").isNotNull(), F.col("__text")).alias(c) if c == name else column(c) for c in splits.columns]
+    return sparse_dummies(rows.select(*own), [name], fit_on=train)
+
+
 def sparse_encoder(
     train: DataFrame, categorical: Sequence[str], numeric: Sequence[str], features: str = "features"
 ) -> PipelineModel:

@@ -14,6 +14,7 @@ from quillon.session import materialize
 HOT_KEYS = 1000
 SALTS = 4096
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 COPIES = 16
 
 
@@ -53,12 +54,21 @@ def dimension_join(
 ) -> DataFrame:
     """Join rows to a table that describes their keys.
 
-    The table is counted: a small one is broadcast. A larger one is copied ``COPIES`` times and the
-    rows are spread over the copies, so that one key cannot fill a single task.
+    The table is counted: a small one of bounded row width is broadcast. A larger one is copied as often as
+    the rows need it, and the rows are spread over the copies by their place in the input, so that neither one
+    key, nor a missing one, nor rows that are all alike fill a single task.
     """
     keys = list(keys)
-    if table.count() <= broadcast_rows:
+    if fits_broadcast(table, broadcast_rows):
         return rows.join(F.broadcast(table), keys, how)
-    salt = F.pmod(F.xxhash64(*map(column, rows.columns)), F.lit(COPIES)).cast("int")
-    copies = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
-    return rows.withColumn("__salt", salt).join(copies, [*keys, "__salt"], how).drop("__salt")
+    copies = max(COPIES, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(copies)).cast("int")
+    spread_table = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    return rows.withColumn("__salt", salt).join(spread_table, [*keys, "__salt"], how).drop("__salt")
+
+
+def fits_broadcast(table: DataFrame, rows: int = BROADCAST_ROWS, total_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a table has at most so many rows, and so many bytes as JSON text."""
+    size = F.sum(F.octet_length(F.to_json(F.struct(*[column(c) for c in table.columns]))))
+    found = table.agg(F.count(F.lit(1)).alias("n"), size.alias("bytes")).first()
+    return found.n <= rows and (found.bytes or 0) <= total_bytes

@@ -128,12 +128,14 @@ def describe_blocks(block_summaries: DataFrame, stats: DataFrame, columns: Seque
     return summarize_data(linked, agg_cols=columns)
 
 
-def summarize_neighborhoods(reports: DataFrame, field: str = "community_area") -> dict[str, DataFrame]:
-    """Rows per area (smallest first), their summary, and their histogram in steps of 1000."""
+def summarize_neighborhoods(
+    reports: DataFrame, field: str = "community_area", low: float = 0, high: float = 32000, width: float = 1000
+) -> dict[str, DataFrame]:
+    """Rows per area (smallest first), their summary, and their histogram; areas outside its range are in its outer bins."""
     counts = value_counts(reports, field)
     return {
         "description": summarize_data(counts, agg_cols=["n"]),
-        "histogram": neighborhood_distribution(reports, field),
+        "histogram": neighborhood_distribution(reports, field, low, high, width),
         "counts": counts.orderBy("n", column(field)),
     }
 

@@ -18,9 +18,16 @@ from quillon.functions import (
 from quillon.operators import cleaning, describe, evaluate, features, outliers, splits, summaries
 from quillon.operators.knn import NearestNeighbours
 from quillon.plans import credit, crime, funding
-from quillon.plans.views import PROJECTS_SQL, SCORES_SQL, projects, rounded, scores, table
-from quillon.session import spread
-from quillon.sources import BLOCK_CODES, BLOCK_MEASURES, PROFILE_COLUMNS, transform_block_stats
+from quillon.plans.views import PROJECTS_SQL, SCORES_SQL, kept_projects, projects, rounded, scores, table
+from quillon.session import Scratch, materialize, spread
+from quillon.sources import (
+    BLOCK_CODES,
+    BLOCK_MEASURES,
+    PROFILE_COLUMNS,
+    load_reports,
+    read_csv,
+    transform_block_stats,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -214,9 +221,10 @@ def area_description(spark, sf_dir):
 
 @register(f"""
 WITH {AREA_COUNTS_SQL},
-b AS (SELECT range AS bin FROM range(32)),
-h AS (SELECT least(CAST(floor(n / 1000) AS BIGINT), 31) AS bin, count(*) AS n FROM c WHERE n <= 32000 GROUP BY 1)
-SELECT bin, bin * 1000.0::DOUBLE AS bin_start, (bin + 1) * 1000.0::DOUBLE AS bin_end, coalesce(n, 0) AS n
+b AS (SELECT range AS bin FROM range(-1, 33)),
+h AS (SELECT CASE WHEN n < 0 THEN -1 WHEN n > 32000 THEN 32 ELSE least(CAST(floor(n / 1000) AS BIGINT), 31) END AS bin, count(*) AS n FROM c GROUP BY 1)
+SELECT bin, CASE WHEN bin >= 0 THEN bin * 1000.0::DOUBLE END AS bin_start,
+       CASE WHEN bin < 32 THEN (bin + 1) * 1000.0::DOUBLE END AS bin_end, coalesce(n, 0) AS n
 FROM b LEFT JOIN h USING (bin)
 """)
 def area_histogram(spark, sf_dir):
@@ -424,9 +432,11 @@ def corr_matrix(spark, sf_dir):
 
 
 @register("""
-WITH b AS (SELECT range AS bin FROM range(25)),
-h AS (SELECT least(CAST(floor(value / 20) AS BIGINT), 24) AS bin, count(*) AS n FROM events WHERE value BETWEEN 0 AND 500 GROUP BY 1)
-SELECT bin, CAST(bin * 20 AS DOUBLE) AS bin_start, CAST((bin + 1) * 20 AS DOUBLE) AS bin_end, coalesce(n, 0) AS n
+WITH b AS (SELECT range AS bin FROM range(-1, 26)),
+h AS (SELECT CASE WHEN value < 0 THEN -1 WHEN value > 500 THEN 25 ELSE least(CAST(floor(value / 20) AS BIGINT), 24) END AS bin, count(*) AS n
+      FROM events WHERE value IS NOT NULL GROUP BY 1)
+SELECT bin, CASE WHEN bin >= 0 THEN CAST(bin * 20 AS DOUBLE) END AS bin_start,
+       CASE WHEN bin < 25 THEN CAST((bin + 1) * 20 AS DOUBLE) END AS bin_end, coalesce(n, 0) AS n
 FROM b LEFT JOIN h USING (bin)
 """)
 def histogram_fixed(spark, sf_dir):
@@ -529,7 +539,7 @@ FROM g, modes
 """)
 def impute_default(spark, sf_dir):
     filled = cleaning.preprocess_data(
-        _gaps(spark, sf_dir), columns=[funding.DAYS, "resource", "price", "grade"])
+        materialize(_gaps(spark, sf_dir)), columns=[funding.DAYS, "resource", "price", "grade"])
     return rounded(filled, 4)
 
 
@@ -540,7 +550,7 @@ SELECT projectid, coalesce(daystofullfunding, m_days) AS daystofullfunding, coal
 """)
 def impute_methods(spark, sf_dir):
     filled = cleaning.preprocess_data(
-        _gaps(spark, sf_dir), {funding.DAYS: "mode", "resource": "manual", "price": "mean", "grade": "manual"},
+        materialize(_gaps(spark, sf_dir)), {funding.DAYS: "mode", "resource": "manual", "price": "mean", "grade": "manual"},
         {"grade": "none given"}, columns=[funding.DAYS, "resource", "price", "grade"], flags=False)
     return rounded(filled, 4)
 
@@ -568,9 +578,10 @@ member AS (SELECT p.*, split_id, 'test' AS role FROM projects p JOIN bounds ON p
 """
 
 
-def _member(spark, sf_dir):
+def _member(spark, sf_dir, *columns):
+    """The rolling splits of the projects, with the columns a query needs."""
     return splits.create_temporal_splits(
-        projects(spark, sf_dir), "posted", {"months": SPLIT_MONTHS}, {"days": SPLIT_GAP_DAYS})
+        kept_projects(spark, sf_dir, "posted", *columns), "posted", {"months": SPLIT_MONTHS}, {"days": SPLIT_GAP_DAYS})
 
 
 SPLIT_SUMMARY = """
@@ -587,7 +598,7 @@ def _split_summary(member):
 
 @register(f"WITH {PROJECTS_SQL}, {SPLITS_SQL} {SPLIT_SUMMARY}")
 def temporal_splits_summary(spark, sf_dir):
-    return _split_summary(_member(spark, sf_dir))
+    return _split_summary(_member(spark, sf_dir, funding.LATE))
 
 
 @register(f"""
@@ -601,7 +612,8 @@ member AS (SELECT posted, late, i AS split_id, 'test' AS role FROM placed WHERE
 {SPLIT_SUMMARY}
 """)
 def temporal_splits_v2(spark, sf_dir):
-    return _split_summary(splits.create_consecutive_splits(projects(spark, sf_dir), "posted", {"months": 12}))
+    return _split_summary(splits.create_consecutive_splits(
+        kept_projects(spark, sf_dir, "posted", funding.LATE), "posted", {"months": 12}))
 
 
 @register(f"""
@@ -611,7 +623,7 @@ SELECT split_id, role, count(*) AS n, count(*) FILTER (days IS NULL) AS n_filled
        round(sum(coalesce(days, m)), 4) AS total FROM member JOIN med USING (split_id, role) GROUP BY 1, 2
 """)
 def impute_per_split(spark, sf_dir):
-    member = _member(spark, sf_dir)
+    member = _member(spark, sf_dir, funding.DAYS)
     filled = cleaning.preprocess_data(member, columns=[funding.DAYS], by=["split_id", "role"])
     return rounded(filled.groupBy("split_id", "role").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col(f"{funding.DAYS}_missing")).alias("n_filled"),
@@ -662,7 +674,7 @@ FROM member JOIN e USING (split_id) GROUP BY 1, 2, 3
 """)
 def fitted_bins(spark, sf_dir):
     cut = features.split_bins(
-        _member(spark, sf_dir), {"price": {"bins": 4, "labels": ["q1", "q2", "q3", "q4"]}})
+        _member(spark, sf_dir, "price"), {"price": {"bins": 4, "labels": ["q1", "q2", "q3", "q4"]}})
     return cut.groupBy("split_id", "role", "price").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -693,13 +705,23 @@ def dummies_int(spark, sf_dir):
         _gaps(spark, sf_dir).select("projectid", "resource", "grade"), ["resource", "grade"], dummy_na=True)
 
 
+@register("""
+WITH c AS (SELECT o_custkey, row_number() OVER (ORDER BY count(*) DESC, CAST(o_custkey AS VARCHAR)) - 1 AS dummy FROM orders GROUP BY 1)
+SELECT o_orderkey, dummy FROM orders JOIN c USING (o_custkey)
+""")
+def dummies_sparse(spark, sf_dir):
+    """A column with too many values for columns of their own: which entry of the sparse vector is 1."""
+    encoded = features.sparse_dummies(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), ["o_custkey"], keep_index=True)
+    return encoded.select("o_orderkey", F.col("o_custkey_index").cast("bigint").alias("dummy"))
+
+
 @register(f"""
 WITH {PROJECTS_SQL}, {SPLITS_SQL}, r AS (SELECT split_id, max(price) AS a, min(price) AS b FROM member WHERE role = 'train' GROUP BY 1)
 SELECT split_id, role, round(min((2 * price - (a + b)) / (a - b)), 6) AS lo, round(max((2 * price - (a + b)) / (a - b)), 6) AS hi,
        round(avg((2 * price - (a + b)) / (a - b)), 6) AS mean FROM member JOIN r USING (split_id) GROUP BY 1, 2
 """)
 def minmax_scale(spark, sf_dir):
-    scaled = features.split_minmax(_member(spark, sf_dir), ["price"])
+    scaled = features.split_minmax(_member(spark, sf_dir, "price"), ["price"])
     return rounded(scaled.groupBy("split_id", "role").agg(
         F.min("price").alias("lo"), F.max("price").alias("hi"), F.avg("price").alias("mean")))
 
@@ -720,7 +742,7 @@ SELECT split_id, role, sum(CASE WHEN role = 'train' THEN t ELSE a END)::BIGINT A
        max(CASE WHEN role = 'train' THEN t ELSE a END) AS most FROM member JOIN c USING (split_id, teacher) GROUP BY 1, 2
 """)
 def occurrence_counts(spark, sf_dir):
-    counted = features.split_n_occurrences(_member(spark, sf_dir), ["teacher"], ["projectid"])
+    counted = features.split_n_occurrences(_member(spark, sf_dir, "teacher", "projectid"), ["teacher"], ["projectid"])
     return counted.groupBy("split_id", "role").agg(
         F.sum("teacher_n_occur").alias("total"), F.max("teacher_n_occur").alias("most"))
 
@@ -847,6 +869,31 @@ def topk_random_counts(spark, sf_dir):
     return pieces[0].unionByName(pieces[1])
 
 
+def tied_sql(tie_order: str) -> str:
+    return f"""
+    WITH {topk_sql(tie_order, [0.1])},
+    r AS (SELECT year, score, late, r <= floor(0.1::DOUBLE * n) AS prediction FROM ranked)
+    SELECT year, score, late, prediction, count(*) AS n FROM r GROUP BY ALL
+    """
+
+
+def _tied_predictions(spark, sf_dir, tie_breaker):
+    """Which of the tied rows of a class are taken is the hash's choice; how many is not."""
+    rows = scores(spark, sf_dir).withColumns({"late": F.col("late").cast("int"), "k": F.lit("unused"), "pos": F.lit(True)})
+    marked = evaluate.predict_target_class(rows, "projectid", "score", 0.1, tie_breaker, "late", by=["year"])
+    return marked.groupBy("year", "score", "late", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register(tied_sql("late"))
+def topk_predictions_pessimistic(spark, sf_dir):
+    return _tied_predictions(spark, sf_dir, "pessimistic")
+
+
+@register(tied_sql("late DESC"))
+def topk_predictions_optimistic(spark, sf_dir):
+    return _tied_predictions(spark, sf_dir, "optimistic")
+
+
 @register()
 def topk_metrics_random(spark, sf_dir):
     """No SQL: the seeded hash decides among tied rows."""
@@ -893,7 +940,7 @@ def pr_curve(spark, sf_dir):
 
 @register(f"WITH {PROJECTS_SQL}, {SPLITS_SQL} SELECT split_id, role, round(avg(CAST(late AS INT)), 6) AS baseline FROM member GROUP BY 1, 2")
 def positive_share(spark, sf_dir):
-    return rounded(evaluate.baseline(_member(spark, sf_dir), funding.LATE, ["split_id", "role"]))
+    return rounded(evaluate.baseline(_member(spark, sf_dir, funding.LATE), funding.LATE, ["split_id", "role"]))
 
 
 # --- models ---------------------------------------------------------------------------------------
@@ -939,7 +986,7 @@ PIPELINE_FEATURES = {
 def model_grid_results(spark, sf_dir):
     """No SQL: trained models. All model types on three splits, evaluated in one table."""
     metrics = funding.apply_pipeline(
-        projects(spark, sf_dir), {"methods": {"resource": "manual"}, "manual_vals": {"resource": "N/A"}},
+        kept_projects(spark, sf_dir, "*"), {"methods": {"resource": "manual"}, "manual_vals": {"resource": "N/A"}},
         PIPELINE_FEATURES, GRID_SPECS, key="projectid", date_col="posted", time_length={"months": 24})
     return rounded(evaluate.results_table(metrics))
 
@@ -950,7 +997,7 @@ def earlier_pipeline_results(spark, sf_dir):
     specs = [{"model": "dt", "criterion": "entropy", "max_depth": 5}, {"model": "lr"},
              {"model": "dummy", "strategy": "most_frequent"}]
     metrics = funding.apply_earlier_pipeline(
-        projects(spark, sf_dir), specs, date_col="posted", manual_fill=["resource"], deciles=["price", "balance"],
+        kept_projects(spark, sf_dir, "*"), specs, date_col="posted", manual_fill=["resource"], deciles=["price", "balance"],
         categories=["grade", "resource", "poverty", "metro", "state"], unused=["teacher", "funded", funding.DAYS],
         time_length={"months": 24})
     return rounded(evaluate.results_table(metrics))
@@ -965,3 +1012,27 @@ def credit_tree_accuracy(spark, sf_dir):
     return rounded(credit.build_and_score(
         people, "distress", "projectid", group="metro", quantile_bins={"price": 20, "balance": 10},
         late_counts=["late_payments"]))
+
+
+# --- sources --------------------------------------------------------------------------------------
+
+@register("SELECT doc_id, text, lang, source, n_chars FROM documents")
+def csv_documents(spark, sf_dir):
+    """Texts with quotes, separators and line breaks, written as CSV and read back."""
+    path = Scratch(spark).path("documents")
+    writer = table(spark, sf_dir, "documents").write.option("header", True).option("escape", '"').option("quoteAll", True)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return read_csv(spark, path, col_types={"doc_id": "bigint", "n_chars": "bigint"}, index_col="doc_id")
+
+
+@register("""
+SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS date, CAST(year(o_orderdate) AS INT) AS year,
+       o_totalprice AS latitude, CAST(NULL AS DOUBLE) AS longitude FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1998
+""")
+def loaded_reports(spark, sf_dir):
+    """Event records with texts for dates and numbers, written out and loaded for three years."""
+    path = Scratch(spark).path("reports")
+    table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("date"), F.year("o_orderdate").alias("year"),
+        F.col("o_totalprice").cast("string").alias("latitude"), F.lit("NaN").alias("longitude")).write.parquet(path)
+    return load_reports(spark, path, 1996, 1998)

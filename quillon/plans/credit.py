@@ -16,6 +16,7 @@ from quillon.session import materialize
 from quillon.sources import read_csv
 
 KEY, LABEL, ZIP = "PersonID", "SeriousDlqin2yrs", "zipcode"
+# The columns of the credit data.
 NUMBERS = [
     "SeriousDlqin2yrs", "RevolvingUtilizationOfUnsecuredLines", "age", "NumberOfTime30-59DaysPastDueNotWorse",
     "DebtRatio", "MonthlyIncome", "NumberOfOpenCreditLinesAndLoans", "NumberOfTimes90DaysLate",

@@ -28,6 +28,7 @@ from quillon.sources import read_csv
 KEY, POSTED, FUNDED = "projectid", "date_posted", "datefullyfunded"
 DAYS, LATE = "daystofullfunding", "not_fully_funded_60days"
 DEADLINE_DAYS = 60
+# The columns of the funding data.
 TEXTS = [
     "projectid", "teacher_acctid", "schoolid", "school_ncesid", "school_city", "school_state", "school_metro",
     "school_district", "school_county", "school_charter", "school_magnet", "teacher_prefix",

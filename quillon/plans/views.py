@@ -18,7 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as projects: posted on the order date, funded on the last ship date (missing without lines).
 
-    Joined once and written out, because most operators read their input more than once.
+    Not written out: a query reads the columns and joins it needs. Queries that read it more than once
+    keep the columns they use (``kept_projects``).
     """
     shipped = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("funded"))
     people = (
@@ -34,7 +35,12 @@ def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("projectid"), F.col("o_custkey").alias("teacher"), F.col("o_orderdate").alias("posted"),
         "funded", F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("grade"),
         F.col("o_orderstatus").alias("resource"), "poverty", "state", "metro", "balance")
-    return materialize(add_label(named, "posted", "funded"))
+    return add_label(named, "posted", "funded")
+
+
+def kept_projects(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The given columns of the projects, joined once and written out."""
+    return materialize(projects(spark, sf_dir).select(*columns))
 
 
 # The same view for the SQL side.

@@ -46,26 +46,39 @@ POLYGON = "array<array<array<double>>>"
 def read_csv(
     spark: SparkSession, path: str, cols: Sequence[str] | None = None,
     col_types: Mapping[str, str | T.DataType] | None = None, index_col: str | Sequence[str] | None = None,
+    multiline: bool = True, bad_rows: str = "error",
 ) -> DataFrame:
     """Read a CSV file with a header, keeping the wanted columns.
 
-    Types are declared, never inferred: only the header line is read beforehand. Columns without a
-    type are text. Key columns stay ordinary columns and come first. Text that cannot be read as the
-    declared type is missing.
+    Quoted fields may hold separators, doubled quotes and, with ``multiline``, line breaks; files without line
+    breaks in fields read faster, split into parts, when ``multiline`` is off. Types are declared, never
+    inferred: only the header line is read beforehand. Columns without a type are text. Key columns stay
+    ordinary columns and come first. Text that cannot be read as the declared type is missing. A row with
+    another number of fields than the header is an error, or is left out with ``bad_rows="drop"``.
     """
-    header = spark.read.option("header", True).csv(path).columns
+    if bad_rows not in ("error", "drop"):
+        raise ValueError("bad_rows must be error or drop")
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline).option("enforceSchema", False)
+    header = reader.csv(path).columns
     types = dict(col_types or {})
-    schema = T.StructType([T.StructField(c, _spark_type(types.get(c, "string"))) for c in header])
     keys = [index_col] if isinstance(index_col, str) else list(index_col or [])
     wanted = list(cols) if cols is not None else header
     names = keys + [c for c in wanted if c not in keys]
     unknown = set(names) - set(header)
     if unknown:
         raise ValueError(f"columns not in the file: {sorted(unknown)}")
-    rows = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    rows = nan_to_null(rows.select(*[column(c) for c in names]))
-    texts = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.StringType)]
-    return rows.withColumns({c: F.when(~column(c).isin(MISSING_TEXTS), column(c)) for c in texts}) if texts else rows
+    torn = "__torn"
+    schema = T.StructType([*[T.StructField(c, T.StringType()) for c in header], T.StructField(torn, T.StringType())])
+    rows = reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", torn).option("columnPruning", False).csv(path)
+    if bad_rows == "error":
+        message = F.concat(F.lit("row with a wrong number of fields: "), F.col(torn))
+        rows = rows.where(F.when(F.col(torn).isNull(), True).otherwise(F.raise_error(message).cast("boolean")))
+    else:
+        rows = rows.where(F.col(torn).isNull())
+    texts = {c: F.when(~column(c).isin(MISSING_TEXTS), column(c)) for c in names}
+    kinds = {c: _spark_type(types.get(c, "string")) for c in names}
+    return nan_to_null(rows.select(*[
+        (texts[c] if isinstance(kinds[c], T.StringType) else texts[c].try_cast(kinds[c])).alias(c) for c in names]))
 
 
 def _spark_type(given) -> T.DataType:

@@ -77,7 +77,9 @@ def test_category_sizes(animals):
 def test_histograms(spark):
     df = spark.createDataFrame([(float(x),) for x in [0, 1, 1, 5, 9, 10, 11]] + [(None,)], "x double")
     counts = [r.n for r in describe.fixed_histogram(df, "x", 0, 10, 5).orderBy("bin").collect()]
-    assert counts == [3, 3]
+    assert counts == [0, 3, 3, 1]
+    outer = describe.fixed_histogram(df, "x", 1, 9, 4).orderBy("bin").collect()
+    assert [(r.bin, r.bin_start, r.bin_end, r.n) for r in outer] == [(-1, None, 1.0, 1), (0, 1.0, 5.0, 2), (1, 5.0, 9.0, 2), (2, 9.0, None, 2)]
     table = describe.histogram(df, "x").orderBy("bin").collect()
     values = np.array([0, 1, 1, 5, 9, 10, 11.0])
     q1, q3 = np.quantile(values, [0.25, 0.75])
