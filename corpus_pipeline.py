@@ -61,7 +61,9 @@ def jaccard_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     dropped = _scratch(spark).keep(dropped)
     if dropped.count() <= DROPPED_BROADCAST_ROWS:
         dropped = F.broadcast(dropped)
-    return docs.withColumn("__key", key).join(dropped, "__key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    safe = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.toDF(*safe.values()).withColumn("__key", line_runs.document_key(safe["doc_id"], safe["text"]))
+    return rows.join(dropped, "__key", "left_anti").select(*[F.col(s).alias(c) for c, s in safe.items()])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -126,16 +126,19 @@ def judge(
 
     A document is kept unless its base measures fail or it is depleted: its lines above the limits hold more
     than ``depleted_percent`` per cent of its words. NULL and empty texts have no words and fail. Ties at a
-    limit are within it. Repeated rows get equal verdicts. An empty table gives an empty result.
+    limit are within it. Repeated rows get equal verdicts. An empty table gives an empty result. Columns of the
+    added names are replaced.
     """
-    measured = measures(docs.select("*", *content_key(text_column, host_column)), text_column, "__q_")
-    hits = frequent_lines(docs, scratch, text_column, host_column, least_documents, host_percent)
+    safe = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    rows, names = docs.toDF(*safe.values()), (safe[text_column], safe[host_column])
+    measured = measures(rows.select("*", *content_key(*names)), names[0], "__q_")
+    hits = frequent_lines(rows, scratch, *names, least_documents, host_percent)
     judged = measured.join(hits, ["__host", "__digest"], "left")
     removed = F.coalesce("__removed_words", F.lit(0))
     depleted = 100 * removed > depleted_percent * F.col("__q_n_words")
-    return judged.select(
-        *[F.col(f"`{c}`") for c in docs.columns], *[F.col(c) for c in measured.columns if c.startswith("__q_")],
-        removed.alias("__q_n_removed_words"), (~F.col("__q_base_failed") & ~depleted).alias("__q_kept"), F.col("__lines").alias("__q_removed_lines"))
+    added = {c: F.col(c) for c in measured.columns if c.startswith("__q_")}
+    added |= {"__q_n_removed_words": removed, "__q_kept": ~F.col("__q_base_failed") & ~depleted, "__q_removed_lines": F.col("__lines")}
+    return judged.select(*[F.col(s).alias(c) for c, s in safe.items() if c not in added], *[v.alias(n) for n, v in added.items()])
 
 
 def clean(docs: DataFrame, scratch: Scratch, text_column: str = "text", host_column: str = "source", **limits: int) -> DataFrame:

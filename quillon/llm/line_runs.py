@@ -76,15 +76,19 @@ def doubled_ranks(ranks: DataFrame, length: int, scratch: Scratch) -> DataFrame:
 
 
 def windows(ranks: DataFrame, least_words: int) -> DataFrame:
-    """(key, p, size): runs of repeated lines with ``least_words`` words at least, but fewer without their first line.
+    """(key, p, size): runs of repeated lines with ``least_words`` words, but fewer without their first or without their last line.
 
     Every run with ``least_words`` words is a union of such runs, so these are the only depths at which
-    longest-common-prefix intervals have to be looked at.
+    longest-common-prefix intervals have to be looked at. They have at most ``least_words`` lines.
     """
-    near = Window.partitionBy("key").orderBy("c").rangeBetween(0, least_words - 1)
-    ends = ranks.select("key", "p", "w", "c", F.collect_list(F.struct("p", "c")).over(near).alias("ends"))
-    fits = F.filter("ends", lambda e: e["c"] - F.col("c") + F.col("w") >= least_words)
-    return ends.select("key", "p", F.explode(F.transform(fits, lambda e: e["p"] - F.col("p") + 1)).alias("size"))
+    place = F.struct("p", "c")
+    after = Window.partitionBy("key").orderBy("c").rangeBetween(0, least_words - 1)  # few words after the first line
+    before = Window.partitionBy("key").orderBy("s").rangeBetween(0, least_words - 1)  # few words before the last line
+    ends = ranks.withColumn("s", F.col("c") - F.col("w")).select(
+        "key", "p", "s", F.collect_list(place).over(after).alias("right"), F.max(place).over(before).alias("left"))
+    both = F.array_append("right", F.col("left"))
+    fits = F.filter(both, lambda e: e["c"] - F.col("s") >= least_words)
+    return ends.select("key", "p", F.explode(F.array_distinct(F.transform(fits, lambda e: e["p"] - F.col("p") + 1))).alias("size"))
 
 
 def later_copies(runs: DataFrame, ranks: DataFrame, length: int, scratch: Scratch) -> DataFrame:
@@ -134,24 +138,26 @@ def remove_repeated_runs(
     copy stays. A run lies within one document.
 
     Rows that repeat both id and text are one document and get equal results. NULL texts have no lines and stay
-    NULL; the empty text is one empty line. An empty table gives an empty result. Columns may have any other
-    names.
+    NULL; the empty text is one empty line. An empty table gives an empty result. Columns of the three
+    added names are replaced.
     """
-    found = repeated_lines(docs, scratch, id_column, text_column, least_words).withColumnRenamed("key", "__key")
+    safe = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    rows, text_name = docs.toDF(*safe.values()), safe[text_column]
+    found = repeated_lines(rows, scratch, safe[id_column], text_name, least_words)
     size = found.agg(F.sum(F.size("lines"))).first()[0] or 0
     if size <= BROADCAST_LINES:
         found = F.broadcast(found)  # at most BROADCAST_LINES integers
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    joined = docs.select("*", document_key(id_column, text_column).alias("__key")).join(found, "__key", "left")
-    parts = joined.select(*own, "lines", F.split(text_of(text_column), "\n").alias("__lines"))
-    everything = F.sequence(F.lit(0), F.size("__lines") - 1)
-    worded = F.filter(everything, lambda j: has_word(F.get("__lines", j)))
-    listed = parts.select(*own, "__lines", "lines", F.when(F.col("lines").isNotNull(), worded).alias("__worded"))
-    removed = listed.select(*own, "__lines", F.coalesce(F.transform("lines", lambda p: F.get("__worded", p)), F.array().cast("array<int>")).alias("__removed"))
-    left = F.transform(F.array_except(everything, F.col("__removed")), lambda j: F.get("__lines", j))
-    text = F.when(F.size("__removed") == 0, F.col(f"`{text_column}`").cast("string")).otherwise(F.array_join(left, "\n"))
-    count = F.when(F.col(f"`{text_column}`").isNull(), 0).otherwise(F.size("__lines"))
-    return removed.select(*own, count.cast("bigint").alias("__n_lines"), "__removed", text.alias("__text"))
+    joined = rows.withColumn("key", document_key(safe[id_column], text_name)).join(found, "key", "left")
+    parts = joined.withColumn("split", F.split(text_of(text_name), "\n"))
+    everything = F.sequence(F.lit(0), F.size("split") - 1)
+    worded = F.filter(everything, lambda j: has_word(F.get("split", j)))
+    listed = parts.withColumn("worded", F.when(F.col("lines").isNotNull(), worded))
+    removed = listed.withColumn("removed", F.coalesce(F.transform("lines", lambda p: F.get("worded", p)), F.array().cast("array<int>")))
+    left = F.transform(F.array_except(everything, F.col("removed")), lambda j: F.get("split", j))
+    text = F.when(F.size("removed") == 0, F.col(text_name).cast("string")).otherwise(F.array_join(left, "\n"))
+    count = F.when(F.col(text_name).isNull(), 0).otherwise(F.size("split")).cast("bigint")
+    added = {"__n_lines": count, "__removed": F.col("removed"), "__text": text}
+    return removed.select(*[F.col(s).alias(c) for c, s in safe.items() if c not in added], *[v.alias(n) for n, v in added.items()])
 
 
 SQL = r"""
@@ -165,7 +171,8 @@ cum AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY p) AS c FROM l),
 whole AS (SELECT doc_id, list(norm ORDER BY p) AS norms FROM l GROUP BY doc_id),
 runs AS (
   SELECT a.doc_id, a.p, b.p - a.p + 1 AS size, array_to_string(norms[a.p : b.p], chr(10)) AS run
-  FROM cum a JOIN cum b ON a.doc_id = b.doc_id AND b.p BETWEEN a.p AND a.p + 50 AND b.c - a.c + a.w >= 50 AND b.c - a.c < 50 JOIN whole ON whole.doc_id = a.doc_id),
+  FROM cum a JOIN cum b ON a.doc_id = b.doc_id AND b.p BETWEEN a.p AND a.p + 50 AND b.c - a.c + a.w >= 50
+    AND (b.c - a.c < 50 OR b.c - b.w - a.c + a.w < 50) JOIN whole ON whole.doc_id = a.doc_id),
 later AS (SELECT doc_id, p, size FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, p) AS copy FROM runs) WHERE copy > 1),
 gone AS (SELECT DISTINCT l.doc_id, l.j FROM l JOIN later ON l.doc_id = later.doc_id AND l.p BETWEEN later.p AND later.p + later.size - 1),
 kept AS (SELECT raw.doc_id, string_agg(line, chr(10) ORDER BY raw.j) AS text FROM raw LEFT JOIN gone USING (doc_id, j) WHERE gone.j IS NULL GROUP BY raw.doc_id),

@@ -60,9 +60,9 @@ def shuffle_into_shards(
     NULLs, ties and repeated rows are rows like others. Columns named ``shard`` or ``slot`` are replaced.
     An empty table gives an empty result.
     """
-    payload = [c for c in rows.columns if c not in ("shard", "slot")]
-    place = F.monotonically_increasing_id()
-    kept = scratch.keep(rows.select(*[F.col(f"`{c}`") for c in payload], place.alias("__place")))
+    safe = {c: f"c{i}" for i, c in enumerate(rows.columns)}
+    payload = [s for c, s in safe.items() if c not in ("shard", "slot")]
+    kept = scratch.keep(rows.toDF(*safe.values()).select(*payload, F.monotonically_increasing_id().alias("__place")))
     block = F.pmod(F.shiftright("__place", 33), F.lit(matrix_rows)).cast("int")
     placed = kept.withColumn("__block", block)
     counts = {r["__block"]: r["n"] for r in placed.groupBy("__block").agg(F.count("*").alias("n")).collect()}
@@ -78,9 +78,9 @@ def shuffle_into_shards(
     local = _permuted(placed, "__block", "__rank", seed * 2 + 1, -(-most // bucket_rows))
     # at most matrix_rows x shards rows, whatever the size of the table
     sent = local.join(F.broadcast(runs), (local["__block"] == runs["__block"]) & (F.col("__rank") >= F.col("__from")) & (F.col("__rank") < F.col("__to")))
-    arrived = sent.select(*[F.col(f"`{c}`") for c in payload], "__place", "shard")
+    arrived = sent.select(*payload, "__place", "shard")
     slots = _permuted(arrived, "shard", "slot", seed * 2 + 2, -(-total // (shards * bucket_rows)))
-    return slots.select(*[F.col(f"`{c}`") for c in payload], "shard", "slot")
+    return slots.select(*[F.col(s).alias(c) for c, s in safe.items() if s in payload], "shard", "slot")
 
 
 def _permuted(rows: DataFrame, group: str, rank: str, seed: int, ranges: int) -> DataFrame:
