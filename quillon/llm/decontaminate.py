@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 
 from quillon.session import spread
 
-ERROR_RATE = 0.06
+ERROR_RATE = 0.08
 LEAST_CHARS = 40
-LEAST_PIECE = 12
+LEAST_PIECE = 11
 BLOCK_CHARS = 4_000_000
 BLOCK_ITEMS = 20_000
 
