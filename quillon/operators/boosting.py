@@ -51,9 +51,15 @@ def fit_boosted_stumps(
         if not totals.n or totals.right >= totals["all"] or not totals.next or i == rounds - 1:
             break  # nothing left to learn
         scale = totals.n / totals.next
-        rows = _without_outputs(scored.withColumn("weight", F.col("weight") * factor * scale))
+        weighted = _without_outputs(scored.withColumn("weight", F.col("weight") * factor * scale))
         if (i + 1) % ROUNDS_PER_CHECKPOINT == 0:
-            rows = materialize(rows)
+            weighted = materialize(weighted)
+        # a round reads its rows several times: kept until the next round has its own
+        weighted = weighted.persist()
+        weighted.count()
+        rows.unpersist()
+        rows = weighted
+    rows.unpersist()
 
     def score(frame: DataFrame) -> DataFrame:
         scored = frame.withColumn("__sum", F.lit(0.0))

@@ -8,14 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillon.functions import column
-from quillon.operators.params import DRIVER_ROWS
+from quillon.operators.params import DRIVER_ROWS, salted_join
 from quillon.session import materialize
 
 HOT_KEYS = 1000
 SALTS = 4096
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-COPIES = 16
 
 
 def lookup(
@@ -54,17 +53,12 @@ def dimension_join(
 ) -> DataFrame:
     """Join rows to a table that describes their keys.
 
-    The table is counted: a small one of bounded row width is broadcast. A larger one is copied as often as
-    the rows need it, and the rows are spread over the copies by their place in the input, so that neither one
-    key, nor a missing one, nor rows that are all alike fill a single task.
+    The table is counted: a small one of bounded row width is broadcast, a larger one joined with salt.
     """
     keys = list(keys)
     if fits_broadcast(table, broadcast_rows):
         return rows.join(F.broadcast(table), keys, how)
-    copies = max(COPIES, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(copies)).cast("int")
-    spread_table = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-    return rows.withColumn("__salt", salt).join(spread_table, [*keys, "__salt"], how).drop("__salt")
+    return salted_join(rows, table, keys, how)
 
 
 def fits_broadcast(table: DataFrame, rows: int = BROADCAST_ROWS, total_bytes: int = BROADCAST_BYTES) -> bool:

@@ -22,6 +22,7 @@ from quillon.session import materialize
 PIVOTS = 16
 BLOCK_ROWS = 2000
 KERNEL_CELLS = 4_000_000  # doubles held at once by the distance kernel
+CHUNK_NUMBERS = 1 << 22  # differences held at once when distances are taken
 SLACK = 1e-9  # rounding allowance when a whole cell is ruled out
 
 
@@ -37,7 +38,9 @@ def _distances_to(pivots: np.ndarray):
     @F.pandas_udf("array<double>")
     def distances(vectors: pd.Series) -> pd.Series:
         v = np.stack(vectors.to_numpy())
-        return pd.Series(list(np.sqrt(((v[:, None, :] - pivots[None, :, :]) ** 2).sum(axis=2))))
+        step = max(1, CHUNK_NUMBERS // pivots.size)
+        parts = [np.sqrt(((v[i : i + step, None, :] - pivots[None, :, :]) ** 2).sum(axis=2)) for i in range(0, len(v), step)]
+        return pd.Series(list(np.concatenate(parts)))
 
     return distances
 
@@ -58,8 +61,8 @@ class NearestNeighbours:
             raise ValueError("no training rows")
         self.pivot_distances = _distances_to(np.array([r.n_vec for r in first], dtype=float))
         placed = rows.withColumn("d", self.pivot_distances("n_vec"))
-        placed = placed.withColumn("radius", F.array_min("d")).withColumn(
-            "cell", (F.array_position("d", F.col("radius")) - 1).cast("int")).drop("d")
+        placed = materialize(placed.withColumn("radius", F.array_min("d")).withColumn(
+            "cell", (F.array_position("d", F.col("radius")) - 1).cast("int")).drop("d"))
         cells = placed.groupBy("cell").agg(
             F.count(F.lit(1)).alias("n"), F.min("radius").alias("inner"), F.max("radius").alias("outer")).collect()
         self.cells = {r.cell: r for r in cells}

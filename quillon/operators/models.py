@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
@@ -37,6 +38,8 @@ class Classifier:
 
 
 def _depth(value: int | None) -> int:
+    if value is not None and int(value) > DEEPEST_TREE:
+        warnings.warn(f"Spark grows trees of at most {DEEPEST_TREE} levels; {value} were asked for", stacklevel=3)
     return DEEPEST_TREE if value is None else min(int(value), DEEPEST_TREE)
 
 
@@ -74,6 +77,9 @@ def _forest(train, label, key, spec):
 
 
 def _bagging(train, label, key, spec):
+    """Bagged trees; ``base_estimator`` may hold the tree's own parameters."""
+    base = {k: v for k, v in dict(spec.get("base_estimator") or {}).items() if k != "model"}
+    spec = {**base, **{k: v for k, v in spec.items() if k != "base_estimator"}}
     p = parameters(spec, {"criterion": "gini", "max_depth": None, "n_estimators": 10, "max_samples": 1.0,
                           "min_samples_leaf": 1, "random_state": 0})
     return _grow(train, label, p, "all", p["max_samples"])

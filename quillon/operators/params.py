@@ -42,8 +42,19 @@ def attach(df: DataFrame, by: Sequence[str], table: DataFrame, how: str = "left"
         row = table.first()
         fields = {f.name: f.dataType for f in table.schema.fields}
         return df.select("*", *[_literal(row[c] if row else None, fields[c]).alias(c) for c in names])
-    small, _ = bounded_or_lazy(table)
-    return df.join(small, list(by), how)
+    small, fits = bounded_or_lazy(table)
+    return df.join(small, list(by), how) if fits else salted_join(df, table, list(by), how)
+
+
+def salted_join(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "left", least_copies: int = 16) -> DataFrame:
+    """Join rows to a table that is copied as often as the rows need it; a row's copy follows from its place in the input.
+
+    Neither one key, nor a missing one, nor rows that are all alike fill a single task.
+    """
+    copies = max(least_copies, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(copies)).cast("int")
+    spread_table = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    return rows.withColumn("__salt", salt).join(spread_table, [*keys, "__salt"], how).drop("__salt")
 
 
 def _literal(value, data_type: T.DataType):

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillon.functions import column, quoted
 from quillon.operators.params import bounded_or_lazy
@@ -23,6 +24,8 @@ CUT_SAMPLE = 0.01
 SMALL_ROWS = 500_000
 ROWS_PER_BUCKET, MIN_BUCKETS, MAX_BUCKETS = 50_000, 8, 4096
 HASH_BITS = 13
+# A bucket with more rows than this is cut again before its rows are looked at closely.
+SPLIT_ROWS = 20 * ROWS_PER_BUCKET
 BUCKET = "__bucket"
 
 
@@ -89,7 +92,9 @@ def bucket_of_ranks(totals: DataFrame, ranks: dict[str, Column] | DataFrame, by:
     return located
 
 
-def values_at_ranks(df: DataFrame, by: Sequence[str], value: str, ranks, measures: Sequence[str] = ()) -> DataFrame:
+def values_at_ranks(
+    df: DataFrame, by: Sequence[str], value: str, ranks, measures: Sequence[str] = (), larger: int | None = None,
+) -> DataFrame:
     """Exact value at every wanted rank, plus what lies below it and what equals it.
 
     ``df`` must carry a bucket column (see above) and has neither missing values nor missing group
@@ -100,9 +105,14 @@ def values_at_ranks(df: DataFrame, by: Sequence[str], value: str, ranks, measure
     located = bucket_of_ranks(bucket_totals(df, by, measures), ranks, by)
     sums = ["n", *measures]
     keep = [*by, BUCKET, "rank_id", "rank", *[f"{s}_before" for s in sums], *[f"{s}_total" for s in sums]]
-    located, _ = bounded_or_lazy(located.select(*keep))
+    located, _ = bounded_or_lazy(located.select("n", *keep))
+    largest = located.agg(F.max("n").alias("n")).first().n or 0
+    located = located.select(*keep)
 
     inside = df.join(located.select(*by, BUCKET).distinct(), [*by, BUCKET], "left_semi")
+    # a bucket that cutting did not make smaller holds one value only, which is merged below
+    if largest > SPLIT_ROWS and (larger is None or largest < larger) and isinstance(df.schema[value].dataType, T.NumericType):
+        return _split_again(inside, located, by, value, measures, largest)
     counts = inside.groupBy(*by, BUCKET, value).agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(m).cast("bigint").alias(m) for m in measures]
     )
@@ -123,6 +133,25 @@ def values_at_ranks(df: DataFrame, by: Sequence[str], value: str, ranks, measure
     )
 
 
+def _split_again(
+    inside: DataFrame, located: DataFrame, by: list[str], value: str, measures: Sequence[str], largest: int,
+) -> DataFrame:
+    """``values_at_ranks`` for buckets that are too large for one task: each is cut into buckets of its own.
+
+    A bucket becomes a group, its ranks start at its first row, and new edges are drawn from the rows of the
+    wanted buckets alone. As often as needed, so no number of rows is too large.
+    """
+    outer, sums = f"{BUCKET}_{len(by)}", ["n", *measures]
+    rows = inside.withColumnRenamed(BUCKET, outer)
+    known = located.withColumnRenamed(BUCKET, outer)
+    ranks = known.select(*by, outer, "rank_id", (F.col("rank") - F.col("n_before")).alias("rank"))
+    found = values_at_ranks(add_value_bucket(rows, value, rows.count()), [*by, outer], value, ranks, measures, largest)
+    before = known.select(*by, outer, "rank_id", F.col("rank").alias("__rank"), *[F.col(f"{s}_before") for s in sums], *[F.col(f"{s}_total").alias(f"__{s}") for s in sums])
+    return found.join(before, [*by, outer, "rank_id"]).select(
+        *by, "rank_id", F.col("__rank").alias("rank"), "value", *[F.col(f"__{s}").alias(f"{s}_total") for s in sums],
+        *[(F.col(f"{s}_before") + F.col(f"{s}_below")).alias(f"{s}_below") for s in sums], *[F.col(f"{s}_equal") for s in sums])
+
+
 def running_counts(df: DataFrame, by: Sequence[str], value: str, measures: Sequence[str] = ()) -> DataFrame:
     """One row per (group, distinct value): rows and measure sums at it, below it and in total.
 

@@ -11,6 +11,7 @@ from quillon.functions import column, month_on_common_year, percent
 from quillon.operators.describe import fixed_histogram, summarize_data, value_counts
 from quillon.operators.joins import dimension_join
 from quillon.operators.params import attach
+from quillon.session import materialize
 
 # More pivot columns than this would make a plan nobody can read; list the values wanted instead.
 MAX_PIVOT_VALUES = 1000
@@ -24,7 +25,11 @@ def summarize_on_field(reports: DataFrame, field: str) -> DataFrame:
 
 
 def _with_total(counts: DataFrame) -> DataFrame:
-    """Append the sum of all counts as a literal: a window would pull every value into one task."""
+    """Append the sum of all counts as a literal: a window would pull every value into one task.
+
+    The grouped table is written once, so the rows behind it are read once.
+    """
+    counts = materialize(counts)
     return attach(counts, [], counts.agg(F.sum("n").alias("__total")))
 
 
@@ -152,5 +157,5 @@ def map_neighborhood_stats(
 ) -> DataFrame:
     """Row counts joined to the areas, with the smallest and largest count for a colour scale."""
     counts = value_counts(reports, field, "counts").withColumnRenamed(field, name)
-    drawn = dimension_join(counts, areas, [name], "inner")
+    drawn = materialize(dimension_join(materialize(counts), areas, [name], "inner"))
     return attach(drawn, [], drawn.agg(F.min("counts").alias("scale_min"), F.max("counts").alias("scale_max")))

@@ -17,7 +17,13 @@ from quillon.operators.describe import (
     report_n_missing,
     summarize_data,
 )
-from quillon.operators.evaluate import THRESHOLDS, quantile_metrics
+from quillon.operators.evaluate import (
+    THRESHOLDS,
+    auc_roc,
+    fixed_class_metrics,
+    precision_recall_curve,
+    quantile_metrics,
+)
 from quillon.operators.features import create_dummies_many, cut_variable, generate_features
 from quillon.operators.models import SCORE
 from quillon.operators.params import drop_columns
@@ -136,8 +142,39 @@ def apply_earlier_pipeline(
 ) -> DataFrame:
     """The earlier pipeline: clean and bin the whole table, then split it into consecutive windows.
 
-    Cleaning before splitting lets test rows influence the fitted values; ``apply_pipeline`` does not.
+    Cleaning before splitting lets test rows influence the fitted values; ``apply_pipeline`` does not. Missing
+    days until funding are filled before the label is made of them. A dummy model's own classes count at
+    every threshold; all others' follow from the quantiles of their scores. ``auc_roc`` rows have no threshold;
+    ``earlier_curve`` has the points of the precision-recall curves.
     """
+    scores = earlier_scores(projects, specs, key, date_col, label, manual_fill, deciles, categories, unused, time_length, parallelism)
+    by = ["model_id", "model", SPLIT]
+    own = [i for i, spec in enumerate(specs, start=1) if spec["model"] == "dummy"]
+    dummy = F.col("model_id").isin(own)
+    said = scores.where(dummy).withColumn("__said", F.col(SCORE) > 0.5)
+    metrics = quantile_metrics(scores.where(~dummy), SCORE, label, thresholds, by).unionByName(
+        fixed_class_metrics(said, "__said", label, thresholds, by))
+    auc = auc_roc(scores, SCORE, label, by).select(
+        *by, F.lit("auc_roc").alias("metric"), F.lit(None).cast("double").alias("threshold"), F.col("auc_roc").alias("value"))
+    return metrics.unionByName(auc.select(*metrics.columns))
+
+
+def earlier_curve(scores: DataFrame, label: str = LATE) -> DataFrame:
+    """Precision and recall at every score, from ``earlier_scores``: ``model_id, model, split_id, score, precision, recall``."""
+    return precision_recall_curve(scores, SCORE, label, ["model_id", "model", SPLIT])
+
+
+def earlier_scores(
+    projects: DataFrame, specs: Sequence[Mapping], key: str = KEY, date_col: str = POSTED, label: str = LATE,
+    manual_fill: Sequence[str] = ("secondary_focus_area", "secondary_focus_subject"),
+    deciles: Sequence[str] = ("students_reached", "total_price_including_optional_support"),
+    categories: Sequence[str] = tuple(CATEGORIES), unused: Sequence[str] = (*UNUSED, DAYS, FUNDED),
+    time_length: Mapping[str, int] | None = None, parallelism: int = 4,
+) -> DataFrame:
+    """Scores of every specification on every test window of the earlier pipeline."""
+    if DAYS in projects.columns:
+        known = replace_missing(projects, [DAYS])
+        projects = known.withColumn(label, cut_binary(column(DAYS), DEADLINE_DAYS))
     wanted = drop_columns(projects, list(unused)).withColumns(
         {c: F.coalesce(column(c), F.lit("N/A")) for c in manual_fill})
     fixed = {key, date_col, label}
@@ -147,5 +184,4 @@ def apply_earlier_pipeline(
         binned = cut_variable(binned, name, 10, [f"dec{i / 10}" for i in range(10)]).drop(f"{name}_bin")
     dummies = create_dummies_many(binned, [*categories, *deciles])
     splits = create_consecutive_splits(dummies, date_col, time_length or {"months": 6}).drop(date_col)
-    scores = score_grid(splits, specs, label, key, [], parallelism)
-    return quantile_metrics(scores, SCORE, label, thresholds, by=["model_id", "model", SPLIT])
+    return score_grid(splits, specs, label, key, [], parallelism)

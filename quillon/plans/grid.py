@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import Future, ThreadPoolExecutor
 from functools import reduce
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,7 @@ def score_grid(
     """
     ready = materialize(splits, [SPLIT, ROLE])  # each fit then reads only the files of its split
     numeric = [c for c in numeric_columns(ready, booleans=True) if c not in (key, label, SPLIT)]
+    numeric += [f.name for f in ready.schema.fields if isinstance(f.dataType, VectorUDT)]  # wide dummies
     keep = [column(key), column(label).cast("int").alias(label), FEATURES]
 
     def prepare(split: int) -> tuple[DataFrame, DataFrame]:

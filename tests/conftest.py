@@ -19,14 +19,16 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-@pytest.fixture(params=["small", "bucketed"])
+@pytest.fixture(params=["small", "bucketed", "split again"])
 def any_size(request, monkeypatch):
-    """Run a test on the path of small tables and on the one of large tables."""
-    if request.param == "bucketed":
+    """Run a test on the path of small tables, on the one of large tables, and on the one of very large tables."""
+    if request.param != "small":
         from quillon.operators import ranks
 
         monkeypatch.setattr(ranks, "SMALL_ROWS", -1)
         monkeypatch.setattr(ranks, "CUT_SAMPLE", 0.5)
+        if request.param == "split again":
+            monkeypatch.setattr(ranks, "SPLIT_ROWS", 20)
     return request.param
 
 

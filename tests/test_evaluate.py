@@ -114,3 +114,17 @@ def test_small_helpers(spark):
     assert len(points) == 33 and points[0] == 0.01 and points[-1] == 1.0
     with pytest.raises(ValueError):
         evaluate.predict_target_class(df, "y", "y", 0.5, "optimistic")
+
+
+def test_predictions_whatever_the_columns_are_called(spark):
+    from quillon.operators.evaluate import predict_target_class
+
+    for names in (("k", "pos", "s", "n"), ("s", "k", "pos", "value"), ("pos", "s", "k", "h"), ("n", "place", "cut", "k")):
+        key, score, label, other = names
+        frame = spark.createDataFrame([(i, float(i // 2), i % 2 == 0, f"x{i}") for i in range(10)], list(names))
+        for tie in ("random", "pessimistic", "optimistic"):
+            rows = predict_target_class(frame, key, score, 0.3, tie, label).orderBy(key).collect()
+            assert [tuple(r)[:4] for r in rows] == [(i, float(i // 2), i % 2 == 0, f"x{i}") for i in range(10)]
+            chosen = {r[key] for r in rows if r["prediction"]}
+            assert {8, 9} <= chosen and len(chosen) == 3
+            assert tie == "random" or (7 if tie == "pessimistic" else 6) in chosen

@@ -107,3 +107,36 @@ def test_number_columns_with_dashes_survive(spark):
     assert {r["column"] for r in summarize_data(df).collect()} == {"30-59 days", "a.b"}
     assert {r["column"]: r.n_missing for r in report_n_missing(df).collect()} == {"30-59 days": 0, "a.b": 1}
     assert df.agg(F.count("`a.b`")).first()[0] == 1
+
+
+def test_hot_and_missing_keys_are_spread(spark):
+    from quillon.operators.joins import dimension_join
+
+    rows = spark.range(4000).selectExpr("if(id % 4 = 0, null, if(id % 4 = 1, id, 7)) as k").repartition(4).select("k")
+    table = spark.range(5000).selectExpr("id as k", "id * 2 as v")
+    joined = dimension_join(rows, table, ["k"], broadcast_rows=0)
+    assert joined.count() == 4000
+    assert joined.where("v <> 2 * k or (v is null) <> (k is null)").count() == 0
+    assert "__salt" not in joined.columns
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        from pyspark.sql import functions as F
+
+        tasks = dimension_join(rows, table, ["k"], broadcast_rows=0).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(r["count"] for r in tasks) < 1500
+
+
+def test_csv_with_quotes_breaks_and_torn_rows(spark, tmp_path):
+    import pytest
+
+    path = tmp_path / "rows.csv"
+    path.write_text('id,txt,n\n1,"a ""b"", c",3\n2,"x\ny",4\n3,NA,zz\n4,plain,\n')
+    rows = sources.read_csv(spark, str(path), col_types={"id": "bigint", "n": "int"}).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [(1, 'a "b", c', 3), (2, "x\ny", 4), (3, None, None), (4, "plain", None)]
+    torn = tmp_path / "torn.csv"
+    torn.write_text("id,txt\n1,a\n2,b,c\n3\n")
+    with pytest.raises(Exception, match="wrong number of fields"):
+        sources.read_csv(spark, str(torn), col_types={"id": "bigint"}).collect()
+    assert [r.id for r in sources.read_csv(spark, str(torn), col_types={"id": "bigint"}, bad_rows="drop").collect()] == [1]
