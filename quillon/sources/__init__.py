@@ -71,10 +71,11 @@ def read_csv(
     schema = T.StructType([*[T.StructField(c, T.StringType()) for c in header], T.StructField(torn, T.StringType())])
     rows = reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", torn).option("columnPruning", False).csv(path)
     if bad_rows == "error":
-        message = F.concat(F.lit("row with a wrong number of fields: "), F.col(torn))
+        # Spark refuses queries on the record column alone, so a count has to name another column too
+        message = F.concat_ws(" ", F.lit("row with a wrong number of fields:"), F.col(torn), F.substring(column(header[0]), 1, 0))
         rows = rows.where(F.when(F.col(torn).isNull(), True).otherwise(F.raise_error(message).cast("boolean")))
     else:
-        rows = rows.where(F.col(torn).isNull())
+        rows = rows.where(F.col(torn).isNull() | (F.length(column(header[0])) < 0))
     texts = {c: F.when(~column(c).isin(MISSING_TEXTS), column(c)) for c in names}
     kinds = {c: _spark_type(types.get(c, "string")) for c in names}
     return nan_to_null(rows.select(*[

@@ -140,3 +140,5 @@ def test_csv_with_quotes_breaks_and_torn_rows(spark, tmp_path):
     with pytest.raises(Exception, match="wrong number of fields"):
         sources.read_csv(spark, str(torn), col_types={"id": "bigint"}).collect()
     assert [r.id for r in sources.read_csv(spark, str(torn), col_types={"id": "bigint"}, bad_rows="drop").collect()] == [1]
+    assert sources.read_csv(spark, str(torn), bad_rows="drop").count() == 1
+    assert sources.read_csv(spark, str(path)).count() == 4
