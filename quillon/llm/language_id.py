@@ -18,6 +18,7 @@ HIDDEN = 8
 BATCH = 2048
 SAMPLE_PER_LANGUAGE = 600
 SAMPLE_WINDOWS = 6
+SAMPLE_CHARS = 2 * 1024
 UNKNOWN = "und"
 
 
@@ -208,21 +209,20 @@ def predict(net: Network, texts: list[str | None], batch: int = BATCH) -> list[t
     return out
 
 
-def training_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> tuple[list[str], list[str]]:
-    """At most ``per_language`` texts of each language, those of the smallest hash of their id, of at most 64 languages.
+def training_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, most_chars: int = SAMPLE_CHARS) -> tuple[list[str], list[str]]:
+    """About ``per_language`` texts of each of the 64 most frequent languages (twice as many at most), chosen by a hash of the id.
 
-    The languages are the most frequent of the table. NULL texts and languages and texts without a letter teach nothing.
+    Of each, ``most_chars`` characters serve to learn from. NULL texts and languages and texts without a letter teach nothing.
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    names = [r["lang"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(64).collect()]
-    texts, langs = [], []
-    for name in names:
-        part = usable.where(F.col("lang") == name).select("doc_id", F.col("text").cast("string").alias("text"))
-        ids = part.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_language)
-        for row in part.join(F.broadcast(ids.distinct()), "doc_id").orderBy("doc_id", "text").limit(2 * per_language).collect():  # bounded by the sample
-            texts.append(row["text"])
-            langs.append(name)
-    return texts, langs
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(64).collect()
+    chance, wanted = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)), F.lit(False)
+    for row in counts:
+        share = int(min(1.0, per_language / row["n"]) * (1 << 31))
+        wanted = wanted | ((F.col("lang") == row["lang"]) & (chance < share))
+    part = usable.where(wanted).select("lang", F.substring("text", 1, most_chars).alias("text"))
+    found = sorted((r["lang"], r["text"]) for r in part.limit(2 * per_language * max(1, len(counts))).collect())
+    return [text for _, text in found], [lang for lang, _ in found]
 
 
 def holdout(doc_id: str = "doc_id"):
