@@ -137,18 +137,20 @@ def score(model: Model, text: str | None) -> float:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = SAMPLE) -> list[tuple[str, int]]:
-    """At most ``limit`` labelled texts of either class, those of the smallest hash of the doc_id.
+    """About ``limit`` labelled texts of either class (twice as many at most), chosen by a hash of the doc_id.
 
     NULL ids, texts and labels, and labels other than 0 and 1, teach nothing.
     """
     marks = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("int").alias("label"))
-    chosen = None
-    for value in (0, 1):
-        part = marks.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    # at most 2 * limit rows of two integers
+    counts = {r["label"]: r["n"] for r in marks.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31))
+    parts = [marks.where((F.col("label") == v) & (chance < int(min(1.0, limit / n) * (1 << 31)))).limit(2 * limit) for v, n in sorted(counts.items())]
+    if not parts:
+        return []
+    chosen = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    # at most 4 * limit rows of two integers
     found = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").where(F.col("text").isNotNull())
-    return [(r["text"], r["label"]) for r in found.orderBy("doc_id", "label").toLocalIterator()]
+    return sorted((r["text"], r["label"]) for r in found.limit(4 * limit).collect())
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
