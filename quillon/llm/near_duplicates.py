@@ -111,7 +111,8 @@ def _tree_links(
     texts = rows.join(small, rows["doc_id"].eqNullSafe(members["first"])).select("set", "class", "n", "text")
     sets = scratch.keep(texts.mapInArrow(_sets(shingle), "class bigint, set binary, n bigint, hashes binary"))
     sizes = pairs.join(members.select("class", "n"), "class").groupBy("leader").agg(F.sum("n").alias("total"))
-    sizes = sizes.select("leader", F.ceil(F.col("total") / chunk_shingles).cast("int").alias("chunks"))
+    # a table of its own, so that the join may split a block that a third of the classes share
+    sizes = scratch.keep(sizes.select("leader", F.ceil(F.col("total") / chunk_shingles).cast("int").alias("chunks")))
     placed = pairs.join(sizes, "leader").withColumn("chunk", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
     others = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(F.least(c, "chunk").alias("i"), F.greatest(c, "chunk").alias("j")))
     dealt = placed.select("leader", "class", "chunk", F.explode(others).alias("task")).select("leader", "class", "chunk", "task.i", "task.j")
