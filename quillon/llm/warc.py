@@ -53,15 +53,16 @@ def mark_revisits(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
         F.when(later, "revisit").otherwise("response").alias("record_type"), F.when(later, F.col("__first")).alias("refers_to"))
 
 
-def train_dictionary(records: DataFrame, records_limit: int = SAMPLE_RECORDS, bytes_limit: int = SAMPLE_BYTES) -> bytes:
-    """A dictionary from a bounded sample: the ``records_limit`` responses of the smallest hash, ``bytes_limit`` of each.
+def train_dictionary(pages: DataFrame, records_limit: int = SAMPLE_RECORDS, bytes_limit: int = SAMPLE_BYTES) -> bytes:
+    """A dictionary from a bounded sample of the payloads to archive: about ``records_limit``, ``bytes_limit`` of each.
 
-    A sample too small or too uniform to train on serves as a raw dictionary itself; without any payload the
-    dictionary is empty.
+    Pages are chosen by a hash of their id, each with the same chance. A sample too small or too uniform to
+    train on serves as a raw dictionary itself; without any payload the dictionary is empty.
     """
-    sample = records.where((F.col("record_type") == "response") & (F.col("payload_bytes") > 0)).select(
-        F.substring("payload", 1, bytes_limit).alias("part"), F.xxhash64("digest", "page_id").alias("order"))
-    parts = [bytes(r["part"]) for r in sample.orderBy("order").limit(records_limit).collect()]
+    share = min(1.0, records_limit / max(1, pages.count()))
+    chosen = pages.where(F.pmod(F.xxhash64(F.col("page_id").cast("bigint")), F.lit(1 << 31)) < int(share * (1 << 31)))
+    part = F.substring(F.encode(F.col("html").cast("string"), "utf-8"), 1, bytes_limit).alias("part")
+    parts = sorted(bytes(r["part"]) for r in chosen.where(F.length("html") > 0).select(part).limit(2 * records_limit).collect())
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, parts).as_bytes()
     except zstandard.ZstdError:
@@ -208,9 +209,9 @@ def archive_pages(pages: DataFrame, scratch: Scratch, payloads: bool = False) ->
     Repeated rows give a record each; other columns are not looked at. An empty table gives an empty
     result and no archive.
     """
-    records = scratch.keep(spread(mark_revisits(pages)))
+    records = mark_revisits(spread(pages)).select(*[f.split()[0] for f in RECORD.split(", ")])
     folder = scratch.path("archives")
-    archives = scratch.keep(write_archives(records.select(*[f.split()[0] for f in RECORD.split(", ")]), folder, train_dictionary(records)))
+    archives = scratch.keep(write_archives(records, folder, train_dictionary(pages)))
     return read_archives(spread_files(archives), folder, payloads)
 
 
