@@ -11,7 +11,6 @@ from quillon.session import Scratch
 
 WHITE = "\t\n\x0b\x0c\r "
 GAPS = "[\\t-\\r ]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 LEAST_DOCUMENTS = 10
 HOST_PERCENT = 2
@@ -80,8 +79,19 @@ def measures(docs: DataFrame, text_column: str = "text", prefix: str = "") -> Da
 
 
 def normal_line(line: Column) -> Column:
-    """A-Z in lower case, white space collapsed and trimmed."""
-    return F.regexp_replace(F.translate(F.btrim(line, F.lit(WHITE)), UPPER, LOWER), GAPS, " ")
+    """Lower case, white space collapsed and trimmed."""
+    return F.lower(F.regexp_replace(F.btrim(line, F.lit(WHITE)), GAPS, " "))
+
+
+def normal_lines(text: Column) -> Column:
+    """``normal_line`` of each line of a text that has a word, in order; the text is normalised as a whole, which is cheaper."""
+    whole = F.lower(F.regexp_replace(text, "[\\t\\x0B\\f\\r ]+", " "))
+    return F.filter(F.transform(F.split(whole, "\n"), F.trim), lambda x: x != "")
+
+
+def count_normal_words(line: Column) -> Column:
+    """Words of a normal line: its spaces and one."""
+    return (F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1).cast("int")
 
 
 def line_hash(line: Column) -> Column:
@@ -106,8 +116,9 @@ def frequent_lines(
     one document, so copying a document never condemns its lines.
     """
     key = content_key(text_column, host_column)
-    lines = F.filter(F.split(F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(WHITE)) != "")
-    parts = docs.select(*key, F.explode(lines).alias("line")).select("__host", "__digest", line_hash(F.col("line")).alias("__line"), F.size(words(F.col("line"))).alias("w"))
+    lines = normal_lines(F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit("")))
+    parts = docs.select(*key, F.explode(lines).alias("line")).select(
+        "__host", "__digest", F.unhex(F.md5("line")).alias("__line"), count_normal_words(F.col("line")).alias("w"))
     # copies add up here, and are divided out below
     held = scratch.keep(parts.groupBy("__host", "__line", "__digest").agg(F.sum("w").alias("w")))
     contents = docs.select(*key).groupBy("__host", "__digest").agg(F.count("*").alias("copies"))
@@ -155,7 +166,7 @@ w AS (SELECT rid, host, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM
 windows AS (SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
 twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM windows) WHERE c > 1),
 repeated AS (SELECT rid, count(*) AS n FROM (SELECT DISTINCT rid, i + k AS p FROM twice, (SELECT unnest([0, 1, 2]) AS k)) GROUP BY rid),
-lines AS (SELECT rid, host, t, line, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm
+lines AS (SELECT rid, host, t, line, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm
           FROM (SELECT rid, host, t, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 dup AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY rid),
 hosts AS (SELECT host, count(DISTINCT t) AS texts FROM d GROUP BY host),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillon.llm.line_quality import WHITE, normal_line, words
+from quillon.llm.line_quality import WHITE, count_normal_words, normal_lines
 from quillon.session import Scratch
 
 LEAST_WORDS = 50
@@ -28,10 +28,10 @@ def has_word(line: Column) -> Column:
 
 def line_positions(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """(key, id, p, line, w, c): each line with a word, its number p among such lines, words, and words up to its end."""
-    lines = F.filter(F.split(text_of(text_column), "\n"), has_word)
-    parts = docs.select(document_key(id_column, text_column).alias("key"), F.col(f"`{id_column}`").alias("id"), F.posexplode(lines).alias("p", "text"))
-    rows = parts.select("key", "id", "p", F.unhex(F.md5(normal_line(F.col("text")))).alias("line"), F.size(words(F.col("text"))).alias("w"))
-    once = rows.dropDuplicates(["key", "p"])
+    parts = docs.select(
+        document_key(id_column, text_column).alias("key"), F.col(f"`{id_column}`").alias("id"), F.posexplode(normal_lines(text_of(text_column))).alias("p", "text"))
+    rows = parts.select("key", "id", "p", F.unhex(F.md5("text")).alias("line"), count_normal_words(F.col("text")).alias("w"))
+    once = rows.distinct()
     sofar = Window.partitionBy("key").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
     return once.withColumn("c", F.sum("w").over(sofar))
 
@@ -132,7 +132,7 @@ def remove_repeated_runs(
 ) -> DataFrame:
     """``docs`` with ``__n_lines``, ``__removed`` (numbers of the deleted lines, ascending from 0) and ``__text``, what is left.
 
-    Lines are compared with A-Z in lower case and white space collapsed; lines without a word are neither
+    Lines are compared in lower case with white space collapsed; lines without a word are neither
     compared nor deleted. A run of consecutive lines with at least ``least_words`` words is deleted where the same
     run stands earlier: in a document of smaller id (NULL: last), or earlier in the document itself. The first
     copy stays. A run lies within one document.
@@ -165,7 +165,7 @@ WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE
 raw AS (SELECT doc_id, j, ls[j + 1] AS line FROM (SELECT doc_id, ls, unnest(range(0, len(ls))) AS j FROM d)),
 l AS (
   SELECT doc_id, j, row_number() OVER (PARTITION BY doc_id ORDER BY j) AS p, len(string_split(norm, ' ')) AS w, norm FROM (
-    SELECT doc_id, j, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm
+    SELECT doc_id, j, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm
     FROM raw WHERE regexp_matches(line, '[^\x20\x09-\x0D]'))),
 cum AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY p) AS c FROM l),
 whole AS (SELECT doc_id, list(norm ORDER BY p) AS norms FROM l GROUP BY doc_id),
