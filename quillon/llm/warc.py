@@ -6,6 +6,7 @@ File layout (the public "Zstandard compression for WARC" format): a skippable fr
 
 from __future__ import annotations
 
+import itertools
 import struct
 from collections.abc import Callable, Iterator
 from typing import BinaryIO
@@ -159,7 +160,7 @@ def write_archives(records: DataFrame, folder: str, dictionary: bytes, most: int
         for first in rows:
             name = f"{base}/part-{context.partitionId():06d}-{part:04d}.warc.zst"
             with system.open_output_stream(f"{name}.{context.taskAttemptId()}", compression=None) as out:
-                count = write_archive(out, _again(first, rows), broadcast.value, most)
+                count = write_archive(out, itertools.chain([first], rows), broadcast.value, most)  # closes nothing: rows go on in the next file
             system.move(f"{name}.{context.taskAttemptId()}", name)
             part += 1
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([count], pa.int64())], ["archive", "n_records"])
@@ -167,11 +168,6 @@ def write_archives(records: DataFrame, folder: str, dictionary: bytes, most: int
     return records.mapInArrow(write, "archive string, n_records bigint")
 
 
-def _again(first: tuple, rest: Iterator[tuple]) -> Iterator[tuple]:
-    yield first
-    yield from rest
-
-
 def read_archives(archives: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
     """The records of the archives listed in the column ``archive``; payloads only on request."""
 

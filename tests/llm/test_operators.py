@@ -312,6 +312,17 @@ def test_archives(spark, scratch):
     assert warc.archive_pages(pages.where("false"), scratch).count() == 0
 
 
+def test_partitions_that_fill_several_archives_lose_no_record(spark, scratch):
+    rng = random.Random(9)
+    rows = [(i, None, rng.randbytes(1000), "00", 1000, "response", None) for i in range(20)]
+    records = spark.createDataFrame(rows, warc.RECORD).coalesce(1)
+    folder = scratch.path("archives")
+    archives = scratch.keep(warc.write_archives(records, folder, b"", most=2500))
+    assert [r["n_records"] for r in archives.orderBy("archive").collect()] == [3] * 6 + [2]
+    found = warc.read_archives(archives, folder, payloads=True).collect()
+    assert sorted((r["page_id"], bytes(r["payload"])) for r in found) == [(i, p) for i, _, p, *_ in rows]
+
+
 def check_packing(rows, kept):
     """Pieces as the contract has them, and no gap or overflow in any sequence."""
     exact = encoder(BYTE_BPE).exact
