@@ -6,6 +6,7 @@ File layout (the public "Zstandard compression for WARC" format): a skippable fr
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import struct
 from collections.abc import Callable, Iterator
@@ -141,6 +142,20 @@ def parse_record(data: bytes) -> tuple:
         fields["WARC-Type"], int(other[len(ID_PREFIX) + 1 : -1]) if other else None, payload)
 
 
+def verified(record: tuple) -> tuple:
+    """A record as it was read, with length and SHA-256 of a response's payload taken from the payload itself.
+
+    Where its headers say otherwise, the record is damaged and an error. Of a revisit, the archive has no payload to measure.
+    """
+    page_id, size, digest, kind, refers_to, payload = record
+    if kind != "response":
+        return record
+    found = len(payload), hashlib.sha256(payload).hexdigest()
+    if found != (size, digest):
+        raise ValueError(f"the payload of page {page_id} has {found[0]} bytes and digest {found[1]}, its headers say {size} and {digest}")
+    return page_id, *found, kind, refers_to, payload
+
+
 def write_archives(records: DataFrame, folder: str, dictionary: bytes, most: int = ARCHIVE_BYTES) -> DataFrame:
     """Write each partition as one or more archives into ``folder`` (shared by all executors); (archive, n_records) per file.
 
@@ -169,7 +184,7 @@ def write_archives(records: DataFrame, folder: str, dictionary: bytes, most: int
 
 
 def read_archives(archives: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
-    """The records of the archives listed in the column ``archive``; payloads only on request."""
+    """The records of the archives listed in the column ``archive``, ``verified``; payloads only on request."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -181,7 +196,7 @@ def read_archives(archives: DataFrame, folder: str, payloads: bool = False) -> D
             for path in batch.column("archive").to_pylist():
                 with system.open_input_stream(path, compression=None) as source:
                     rows = []
-                    for record in read_archive(source):
+                    for record in map(verified, read_archive(source)):
                         rows.append(record)
                         if len(rows) == 256:
                             yield _batch(rows, names, types)

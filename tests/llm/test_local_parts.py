@@ -1,5 +1,6 @@
 """The row-level parts of the corpus operators against plain definitions; no Spark."""
 
+import hashlib
 import io
 import random
 
@@ -300,3 +301,16 @@ def test_truncated_archives_are_noticed():
     warc.write_archive(out, iter([(1, None, bytes(range(256)) * 40, "00", 10240, "response", None)]), b"")
     with pytest.raises((ValueError, zstandard.ZstdError)):
         list(warc.read_archive(io.BytesIO(out.getvalue()[:-20])))
+
+
+@pytest.mark.parametrize("kept", [b"payload", b"paylo\0d", b"paylo", b""])
+def test_damaged_payloads_are_noticed(kept):
+    digest = hashlib.sha256(b"payload").hexdigest()
+    record = warc.parse_record(warc.record_bytes(3, None, kept, digest, 7, "response", None))
+    if kept == b"payload":
+        assert warc.verified(record) == (3, 7, digest, "response", None, kept)
+    else:
+        with pytest.raises(ValueError, match="page 3"):
+            warc.verified(record)
+    revisit = warc.parse_record(warc.record_bytes(4, None, b"", digest, 7, "revisit", 3))
+    assert warc.verified(revisit) == (4, 7, digest, "revisit", 3, b"")

@@ -314,7 +314,8 @@ def test_archives(spark, scratch):
 
 def test_partitions_that_fill_several_archives_lose_no_record(spark, scratch):
     rng = random.Random(9)
-    rows = [(i, None, rng.randbytes(1000), "00", 1000, "response", None) for i in range(20)]
+    payloads = [rng.randbytes(1000) for _ in range(20)]
+    rows = [(i, None, p, hashlib.sha256(p).hexdigest(), 1000, "response", None) for i, p in enumerate(payloads)]
     records = spark.createDataFrame(rows, warc.RECORD).coalesce(1)
     folder = scratch.path("archives")
     archives = scratch.keep(warc.write_archives(records, folder, b"", most=2500))
@@ -323,6 +324,14 @@ def test_partitions_that_fill_several_archives_lose_no_record(spark, scratch):
     assert sorted((r["page_id"], bytes(r["payload"])) for r in found) == [(i, p) for i, _, p, *_ in rows]
 
 
+def test_a_damaged_payload_stops_the_reading_back(spark, scratch):
+    rows = [(1, None, b"other than the digest says", hashlib.sha256(b"payload").hexdigest(), 7, "response", None)]
+    folder = scratch.path("archives")
+    archives = scratch.keep(warc.write_archives(spark.createDataFrame(rows, warc.RECORD), folder, b""))
+    with pytest.raises(Exception, match="the payload of page 1 has"):
+        warc.read_archives(archives, folder).collect()
+
+
 def check_packing(rows, kept):
     """Pieces as the contract has them, and no gap or overflow in any sequence."""
     exact = encoder(BYTE_BPE).exact
