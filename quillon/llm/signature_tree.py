@@ -9,6 +9,8 @@ import numpy as np
 SLICE = 1 << 18
 FANOUT = 8
 BATCH = 512
+PAIRS = 1 << 18
+MAP_BYTES = 1 << 18
 
 # Fixed odd multipliers of the hash.
 BASE, MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -160,57 +162,104 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
+def _shared(maps: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of bits set in both bitmaps of each pair."""
+    out, ones = np.empty(len(a), np.int64), np.ones(maps.shape[1], np.float32)
+    rows = max(1, MAP_BYTES // maps[0].nbytes)
+    for i in range(0, len(a), rows):
+        both = maps.take(a[i : i + rows], axis=0) & maps.take(b[i : i + rows], axis=0)
+        out[i : i + rows] = np.bitwise_count(both).astype(np.float32) @ ones  # exact: at most 2**16 bits
+    return out
+
+
 def _possible(tree: Tree, level: int, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     """Whether the nodes of each pair can hold linked sets: sizes near enough, and the largest overlap large enough."""
     maps, low, high, extra = tree.levels[level]
-    overlap = np.empty(len(a), np.int64)
-    for i in range(0, len(a), BATCH):
-        both = maps[a[i : i + BATCH]] & maps[b[i : i + BATCH]]
-        overlap[i : i + BATCH] = np.bitwise_count(both).sum(axis=1)
+    keep = (100 * high[a] >= percent * low[b]) & (100 * high[b] >= percent * low[a])
+    a, b = a[keep], b[keep]
+    overlap = _shared(maps, a, b)
     most = np.minimum.reduce([overlap + extra[a], overlap + extra[b], high[a], high[b]])
-    near = (100 * high[a] >= percent * low[b]) & (100 * high[b] >= percent * low[a])
-    return near & ((100 + percent) * most >= percent * (low[a] + low[b]))
+    keep[keep] = (100 + percent) * most >= percent * (low[a] + low[b])
+    return keep
+
+
+def _ranges(tree: Tree, values: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Least and largest of the sets' values below each node, by level."""
+    out = [(values, values)]
+    for _ in tree.levels[1:]:
+        low, high = out[-1]
+        cuts = np.arange(0, len(low), FANOUT)
+        out.append((np.minimum.reduceat(low, cuts), np.maximum.reduceat(high, cuts)))
+    return out
+
+
+def _alike(ranges: list[tuple[np.ndarray, np.ndarray]], level: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether all sets below both nodes of a pair have one and the same value."""
+    low, high = ranges[level]
+    return (low[a] == high[b]) & (low[b] == high[a])
 
 
 def links(sets: list[np.ndarray], side: np.ndarray, across: bool, percent: int = 85) -> list[tuple[int, int]]:
     """Linked pairs of sets that span all connected components of the links (between both sides only, if ``across``).
 
     Dual traversal from the pair (root, root): a pair of nodes is followed down only while sets below it may be
-    linked. Pairs of sets are verified exactly, the likeliest first; pairs already connected need no answer.
+    linked, are not all connected already and, if ``across``, not all on one side. It goes depth first, and at most
+    ``PAIRS`` pairs a level wait, however little a level rules out. Pairs of sets are verified exactly, of the pairs
+    at hand the likeliest first; pairs already connected need no answer.
     """
     if len(sets) < 2:
         return []
-    order = np.argsort([len(s) for s in sets], kind="stable")
+    sizes = np.array([len(s) for s in sets])
+    _, side = np.unique(np.asarray(side), return_inverse=True)
+    order = np.lexsort((sizes, side)) if across else np.argsort(sizes, kind="stable")
     ranked = [sets[i] for i in order]
-    bits = 1 << int(np.clip(np.ceil(np.log2(4 * len(ranked[-1]) + 1)), 9, 16))
+    bits = 1 << int(np.clip(np.ceil(np.log2(4 * int(sizes.max()) + 1)), 9, 16))
     tree = Tree(ranked, bits)
-    a = b = np.zeros(1, np.int64)
-    for level in range(len(tree.levels) - 1, 0, -1):
+    sides = _ranges(tree, side[order])
+    label, found = np.arange(len(sets)), []
+    labels = _ranges(tree, label)
+    root = np.zeros(1, np.int64)
+    waiting = [(len(tree.levels) - 1, root, root)]
+    while waiting:
+        level, a, b = waiting.pop()
+        most = PAIRS if level == 0 else max(1, PAIRS // FANOUT**2)
+        if len(a) > most:
+            waiting.append((level, a[most:], b[most:]))
+            a, b = a[:most], b[:most]
+        useless = _alike(labels, level, a, b)
+        if across:
+            useless |= _alike(sides, level, a, b)
+        a, b = a[~useless], b[~useless]
         keep = _possible(tree, level, a, b, percent)
         a, b = a[keep], b[keep]
-        count = len(tree.levels[level - 1][1])
-        step = np.arange(FANOUT)
-        left = np.repeat(a[:, None] * FANOUT + step, FANOUT, axis=1).ravel()
-        right = np.tile(b[:, None] * FANOUT + step, (1, FANOUT)).ravel()
-        valid = (left < count) & (right < count) & ((left <= right) if level > 1 else (left < right))
-        a, b = left[valid], right[valid]
-    sides = np.asarray(side)[order]
-    if across:
-        mixed = sides[a] != sides[b]
-        a, b = a[mixed], b[mixed]
-    keep = _possible(tree, 0, a, b, percent)
-    a, b = a[keep], b[keep]
-    maps, sizes, _, extra = tree.levels[0]
-    shared = np.concatenate([np.bitwise_count(maps[a[i : i + BATCH]] & maps[b[i : i + BATCH]]).sum(axis=1) for i in range(0, len(a), BATCH)]) if len(a) else np.empty(0)
-    likely = np.argsort(-shared / np.maximum(sizes[a] + sizes[b], 1), kind="stable")
+        if level:
+            count = len(tree.levels[level - 1][1])
+            step = np.arange(FANOUT)
+            left = np.repeat(a[:, None] * FANOUT + step, FANOUT, axis=1).ravel()
+            right = np.tile(b[:, None] * FANOUT + step, (1, FANOUT)).ravel()
+            valid = (left < count) & (right < count) & ((left <= right) if level > 1 else (left < right))
+            if valid.any():
+                waiting.append((level - 1, left[valid], right[valid]))
+        elif len(a):
+            before = len(found)
+            _verify(tree, ranked, a, b, percent, label, found)
+            if len(found) > before:
+                labels = _ranges(tree, label)
+    return [(int(order[i]), int(order[j])) for i, j in found]
+
+
+def _verify(
+    tree: Tree, ranked: list[np.ndarray], a: np.ndarray, b: np.ndarray, percent: int, label: np.ndarray, found: list[tuple[int, int]],
+) -> None:
+    """Add the linked pairs among (a, b) that connect something new to ``found`` and join their components in ``label``."""
+    maps, sizes, _, _ = tree.levels[0]
+    likely = np.argsort(-_shared(maps, a, b) / np.maximum(sizes[a] + sizes[b], 1), kind="stable")
     a, b = a[likely], b[likely]
-    label, found = np.arange(len(sets)), []
     while len(a):
         for i, j in zip(a[:BATCH], b[:BATCH], strict=True):
             if label[i] != label[j] and linked(ranked[i], ranked[j], percent):
                 label[label == label[j]] = label[i]
-                found.append((int(order[i]), int(order[j])))
+                found.append((i, j))
         a, b = a[BATCH:], b[BATCH:]
         apart = label[a] != label[b]
         a, b = a[apart], b[apart]
-    return found

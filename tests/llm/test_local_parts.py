@@ -3,6 +3,7 @@
 import hashlib
 import io
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -216,6 +217,22 @@ def test_tree_finds_the_components_of_all_pairs(seed, across):
     assert parts(found) == parts(every)
 
 
+@pytest.mark.parametrize("across", [False, True])
+def test_many_short_sets_with_one_common_element_fit_bounded_memory(across):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(np.append(rng.integers(0, 2**64, 14, dtype=np.uint64), np.uint64(5))) for _ in range(20_000)]
+    for i, j in ((3, 19_000), (19_000, 41), (7, 8)):
+        sets[j] = np.unique(np.append(sets[i][1:], np.uint64(j)))
+    side = np.arange(len(sets)) % 2 if across else np.zeros(len(sets), int)
+    tracemalloc.start()
+    found = signature_tree.links(sets, side, across, 85)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 3 and {i for p in found for i in p} == {3, 41, 19_000, 7, 8}
+    assert all(signature_tree.linked(sets[i], sets[j], 85) for i, j in found)
+    assert peak < 150_000_000
+
+
 # --- language identification
 
 
