@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
@@ -18,6 +20,9 @@ LEAST_PIECE = 11
 BLOCK_CHARS = 4_000_000
 BLOCK_ITEMS = 20_000
 
+# Scripts written without spaces: Thai, Lao, Myanmar, Khmer, kana and Han.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
 
 def plain(text: str) -> str:
     """The form that is compared: lower case, words separated by one space."""
@@ -64,13 +69,22 @@ def best_distance(pattern: str, text: str) -> int:
     return best
 
 
+def is_bound(text: str, at: int) -> bool:
+    """Whether no word goes on across this place; in scripts without spaces words may end anywhere."""
+    if at <= 0 or at >= len(text):
+        return True
+    pair = text[at - 1 : at + 1]
+    return any(unicodedata.category(c)[0] not in "LMN" for c in pair) or bool(UNSPACED.search(pair))
+
+
 class Matcher:
-    """Finds the items of one block of the benchmark in texts."""
+    """Finds the items of one block of the benchmark in texts; those under ``least_chars`` characters only without edits and as whole words."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float, least_piece: int):
+    def __init__(self, items: list[tuple[int, str]], rate: float, least_piece: int, least_chars: int = LEAST_CHARS):
         import ahocorasick
 
-        self.items = [(item_id, text, error_budget(len(text), rate, least_piece)) for item_id, text in items]
+        self.least_chars = least_chars
+        self.items = [(item_id, text, error_budget(len(text), rate, least_piece) if len(text) >= least_chars else 0) for item_id, text in items]
         self.automaton = ahocorasick.Automaton()
         for number, (_, text, budget) in enumerate(self.items):
             for at, piece in pieces(text, budget):
@@ -87,9 +101,14 @@ class Matcher:
         if not len(self.automaton):
             return []
         stretches: dict[int, list[list[int]]] = defaultdict(list)
+        whole: set[int] = set()
         for last, owners in self.automaton.iter(text):
             for number, at in owners:
                 _, item, budget = self.items[number]
+                if len(item) < self.least_chars:
+                    if number not in whole and is_bound(text, last + 1 - len(item)) and is_bound(text, last + 1):
+                        whole.add(number)
+                    continue
                 begin = last + 1 - self._piece_length(number, at) - at - budget
                 end = begin + len(item) + 2 * budget
                 known = stretches[number]
@@ -97,7 +116,7 @@ class Matcher:
                     known[-1] = [min(known[-1][0], begin), max(known[-1][1], end)]
                 else:
                     known.append([begin, end])
-        found = []
+        found = [(self.items[number][0], 0) for number in whole]
         for number, spans in stretches.items():
             item_id, item, budget = self.items[number]
             best = min(best_distance(item, text[max(0, a) : b]) for a, b in spans)
@@ -114,18 +133,18 @@ class Matcher:
         return n * (i + 1) // k - at
 
 
-def benchmark_blocks(benchmark: DataFrame, least_chars: int = LEAST_CHARS, chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
+def benchmark_blocks(benchmark: DataFrame, chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
     """The distinct items in blocks of at most ``chars`` characters (or one item), so any benchmark fits a task's memory.
 
-    Items are streamed to the driver partition by partition. NULL ids or texts, and items shorter than
-    ``least_chars`` in compared form, can't serve as evidence and are left out.
+    Items are streamed to the driver partition by partition. Items with a NULL id, which no list can
+    name, and those without a text or with white space only, which no text can show, are left out.
     """
     rows = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(
         F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
     block, size = [], 0
     for row in rows.toLocalIterator():
         text = plain(row["text"])
-        if len(text) < least_chars:
+        if not text:
             continue
         if block and (size + len(text) > chars or len(block) >= BLOCK_ITEMS):
             yield block
@@ -143,9 +162,10 @@ def find_contaminated(
     """One row per document: id, columns in ``keep``, ``items`` (ids of benchmark items in its text, ascending) and ``distances``.
 
     Whole texts are searched, in lower case and with white space collapsed. An item of n characters is
-    in a text when some substring is within its error budget of edits (``error_budget``). A benchmark
-    larger than one block is searched block by block, each in one pass over the documents, and no item is
-    dropped. An item_id with several texts is one item that any of them shows.
+    in a text when some substring is within its error budget of edits (``error_budget``); an item of less than
+    ``least_chars`` characters when it is there without edits and on word bounds (``is_bound``). A benchmark
+    larger than one block is searched block by block, each in one pass over the documents. No item is dropped but
+    those with a NULL id or without text. An item_id with several texts is one item that any of them shows.
 
     NULL and empty texts hold nothing. Repeated rows give equal rows. An empty benchmark gives empty lists,
     an empty table an empty result. Other columns of either table are not looked at.
@@ -157,12 +177,12 @@ def find_contaminated(
         F.col(id_column).alias("doc_id"), *[F.col(f"`{c}`") for c in keep], F.col(text_column).cast("string").alias("__text"),
         F.array().cast("array<bigint>").alias("items"), F.array().cast("array<bigint>").alias("distances")))
     text = [T.StructField("__text", T.StringType())]
-    blocks = benchmark_blocks(benchmark, least_chars)
+    blocks = benchmark_blocks(benchmark)
     block = next(blocks, None)
     while block:
         following = next(blocks, None)
         sent = spark.sparkContext.broadcast(block)  # at most BLOCK_CHARS characters
-        out = out.mapInArrow(_searcher(sent, rate, least_piece, following is not None), T.StructType([*fields, *(text if following else []), *lists]))
+        out = out.mapInArrow(_searcher(sent, rate, least_piece, least_chars, following is not None), T.StructType([*fields, *(text if following else []), *lists]))
         block = following
     pairs = F.sort_array(F.arrays_zip("items", "distances"))
     best = F.array_distinct(F.transform(pairs, lambda p: p["items"]))
@@ -170,9 +190,9 @@ def find_contaminated(
     return out.select("doc_id", *[F.col(f"`{c}`") for c in keep], best.alias("items"), distances.alias("distances"))
 
 
-def _searcher(block, rate: float, least_piece: int, again: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _searcher(block, rate: float, least_piece: int, least_chars: int, again: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(block.value, rate, least_piece)
+        matcher = Matcher(block.value, rate, least_piece, least_chars)
         for batch in batches:
             at = {n: i for i, n in enumerate(batch.schema.names)}
             items, distances = batch.column(at["items"]).to_pylist(), batch.column(at["distances"]).to_pylist()

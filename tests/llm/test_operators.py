@@ -209,6 +209,14 @@ def test_decontamination_in_blocks_loses_no_item(spark, docs, monkeypatch):
     assert [r["items"] for r in found.where("doc_id = 18").collect()] == [list(range(5))]
 
 
+def test_short_items_are_found_as_whole_words_without_edits(spark):
+    items = [(1, "Who wrote  Hamlet?"), (2, "art"), (3, "水の沸点は何度ですか"), (4, " \n"), (5, "who wrote hamlat?"), (6, None), (7, "की")]
+    rows = [(1, "asked: who wrote\nHAMLET? by"), (2, "a start, an artist"), (3, "modern art."), (4, "問題。水の沸点は何度ですか答え"), (5, "we who wrote hamlets?"), (6, ""), (7, "कीड़ा")]
+    found = decontaminate.find_contaminated(spark.createDataFrame(rows, "doc_id int, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert {r["doc_id"]: (r["items"], r["distances"]) for r in found.collect()} == {
+        1: ([1], [0]), 2: ([], []), 3: ([2], [0]), 4: ([3], [0]), 5: ([], []), 6: ([], []), 7: ([], [])}
+
+
 def brute_runs(rows, least=50):
     """Deleted lines by the definition: every run of enough words that stands earlier."""
     def norm(x):
