@@ -18,7 +18,8 @@ HIDDEN = 8
 BATCH = 2048
 SAMPLE_PER_LANGUAGE = 600
 SAMPLE_WINDOWS = 6
-SAMPLE_CHARS = 2 * 1024
+SAMPLE_TEXTS = 40_000
+WIDE = 64
 UNKNOWN = "und"
 
 
@@ -134,17 +135,28 @@ def train(
 
     Languages are drawn equally often, however many texts they have. Without any text the network knows no language.
     """
+    parts = [spaced_windows(text.encode(), window, per_text) for text in texts]
+    return train_windows(parts, names, hidden, steps, batch, rate, seed)
+
+
+def spaced_windows(text: bytes, size: int = WINDOW, most: int = SAMPLE_WINDOWS) -> list[bytes]:
+    """At most ``most`` windows of a text, evenly spaced over the whole of it."""
+    n = -(-len(text) // size)
+    return [text[i * size : (i + 1) * size] for i in np.unique(np.linspace(0, n - 1, min(most, n)).astype(int)).tolist()]
+
+
+def train_windows(
+    parts: list[list[bytes]], names: list[str], hidden: int = HIDDEN, steps: int = 350, batch: int = 256, rate: float = 0.02, seed: int = 7,
+) -> Network:
+    """``train`` on the windows of each text."""
     rng = np.random.default_rng(seed)
-    languages = sorted(set(names))
-    rows, lengths, labels = [], [], []
-    for text, name in zip(texts, names, strict=True):
-        found, sizes = windows(text.encode(), window)
-        if not len(found):
-            continue
-        for i in np.unique(np.linspace(0, len(found) - 1, min(per_text, len(found))).astype(int)):
-            rows.append(found[i])
-            lengths.append(sizes[i])
-            labels.append(languages.index(name))
+    languages = sorted({name for found, name in zip(parts, names, strict=True) if found})
+    number = {name: i for i, name in enumerate(languages)}
+    labels = [number[name] for found, name in zip(parts, names, strict=True) for _ in found]
+    pieces = [piece for found in parts for piece in found]
+    lengths = [len(piece) for piece in pieces]
+    size = max(lengths, default=0)
+    rows = [np.frombuffer(piece.ljust(size, b"\0"), np.uint8) for piece in pieces]
     count = len(languages)
     parts = [rng.normal(0, 0.3, (256, 3 * hidden)), rng.normal(0, 0.3, (256, 3 * hidden)), *(rng.normal(0, 1 / hidden**0.5, (hidden, 3 * hidden)) for _ in "ab"),
              rng.normal(0, 0.3, (2 * hidden, count)), np.zeros(count)]
@@ -155,7 +167,8 @@ def train(
     by_label = [g for g in by_label if len(g)]
     m, v = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
     for step in range(1, steps + 1):
-        pick = np.concatenate([rng.choice(g, -(-batch // len(by_label))) for g in by_label])
+        drawn = by_label if len(by_label) <= batch else [by_label[c] for c in rng.choice(len(by_label), batch, replace=False)]
+        pick = np.concatenate([rng.choice(g, -(-batch // len(drawn))) for g in drawn])
         _, gradients = loss_and_gradients(_network(parts, languages, float), rows[pick], lengths[pick], labels[pick])
         scale = min(1.0, 1.0 / (np.sqrt(sum(float((g**2).sum()) for g in gradients)) + 1e-9))
         now = rate * min(1.0, 2 * (1 - step / (steps + 1)))
@@ -179,9 +192,10 @@ def has_letter(text: str) -> bool:
 def predict(net: Network, texts: list[str | None], batch: int = BATCH) -> list[tuple[str, float]]:
     """Language and score of whole texts: the mean of the position probabilities over all bytes, and its largest value.
 
-    Windows of many texts run together, ``batch`` at a time, so memory stays the same for texts of any length.
+    Windows of many texts run together, ``batch`` at a time (fewer with more than ``WIDE`` languages), so memory stays the same for texts of any length.
     NULL texts and texts without a letter are ``und`` with score 0.
     """
+    batch = max(1, min(batch, batch * WIDE // max(1, len(net.languages))))
     use = [t is not None and bool(net.languages) and has_letter(t) for t in texts]
     totals = np.zeros((len(texts), max(1, len(net.languages))))
     held, sizes, owners, waiting = [], [], [], 0
@@ -209,20 +223,32 @@ def predict(net: Network, texts: list[str | None], batch: int = BATCH) -> list[t
     return out
 
 
-def training_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, most_chars: int = SAMPLE_CHARS) -> tuple[list[str], list[str]]:
-    """About ``per_language`` texts of each of the 64 most frequent languages (twice as many at most), chosen by a hash of the id.
+def training_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, most_texts: int = SAMPLE_TEXTS) -> tuple[list[list[bytes]], list[str]]:
+    """Windows of about ``per_language`` texts of every language, chosen by a hash of the id, and the languages.
 
-    Of each, ``most_chars`` characters serve to learn from. NULL texts and languages and texts without a letter teach nothing.
+    So many languages that this makes more than ``most_texts`` get an equal share of that, but a text at least.
+    The windows are spaced over whole texts. NULL texts and languages and texts without a letter teach nothing.
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(64).collect()
-    chance, wanted = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)), F.lit(False)
-    for row in counts:
-        share = int(min(1.0, per_language / row["n"]) * (1 << 31))
-        wanted = wanted | ((F.col("lang") == row["lang"]) & (chance < share))
-    part = usable.where(wanted).select("lang", F.substring("text", 1, most_chars).alias("text"))
-    found = sorted((r["lang"], r["text"]) for r in part.limit(2 * per_language * max(1, len(counts))).collect())
-    return [text for _, text in found], [lang for lang, _ in found]
+    chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31))
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n"), F.min(chance).alias("least")).collect()
+    if not counts:
+        return [], []
+    each = max(1, min(per_language, most_texts // len(counts)))
+    # the text of the smallest hash always counts, so that none is left without any
+    below = [(r["lang"], max(int(min(1.0, each / r["n"]) * (1 << 31)), r["least"] + 1)) for r in counts]
+    bounds = docs.sparkSession.createDataFrame(below, "lang string, below bigint")
+    chosen = usable.join(F.broadcast(bounds), "lang").where(chance < F.col("below")).select("lang", "text")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [spaced_windows(text.encode()) for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(found, pa.list_(pa.binary()))], ["lang", "windows"])
+
+    # about each * len(counts) rows of at most SAMPLE_WINDOWS * WINDOW bytes; only ids repeated very often could make twice as many
+    parts = chosen.mapInArrow(cut, "lang string, windows array<binary>").limit(2 * each * len(counts))
+    found = sorted((r["lang"], [bytes(w) for w in r["windows"]]) for r in parts.collect())
+    return [windows for _, windows in found], [lang for lang, _ in found]
 
 
 def holdout(doc_id: str = "doc_id"):
@@ -237,7 +263,7 @@ def identify(docs: DataFrame) -> DataFrame:
     other columns are not looked at. If nothing can be learned, all are ``und``.
     """
     marked = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), holdout().alias("held_out"))
-    net = train(*training_sample(marked.where(~F.col("held_out"))))
+    net = train_windows(*training_sample(marked.where(~F.col("held_out"))))
     sent = docs.sparkSession.sparkContext.broadcast(net)  # its size depends on the number of languages only
     schema = T.StructType([docs.schema["doc_id"], T.StructField("held_out", T.BooleanType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 

@@ -288,6 +288,16 @@ def test_language(spark, docs):
     assert language_id.identify(frame.where("false")).count() == 0
 
 
+def test_every_language_teaches_from_all_over_its_texts(spark):
+    rows = [(i, "a" * 5000 + "b" * 5000, f"l{i % 70:02d}") for i in range(200)]
+    sample, names = language_id.training_sample(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), most_texts=70)
+    assert len(set(names)) == 70 and len(names) <= 200
+    assert all(found[0] == b"a" * 64 and found[-1][:16] == b"b" * 16 and len(found) == language_id.SAMPLE_WINDOWS for found in sample)
+    net = language_id.train_windows(sample, names, steps=1, batch=32)
+    assert len(net.languages) == 70
+    assert [x[0] for x in language_id.predict(net, [None, ""])] == ["und", "und"]
+
+
 def test_toxicity(spark):
     rng = random.Random(1)
     words = [f"w{i}" for i in range(200)]
