@@ -16,6 +16,7 @@ LEAST_DOCUMENTS = 10
 HOST_PERCENT = 2
 DEPLETED_PERCENT = 70
 FEW = 64
+BROADCAST_HASHES = 1_000_000
 
 
 def words(text: Column) -> Column:
@@ -86,7 +87,7 @@ def normal_line(line: Column) -> Column:
 def normal_lines(text: Column) -> Column:
     """``normal_line`` of each line of a text that has a word, in order; the text is normalised as a whole, which is cheaper."""
     whole = F.lower(F.regexp_replace(text, "[\\t\\x0B\\f\\r ]+", " "))
-    return F.filter(F.transform(F.split(whole, "\n"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(whole, "\n"), lambda x: F.trim(x)), lambda x: x != "")  # transform gives trim the index too
 
 
 def count_normal_words(line: Column) -> Column:
@@ -143,7 +144,10 @@ def judge(
     safe = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     rows, names = docs.toDF(*safe.values()), (safe[text_column], safe[host_column])
     measured = measures(rows.select("*", *content_key(*names)), names[0], "__q_")
-    hits = frequent_lines(rows, scratch, *names, least_documents, host_percent)
+    hits = scratch.keep(frequent_lines(rows, scratch, *names, least_documents, host_percent))
+    held = hits.agg(F.sum(F.octet_length("__host") + 16 * (F.size("__lines") + 2))).first()[0] or 0
+    if held <= 16 * BROADCAST_HASHES:
+        hits = F.broadcast(hits)  # at most that many bytes of hosts and hashes; rows keep their places and no text is shuffled
     judged = measured.join(hits, ["__host", "__digest"], "left")
     removed = F.coalesce("__removed_words", F.lit(0))
     depleted = 100 * removed > depleted_percent * F.col("__q_n_words")
@@ -154,7 +158,8 @@ def judge(
 
 def clean(docs: DataFrame, scratch: Scratch, text_column: str = "text", host_column: str = "source", **limits: int) -> DataFrame:
     """The documents that are kept, without their lines above the limits; columns as in ``docs``."""
-    judged = judge(docs, scratch, text_column, host_column, **limits).where("__q_kept")
+    # written first: as a filter on it, the verdict would be pushed to where each use of the words splits the text again
+    judged = scratch.keep(judge(docs, scratch, text_column, host_column, **limits)).where("__q_kept")
     rest = F.filter(F.split(F.col(f"`{text_column}`"), "\n"), lambda x: ~F.array_contains("__q_removed_lines", line_hash(x)))
     text = F.when(F.col("__q_removed_lines").isNull(), F.col(f"`{text_column}`")).otherwise(F.array_join(rest, "\n"))
     return judged.select(*[text.alias(c) if c == text_column else F.col(f"`{c}`") for c in docs.columns])

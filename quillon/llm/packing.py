@@ -64,21 +64,21 @@ def pack(pieces: DataFrame, scratch: Scratch, capacity: int = CAPACITY, rank_row
     """``pieces`` with ``sequence_id`` and ``offset``: as few sequences of at most ``capacity`` as the scheme finds.
 
     Only the histogram of lengths (at most ``capacity`` rows) reaches the driver, where the plan is made;
-    pieces of one length are numbered in ranges of about ``rank_rows`` and each number is looked up in the
-    plan. In a sequence, pieces lie without gaps from offset 0. Ties and repeated rows are separate pieces.
+    pieces are spread over ranges of at most about ``rank_rows`` by their place, numbered within range and length,
+    and each number is looked up in the plan. In a sequence, pieces lie without gaps from offset 0. Ties and repeated rows are separate pieces.
     No piece is longer than the capacity or shorter than 1. An empty table gives an empty result.
     """
     spark = pieces.sparkSession
-    kept = scratch.keep(pieces)
+    kept = scratch.keep(pieces.withColumn("__place", F.monotonically_increasing_id()))
     histogram = {r["length"]: r["n"] for r in kept.groupBy("length").agg(F.count("*").alias("n")).collect()}
     moves, _ = fewest_sequences(histogram, capacity)
-    ranges = F.array(*[F.lit(-(-histogram.get(n, 0) // rank_rows) or 1) for n in range(1, capacity + 1)])
-    order = [F.col("doc_id"), F.col("piece"), F.col("ids_crc32")]
-    placed = kept.withColumn("__range", F.pmod(F.xxhash64(*order), F.element_at(ranges, F.col("length").cast("int"))).cast("int"))
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-sum(histogram.values()) // rank_rows))
+    # by place and not by value, so that equal pieces are spread as others are
+    placed = kept.withColumn("__range", F.pmod(F.xxhash64("__place"), F.lit(ranges)).cast("int")).repartition("__range")
     before = Window.partitionBy("length").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = placed.groupBy("length", "__range").agg(F.count("*").alias("__n")).select(
+    firsts = placed.groupBy("__range", "length").agg(F.count("*").alias("__n")).select(
         "length", "__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))
-    inside = Window.partitionBy("length", "__range").orderBy(*order)
+    inside = Window.partitionBy("__range", "length").orderBy("__place")
     numbered = placed.withColumn("__rank", F.row_number().over(inside) - 1).join(firsts, ["length", "__range"])
     numbered = numbered.withColumn("__number", F.col("__rank") + F.col("__first"))
     # the plan's size is bounded by the capacity, whatever the number of pieces
