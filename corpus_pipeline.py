@@ -1,8 +1,8 @@
 """The corpus pipeline: quality rules, line dedup, near duplicates, benchmark decontamination, packing.
 
 Each stage takes what its predecessor kept, written as Parquet and read again. All but the last return the
-columns of ``documents``; where a stage changes a text, ``n_chars`` follows. Stages use Spark's own folder for
-intermediate tables (``spark.checkpoint.dir``).
+columns of ``documents``; where a stage changes a text, ``n_chars`` follows. Stages write intermediate tables under
+``scratch`` (one of their own in ``spark.checkpoint.dir`` if none is given), which can be cleared once their result is written.
 """
 
 from __future__ import annotations
@@ -16,14 +16,7 @@ from pyspark.sql import functions as F
 from quillon.llm import decontaminate, line_quality, line_runs, near_duplicates, packing
 from quillon.session import Scratch
 
-DROPPED_BROADCAST_ROWS = 1_000_000
-_OPEN: list[Scratch] = []
-
-
-def _scratch(spark: SparkSession) -> Scratch:
-    _OPEN.append(Scratch(spark))
-    return _OPEN[-1]
-
+SPECIAL_BROADCAST_ROWS = 1_000_000
 
 def _with_text(docs: DataFrame, names: list[str], text: Column) -> DataFrame:
     """The columns ``names`` with another text, and its length where there is a column for it."""
@@ -33,40 +26,47 @@ def _with_text(docs: DataFrame, names: list[str], text: Column) -> DataFrame:
     return parts.select(*[values[c].alias(c) if c in values else F.col(f"`{c}`") for c in names])
 
 
-def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None) -> DataFrame:
     """Documents that pass the quality rules, without the lines too many documents of their source share.
 
     NULL and empty texts fail the rules.
     """
-    kept = line_quality.clean(docs, _scratch(spark))
+    kept = line_quality.clean(docs, scratch or Scratch(spark))
     return _with_text(kept, docs.columns, F.col("text"))
 
 
-def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None) -> DataFrame:
     """Documents without the later copies of repeated line runs; those left without any word go."""
-    done = line_runs.remove_repeated_runs(docs, _scratch(spark))
+    done = line_runs.remove_repeated_runs(docs, scratch or Scratch(spark))
     left = done.where((F.size("__removed") == 0) | line_runs.has_word(F.regexp_replace("__text", "\n", " ")))
     return _with_text(left, docs.columns, F.col("__text"))
 
 
-def jaccard_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def jaccard_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None) -> DataFrame:
     """One document of each group of near duplicates (5 words, similarity 0.8): that of the smallest id.
 
-    Rows that repeat both id and text are one document. NULL ids come last. Texts without words are in no group.
+    Rows that repeat both id and text are one document, of which the row stays whose other columns are the least as
+    JSON. NULL ids come last. Texts without words are in no group.
     """
+    scratch = scratch or Scratch(spark)
     key = line_runs.document_key("doc_id", "text")
     named = docs.select(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), key.alias("key")).alias("doc_id"), "text")
-    found = near_duplicates.near_duplicates(named, _scratch(spark), shingle=5, percent=80)
-    dropped = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id.key").alias("__key")).distinct()
-    dropped = _scratch(spark).keep(dropped)
-    if dropped.count() <= DROPPED_BROADCAST_ROWS:
-        dropped = F.broadcast(dropped)
+    found = scratch.keep(near_duplicates.near_duplicates(named, scratch, shingle=5, percent=80).select("doc_id", "component_id"))
+    keys = found.groupBy(F.col("doc_id.key").alias("__key")).agg(F.count("*").alias("rows"), F.bool_or(F.col("doc_id") != F.col("component_id")).alias("__gone"))
+    special = scratch.keep(keys.where("__gone OR rows > 1").select("__key", "__gone"))
+    if special.count() <= SPECIAL_BROADCAST_ROWS:
+        special = F.broadcast(special)  # a digest and a flag a row
     safe = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     rows = docs.toDF(*safe.values()).withColumn("__key", line_runs.document_key(safe["doc_id"], safe["text"]))
-    return rows.join(dropped, "__key", "left_anti").select(*[F.col(s).alias(c) for c, s in safe.items()])
+    own = list(safe.values())
+    single = rows.join(special, "__key", "left_anti").select(*own)
+    others = F.to_json(F.struct(*[s for c, s in safe.items() if c not in ("doc_id", "text")], F.lit(0).alias("none")))
+    repeated = rows.join(special.where(~F.col("__gone")), "__key", "left_semi")
+    once = repeated.groupBy("__key").agg(F.min_by(F.struct(*own), others).alias("row")).select("row.*")
+    return single.unionByName(once).toDF(*docs.columns)
 
 
-def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None) -> DataFrame:
     """Documents that hold no item of the benchmark."""
     safe = [f"__c{i}" for i in range(len(docs.columns))]
     at = {c: s for c, s in zip(docs.columns, safe, strict=True)}
@@ -75,12 +75,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return found.where(F.size("items") == 0).select(*[F.col(s).alias(c) for c, s in at.items()])
 
 
-def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None) -> DataFrame:
     """Pieces of the documents in sequences of at most 1024 tokens."""
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), _scratch(spark))
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), scratch or Scratch(spark))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Callable[..., DataFrame]]] = [
     ("quality_rules", quality_rules),
     ("line_dedup", line_dedup),
     ("jaccard_dedup", jaccard_dedup),
@@ -93,14 +93,21 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``; each one's intermediate tables are removed once its result is written."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages on ``documents``; a stage's tables go once its result is written, and its input with them.
+
+    What stays is the table of pieces that the returned rows are read from.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES[:-1]:
-        _OPEN.clear()
-        docs = Scratch(spark).keep(stage(spark, docs, sf_dir))
-        for scratch in _OPEN:
-            scratch.clear()
-    return STAGES[-1][1](spark, docs, sf_dir)
+        scratch, result = Scratch(spark), Scratch(spark)
+        docs = result.keep(stage(spark, docs, sf_dir, scratch))
+        scratch.clear()
+        if before:
+            before.clear()
+        before = result
+    packed = STAGES[-1][1](spark, docs, sf_dir)
+    before.clear()  # the pieces are written already
+    return packed
 
 
 QUERIES = {"pipeline": run}
