@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import decontaminate, language_id, line_quality, line_runs, near_duplicates, packing, sharding, token_counts, toxicity, warc
+from quillon.llm import decontaminate, language_id, line_quality, line_runs, near_duplicates, packing, posting_lists, sharding, token_counts, toxicity, warc
 from quillon.session import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,8 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select(
         "doc_id", F.col("__n_lines").alias("n_lines"), F.size("__removed").cast("bigint").alias("n_removed"),
         F.array_join(F.col("__removed").cast("array<string>"), ",").alias("removed_lines"), F.col("__text").alias("text"))
+
+
+@query()
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return posting_lists.search(table(spark, sf_dir, "embeddings"), Scratch(spark))
