@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillon.llm import decontaminate, language_id, line_quality, line_runs, near_duplicates, packing, posting_lists, sharding, token_counts, toxicity, warc
+from quillon.llm import (
+    conversation_repair, decontaminate, language_id, line_quality, line_runs, near_duplicates, packing, posting_lists, prefix_trie, sharding, token_counts, toxicity,
+    warc)
 from quillon.session import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +97,13 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posting_lists.search(table(spark, sf_dir, "embeddings"), Scratch(spark))
+
+
+@query(prefix_trie.SQL)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), Scratch(spark))
+
+
+@query(conversation_repair.SQL)
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damage_and_repair(table(spark, sf_dir, "conversations"), Scratch(spark))
