@@ -73,7 +73,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.score_all(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.score_all(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Scratch(spark))
 
 
 @query()
