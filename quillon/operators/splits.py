@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from quillon.functions import column
 
 SPLIT, ROLE = "split_id", "role"
-# A history cut into more windows than this is a wrong window length.
-MAX_SPLITS = 2000
+# The list of boundaries is held on the driver; a history cut into more windows than this is a wrong window length.
+MAX_SPLITS = 100_000
 # Lower bounds in seconds of the units a window may be given in, to size the list of windows.
 SHORTEST_SECONDS = {
     "years": 365 * 86400, "months": 28 * 86400, "weeks": 7 * 86400, "days": 86400, "hours": 3600, "minutes": 60,
@@ -49,7 +49,7 @@ def split_boundaries(
     spark: SparkSession, first_date, last_date, time_length: Mapping[str, int], gap: Mapping[str, int] | None = None,
     first_test=None,
 ) -> list:
-    """Rows ``split_id, train_end, test_start, test_end``; a few hundred at most.
+    """Rows ``split_id, train_end, test_start, test_end``, held on the driver: ``MAX_SPLITS`` at most.
 
     The first test window starts at ``first_test``, else one length after the first date. Windows
     are counted from that origin, so month ends do not drift, and stop once a window would start at
@@ -114,6 +114,19 @@ def date_range(df: DataFrame, date_col: str):
     return df.agg(F.min(d).alias("first"), F.max(d).alias("last")).first()
 
 
+def temporal_boundaries(
+    df: DataFrame, date_col: str, time_length: Mapping[str, int], gap: Mapping[str, int] | None = None,
+    start_date: str | None = None, drop_before: bool = False,
+) -> tuple[DataFrame, list]:
+    """The rows that take part, and the boundaries of ``create_temporal_splits``; none without a date."""
+    if start_date and drop_before:
+        df = df.where(column(date_col) > F.lit(start_date).cast("timestamp_ntz"))
+    span = date_range(df, date_col)
+    if span.last is None:
+        return df, []
+    return df, split_boundaries(df.sparkSession, span.first, span.last, time_length, gap, _iso(start_date))
+
+
 def create_temporal_splits(
     df: DataFrame, date_col: str, time_length: Mapping[str, int], gap: Mapping[str, int] | None = None,
     start_date: str | None = None, drop_before: bool = False,
@@ -121,30 +134,33 @@ def create_temporal_splits(
     """Test windows of one length, each with all earlier rows (less a gap) as training rows.
 
     ``start_date`` (ISO) is the first date of the first test window. ``drop_before`` also removes the
-    rows up to and including it, as some callers expect.
+    rows up to and including it, as some callers expect. Every row is copied into each split it belongs to;
+    ``windows.temporal_windows`` has the same splits without copies.
     """
-    if start_date and drop_before:
-        df = df.where(column(date_col) > F.lit(start_date).cast("timestamp_ntz"))
-    span = date_range(df, date_col)
-    if span.last is None:
-        return assign_splits(df, date_col, [])
-    boundaries = split_boundaries(df.sparkSession, span.first, span.last, time_length, gap, _iso(start_date))
-    return assign_splits(df, date_col, boundaries)
+    rows, boundaries = temporal_boundaries(df, date_col, time_length, gap, start_date, drop_before)
+    return assign_splits(rows, date_col, boundaries)
 
 
-def create_consecutive_splits(
+def consecutive_boundaries(
     df: DataFrame, date_col: str, time_length: Mapping[str, int], start_date: str | None = None
-) -> DataFrame:
-    """Windows counted from the first date (or ``start_date``); window i is tested on all windows before it."""
+) -> tuple[DataFrame, list]:
+    """The rows that take part, and the boundaries of ``create_consecutive_splits``; none without a date."""
     if start_date:
         df = df.where(column(date_col) > F.lit(start_date).cast("timestamp_ntz"))
     span = date_range(df, date_col)
     if span.last is None:
-        return assign_splits(df, date_col, [])
+        return df, []
     origin = _iso(start_date) or span.first
     windows = split_boundaries(df.sparkSession, span.first, span.last, time_length, None, origin)[1:]
-    renumbered = [_renumber(w) for w in windows]
-    return assign_splits(df, date_col, renumbered)
+    return df, [_renumber(w) for w in windows]
+
+
+def create_consecutive_splits(
+    df: DataFrame, date_col: str, time_length: Mapping[str, int], start_date: str | None = None
+) -> DataFrame:
+    """Windows counted from the first date (or ``start_date``); window i is tested on all windows before it."""
+    rows, boundaries = consecutive_boundaries(df, date_col, time_length, start_date)
+    return assign_splits(rows, date_col, boundaries)
 
 
 def _renumber(window):

@@ -15,7 +15,7 @@ from quillon.functions import (
     to_timestamp,
     within_dates,
 )
-from quillon.operators import cleaning, describe, evaluate, features, outliers, splits, summaries
+from quillon.operators import cleaning, describe, evaluate, features, outliers, summaries, windows
 from quillon.operators.knn import NearestNeighbours
 from quillon.plans import credit, crime, funding
 from quillon.plans.views import PROJECTS_SQL, SCORES_SQL, kept_projects, projects, rounded, scores, table
@@ -578,9 +578,9 @@ member AS (SELECT p.*, split_id, 'test' AS role FROM projects p JOIN bounds ON p
 """
 
 
-def _member(spark, sf_dir, *columns):
+def _windows(spark, sf_dir, *columns):
     """The rolling splits of the projects, with the columns a query needs."""
-    return splits.create_temporal_splits(
+    return windows.temporal_windows(
         kept_projects(spark, sf_dir, "posted", *columns), "posted", {"months": SPLIT_MONTHS}, {"days": SPLIT_GAP_DAYS})
 
 
@@ -590,15 +590,17 @@ SELECT split_id, role, count(*) AS n, strftime(min(posted), '%Y-%m-%d') AS first
 """
 
 
-def _split_summary(member):
-    return member.groupBy("split_id", "role").agg(
-        F.count(F.lit(1)).alias("n"), F.date_format(F.min("posted"), "yyyy-MM-dd").alias("first_day"),
-        F.date_format(F.max("posted"), "yyyy-MM-dd").alias("last_day"), F.count_if(F.col(funding.LATE)).alias("n_late"))
+def _split_summary(placed):
+    found = placed.states({
+        "n": (F.count(F.lit(1)), "sum"), "first": (F.min("posted"), "min"), "last": (F.max("posted"), "max"),
+        "n_late": (F.count_if(F.col(funding.LATE)), "sum")})
+    return found.select(
+        "split_id", "role", "n", F.date_format("first", "yyyy-MM-dd").alias("first_day"), F.date_format("last", "yyyy-MM-dd").alias("last_day"), "n_late")
 
 
 @register(f"WITH {PROJECTS_SQL}, {SPLITS_SQL} {SPLIT_SUMMARY}")
 def temporal_splits_summary(spark, sf_dir):
-    return _split_summary(_member(spark, sf_dir, funding.LATE))
+    return _split_summary(_windows(spark, sf_dir, funding.LATE))
 
 
 @register(f"""
@@ -612,7 +614,7 @@ member AS (SELECT posted, late, i AS split_id, 'test' AS role FROM placed WHERE
 {SPLIT_SUMMARY}
 """)
 def temporal_splits_v2(spark, sf_dir):
-    return _split_summary(splits.create_consecutive_splits(
+    return _split_summary(windows.consecutive_windows(
         kept_projects(spark, sf_dir, "posted", funding.LATE), "posted", {"months": 12}))
 
 
@@ -623,11 +625,8 @@ SELECT split_id, role, count(*) AS n, count(*) FILTER (days IS NULL) AS n_filled
        round(sum(coalesce(days, m)), 4) AS total FROM member JOIN med USING (split_id, role) GROUP BY 1, 2
 """)
 def impute_per_split(spark, sf_dir):
-    member = _member(spark, sf_dir, funding.DAYS)
-    filled = cleaning.preprocess_data(member, columns=[funding.DAYS], by=["split_id", "role"])
-    return rounded(filled.groupBy("split_id", "role").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col(f"{funding.DAYS}_missing")).alias("n_filled"),
-        F.sum(funding.DAYS).alias("total")), 4)
+    found = windows.imputed_summary(_windows(spark, sf_dir, funding.DAYS), [funding.DAYS], Scratch(spark))
+    return rounded(found.select("split_id", "role", "n", "n_filled", "total"), 4)
 
 
 def edges_sql(count: int) -> str:
@@ -673,9 +672,8 @@ SELECT split_id, role, 'q' || least(4, greatest(1, len([x for x in edges if x <
 FROM member JOIN e USING (split_id) GROUP BY 1, 2, 3
 """)
 def fitted_bins(spark, sf_dir):
-    cut = features.split_bins(
-        _member(spark, sf_dir, "price"), {"price": {"bins": 4, "labels": ["q1", "q2", "q3", "q4"]}})
-    return cut.groupBy("split_id", "role", "price").agg(F.count(F.lit(1)).alias("n"))
+    found = windows.bin_counts(_windows(spark, sf_dir, "price"), "price", 4, Scratch(spark))
+    return found.select("split_id", "role", features.bin_label(F.col("bin"), F.array(), ["q1", "q2", "q3", "q4"]).alias("price"), "n")
 
 
 @register(f"""
@@ -721,9 +719,7 @@ SELECT split_id, role, round(min((2 * price - (a + b)) / (a - b)), 6) AS lo, rou
        round(avg((2 * price - (a + b)) / (a - b)), 6) AS mean FROM member JOIN r USING (split_id) GROUP BY 1, 2
 """)
 def minmax_scale(spark, sf_dir):
-    scaled = features.split_minmax(_member(spark, sf_dir, "price"), ["price"])
-    return rounded(scaled.groupBy("split_id", "role").agg(
-        F.min("price").alias("lo"), F.max("price").alias("hi"), F.avg("price").alias("mean")))
+    return rounded(windows.scaled_summary(_windows(spark, sf_dir, "price"), ["price"]).drop("column"))
 
 
 @register("""
@@ -742,9 +738,7 @@ SELECT split_id, role, sum(CASE WHEN role = 'train' THEN t ELSE a END)::BIGINT A
        max(CASE WHEN role = 'train' THEN t ELSE a END) AS most FROM member JOIN c USING (split_id, teacher) GROUP BY 1, 2
 """)
 def occurrence_counts(spark, sf_dir):
-    counted = features.split_n_occurrences(_member(spark, sf_dir, "teacher", "projectid"), ["teacher"], ["projectid"])
-    return counted.groupBy("split_id", "role").agg(
-        F.sum("teacher_n_occur").alias("total"), F.max("teacher_n_occur").alias("most"))
+    return windows.occurrence_summary(_windows(spark, sf_dir, "teacher"), "teacher")
 
 
 @register("SELECT o_orderkey, count(*) OVER (PARTITION BY o_custkey) AS o_custkey_n_occur FROM orders")
@@ -940,7 +934,7 @@ def pr_curve(spark, sf_dir):
 
 @register(f"WITH {PROJECTS_SQL}, {SPLITS_SQL} SELECT split_id, role, round(avg(CAST(late AS INT)), 6) AS baseline FROM member GROUP BY 1, 2")
 def positive_share(spark, sf_dir):
-    return rounded(evaluate.baseline(_member(spark, sf_dir, funding.LATE), funding.LATE, ["split_id", "role"]))
+    return rounded(windows.baseline(_windows(spark, sf_dir, funding.LATE), funding.LATE))
 
 
 # --- models ---------------------------------------------------------------------------------------

@@ -27,7 +27,8 @@ from quillon.operators.evaluate import (
 from quillon.operators.features import create_dummies_many, cut_variable, generate_features
 from quillon.operators.models import SCORE
 from quillon.operators.params import drop_columns
-from quillon.operators.splits import ROLE, SPLIT, create_consecutive_splits, create_temporal_splits
+from quillon.operators.splits import ROLE, SPLIT
+from quillon.operators.windows import consecutive_windows, temporal_windows
 from quillon.plans.grid import evaluate_grid, score_grid
 from quillon.sources import read_csv
 
@@ -125,11 +126,14 @@ def apply_pipeline(
     idle = (dropped - set(steps.get("n_occur_cols", ()))) | {key, label, date_col}
     cleaned_columns = [c for c in projects.columns if c not in idle]
     used = projects.select(*[column(c) for c in projects.columns if c in {key, label, date_col, *cleaned_columns}])
-    splits = create_temporal_splits(used, date_col, time_length or {"months": 6}, gap or {"days": 60})
-    cleaned = preprocess_data(splits, columns=cleaned_columns, by=[SPLIT, ROLE], **preprocessing)
-    steps["drop_cols"] = [c for c in {*dropped, date_col} if c in cleaned.columns]
-    built = generate_features(cleaned, **steps, spread_on=[key], keep_categories=True)
-    scores = score_grid(built, specs, label, key, categorical, parallelism)
+    placed = temporal_windows(used, date_col, time_length or {"months": 6}, gap or {"days": 60})
+
+    def build(rows: DataFrame) -> DataFrame:
+        cleaned = preprocess_data(rows, columns=cleaned_columns, by=[SPLIT, ROLE], **preprocessing)
+        drops = [c for c in {*dropped, date_col} if c in cleaned.columns]
+        return generate_features(cleaned, **{**steps, "drop_cols": drops}, spread_on=[key], keep_categories=True)
+
+    scores = score_grid(placed, specs, label, key, categorical, parallelism, build)
     return evaluate_grid(scores, label, key, thresholds, tie_breaker, seed)
 
 
@@ -183,5 +187,5 @@ def earlier_scores(
     for name in deciles:
         binned = cut_variable(binned, name, 10, [f"dec{i / 10}" for i in range(10)]).drop(f"{name}_bin")
     dummies = create_dummies_many(binned, [*categories, *deciles])
-    splits = create_consecutive_splits(dummies, date_col, time_length or {"months": 6}).drop(date_col)
-    return score_grid(splits, specs, label, key, [], parallelism)
+    placed = consecutive_windows(dummies, date_col, time_length or {"months": 6})
+    return score_grid(placed, specs, label, key, [], parallelism, lambda rows: rows.drop(date_col))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import Future, ThreadPoolExecutor
 from functools import reduce
 
@@ -15,62 +15,61 @@ from quillon.operators.evaluate import THRESHOLDS, evaluate_classifier
 from quillon.operators.features import sparse_encoder
 from quillon.operators.models import FEATURES, SCORE, generate_classifier, predict_target_probability
 from quillon.operators.specs import spec_label
-from quillon.operators.splits import ROLE, SPLIT, test_rows, train_rows
-from quillon.session import materialize
-
-
-def split_ids(splits: DataFrame) -> list[int]:
-    """Numbers of the splits that have both training and test rows."""
-    sizes = splits.groupBy(SPLIT).agg(
-        F.count_if(F.col(ROLE) == "train").alias("train"), F.count_if(F.col(ROLE) == "test").alias("test"))
-    return sorted(r[SPLIT] for r in sizes.collect() if r.train and r.test)
+from quillon.operators.splits import SPLIT, test_rows, train_rows
+from quillon.operators.windows import Windows
+from quillon.session import Scratch
 
 
 def score_grid(
-    splits: DataFrame, specs: Sequence[Mapping], label: str, key: str, categorical: Sequence[str],
-    parallelism: int = 4,
+    windows: Windows, specs: Sequence[Mapping], label: str, key: str, categorical: Sequence[str],
+    parallelism: int = 4, features: Callable[[DataFrame], DataFrame] | None = None, scratch: Scratch | None = None,
 ) -> DataFrame:
     """Scores of every specification on every test set: ``model_id, model, split_id, key, score, label``.
 
-    The features are written once; encoders are fitted on each split's own training rows. As in
-    Spark's cross validation, a few fits run side by side, each a distributed job.
+    Each row is written once, in the folder of its window; a split reads the windows before its boundary. ``features``
+    turns the rows of one split (with ``split_id`` and ``role``) into features; encoders are fitted on the split's
+    own training rows. As in Spark's cross validation, a few fits run side by side, each a distributed job.
     """
-    ready = materialize(splits, [SPLIT, ROLE])  # each fit then reads only the files of its split
-    numeric = [c for c in numeric_columns(ready, booleans=True) if c not in (key, label, SPLIT)]
-    numeric += [f.name for f in ready.schema.fields if isinstance(f.dataType, VectorUDT)]  # wide dummies
+    scratch = scratch or Scratch(windows.rows.sparkSession)
+    stored = windows.kept(scratch)
     keep = [column(key), column(label).cast("int").alias(label), FEATURES]
 
-    def prepare(split: int) -> tuple[DataFrame, DataFrame]:
+    def prepare(split: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+        rows = stored.split(split)
+        ready = (features(rows) if features else rows).persist()
+        numeric = [c for c in numeric_columns(ready, booleans=True) if c not in (key, label, SPLIT)]
+        numeric += [f.name for f in ready.schema.fields if isinstance(f.dataType, VectorUDT)]  # wide dummies
         encoder = sparse_encoder(train_rows(ready, split), categorical, numeric)
         train = encoder.transform(train_rows(ready, split)).select(*keep).persist()
-        return train, encoder.transform(test_rows(ready, split)).select(*keep)
+        return ready, train, encoder.transform(test_rows(ready, split)).select(*keep)
 
     def fit_and_score(split: int, train: DataFrame, test: DataFrame, number: int, spec: Mapping) -> DataFrame:
         model = generate_classifier(train, spec, label, key)
         scored = predict_target_probability(model, test)
-        return materialize(scored.select(
+        return scratch.keep(scored.select(
             F.lit(number).alias("model_id"), F.lit(spec_label(spec, number)).alias("model"), F.lit(split).alias(SPLIT),
             column(key), column(SCORE).cast("double").alias(SCORE), column(label)))
 
     pieces = []
     with ThreadPoolExecutor(parallelism) as pool:
         started = []
-        for split in split_ids(ready):
-            train, test = prepare(split)
-            fits = [pool.submit(fit_and_score, split, train, test, n, spec) for n, spec in enumerate(specs, start=1)]
-            started.append((train, fits))
-            if len(started) > 1:  # at most two training sets stay cached
+        for split in stored.usable():
+            *cached, test = prepare(split)
+            fits = [pool.submit(fit_and_score, split, cached[1], test, n, spec) for n, spec in enumerate(specs, start=1)]
+            started.append((cached, fits))
+            if len(started) > 1:  # at most two splits stay cached
                 pieces += _finish(*started.pop(0))
-        for train, fits in started:
-            pieces += _finish(train, fits)
+        for cached, fits in started:
+            pieces += _finish(cached, fits)
     if not pieces:
         raise ValueError("no split has both training and test rows")
     return reduce(DataFrame.unionByName, pieces)
 
 
-def _finish(train: DataFrame, fits: list[Future]) -> list[DataFrame]:
+def _finish(cached: list[DataFrame], fits: list[Future]) -> list[DataFrame]:
     scored = [fit.result() for fit in fits]
-    train.unpersist()
+    for table in cached:
+        table.unpersist()
     return scored
 
 
