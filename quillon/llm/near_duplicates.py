@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillon.llm.components import components
-from quillon.llm.signature_tree import Router, digest, links, shingles
+from quillon.llm.signature_tree import Router, digest, linked, links, packed, shingles, unpacked
+from quillon.llm.turns import small
 from quillon.session import Scratch, spread
 
 SHINGLE = 4
@@ -19,8 +20,8 @@ PERCENT = 85
 SAMPLED = 64
 HOT_IN_SAMPLE = 16
 HOT_KEYS = 10_000
+COMMON = 32
 CHUNK_SHINGLES = 400_000
-BROADCAST_ROWS = 1_000_000
 
 
 def near_duplicates(
@@ -36,88 +37,176 @@ def near_duplicates(
     2. A class is routed under its pigeonhole keys (``Router``): two linked classes share one at least. The
        smallest class under a key leads it, and the classes led by one form a block; that is all rows of
        a key that ever meet. Keys found hot in a sample take a leader beforehand and skip the shuffle.
-    3. Blocks are cut into chunks of ``chunk_shingles`` shingles; every pair of chunks is one group. In it a
-       signature tree over the sets is traversed against itself and pairs are verified (``links``); pairs that
-       are connected already are passed over, so near copies of one text need one link each.
-    4. Components of the links give each document its smallest partner.
+    3. A block all of whose classes are also in the block of the leader that its own leader shares most keys with is
+       left out: all its pairs meet there. Of the many blocks that near copies of one text form, few are left.
+    4. In a block a signature tree over the sets is traversed against itself and pairs are verified (``links``); pairs that
+       are connected already are passed over. In a block of more than ``chunk_shingles`` shingles all classes are first
+       compared with the leader alone. Those that are not connected by that meet each other and the rest, in chunks; the
+       rest don't meet again, so a large block of near copies costs one comparison each.
+    5. Components of the links give each document its smallest partner.
 
-    Sets are compared by 64-bit hashes of their shingles. NULL, empty and white texts have no shingles and no
+    Sets are counted and told apart by 64-bit hashes of their shingles, and compared by the upper 48 bits of these. NULL, empty and white texts have no shingles and no
     links. A NULL id is never the smallest unless all in a component are NULL. Rows that repeat an id and text
     are copies like others; other columns are not looked at. An empty table gives an empty result.
     """
     id_type = docs.schema[id_column].dataType
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    known = scratch.keep(spread(rows).mapInArrow(_describe(shingle, percent), T.StructType([
-        T.StructField("doc_id", id_type), T.StructField("n_shingles", T.LongType()), T.StructField("set", T.BinaryType()),
-        T.StructField("class", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])))
+    known = scratch.keep(spread(rows).mapInArrow(_describe(shingle), T.StructType([
+        T.StructField("doc_id", id_type), T.StructField("n_shingles", T.LongType()), T.StructField("set", T.BinaryType()), T.StructField("class", T.LongType())])))
     classes = scratch.keep(known.where("n_shingles > 0").groupBy("set").agg(F.min("doc_id").alias("first"), F.first("class").alias("class"), F.first("n_shingles").alias("n")))
-    pairs = _blocks(known, scratch)
-    found = _tree_links(rows, classes, pairs, scratch, shingle, percent, chunk_shingles)
+    sets = _sets_of(rows, classes, scratch, shingle)
+    placed = _sized(sets, _unique_blocks(_blocks(sets, scratch, percent), scratch), scratch, chunk_shingles)
+    near = _leader_links(sets, placed.where("large"), scratch, percent, chunk_shingles)
+    found = near.unionByName(_tree_links(sets, placed, near, scratch, percent, chunk_shingles))
     labels = components(found, scratch)
-    linked = classes.join(labels, classes["set"] == labels["node"])
-    smallest = linked.groupBy("label").agg(F.min("first").alias("component_id"))
-    resolved = scratch.keep(linked.join(smallest, "label").select("set", "component_id"))
+    joined = classes.join(labels, classes["set"] == labels["node"])
+    smallest = joined.groupBy("label").agg(F.min("first").alias("component_id"))
+    resolved = scratch.keep(joined.join(smallest, "label").select("set", "component_id"))
     ids = scratch.keep(classes.join(resolved, "set", "left").select("set", F.coalesce("component_id", "first").alias("component_id")))
     return known.select("doc_id", "n_shingles", "set").join(ids, "set", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def _describe(shingle: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Size, digest and routing keys of each document's set; copies of a set in a batch carry no keys but the first."""
+def _describe(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Size and digest of each document's set."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        router = Router(percent)
         for batch in batches:
-            sizes, sets, names, keys, seen = [], [], [], [], set()
+            sizes, sets = [], []
             for text in batch.column("text"):
                 hashes = shingles(text.as_py(), shingle)
-                name = digest(hashes) if len(hashes) else None
                 sizes.append(len(hashes))
-                sets.append(name)
-                names.append(int.from_bytes(name[:8], "little", signed=True) if name else None)
-                keys.append(router.keys(hashes).view(np.int64) if name and name not in seen else np.empty(0, np.int64))
-                seen.add(name)
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], np.cumsum([len(k) for k in keys])]), pa.int32()), pa.array(np.concatenate(keys) if keys else [], pa.int64()))
+                sets.append(digest(hashes) if len(hashes) else None)
+            names = [int.from_bytes(s[:8], "little", signed=True) if s else None for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), pa.array(names, pa.int64()), lists],
-                ["doc_id", "n_shingles", "set", "class", "keys"])
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), pa.array(names, pa.int64())], ["doc_id", "n_shingles", "set", "class"])
 
     return describe
 
 
-def _blocks(known: DataFrame, scratch: Scratch) -> DataFrame:
-    """Distinct (block, class): every two classes under one key are together in the block of the key's leader."""
-    keyed = known.where(F.size("keys") > 0).select("class", F.explode("keys").alias("key"))
-    sampled = keyed.where(F.pmod("class", F.lit(SAMPLED)) == 0)
+def _keys(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The routing keys of each class, one a row, with their size class and how many of that the class can do without."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        router = Router(percent)
+        for batch in batches:
+            found = [router.marked_keys(unpacked(h.as_py())) for h in batch.column("hashes")]
+            of = np.repeat(np.arange(batch.num_rows), [len(k) for k, _, _ in found])
+            columns = [np.concatenate([f[i] for f in found]) if found else np.empty(0) for i in range(3)]
+            # 48 bits of a key: another key of the same ones only adds comparisons
+            names = (columns[0].astype(np.uint64) >> np.uint64(16)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("class").take(pa.array(of)), pa.array(names, pa.int64()), pa.array(columns[1].astype(np.int32)), pa.array(columns[2].astype(np.int32))],
+                ["class", "key", "size", "spare"])
+
+    return keys
+
+
+def _blocks(sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """(leader, class, shared): every two classes that can be linked are together in a leader's block; how many keys led there.
+
+    A key of more than ``COMMON`` classes, as a passage makes it that many texts hold, is left out by every class that
+    has enough others. Linked classes that both leave it out share another key. A leader stands in its own block.
+    """
+    schema = "class bigint, key bigint, size int, spare int"
+    keyed = sets.select("class", "hashes").mapInArrow(_keys(percent), schema)
+    sampled = sets.where(F.pmod("class", F.lit(SAMPLED)) == 0).select("class", "hashes").mapInArrow(_keys(percent), schema)
     counted = sampled.groupBy("key").agg(F.count("*").alias("n"), F.min("class").alias("leader"))
     # at most HOT_KEYS rows; a key that is missed here is only slower
     hot = scratch.keep(counted.where(F.col("n") >= HOT_IN_SAMPLE).orderBy(F.desc("n"), "key").limit(HOT_KEYS).select("key", "leader"))
     marked = keyed.join(F.broadcast(hot), "key", "left")
-    led = marked.where(F.col("leader").isNotNull()).select("leader", "class")
-    firsts = F.min("class").over(Window.partitionBy("key"))
-    shared = marked.where(F.col("leader").isNull()).select("class", firsts.alias("leader"))
-    met = scratch.keep(led.unionByName(shared.select("leader", "class")).where(F.col("leader") != F.col("class")).distinct())
-    return met.unionByName(met.select("leader", F.col("leader").alias("class")).distinct())
+    group = Window.partitionBy("key")
+    led = marked.where(F.col("leader").isNotNull()).select("leader", "class", "size", "spare", F.lit(True).alias("common"))
+    shared = marked.where(F.col("leader").isNull()).select(
+        "class", "size", "spare", F.min("class").over(group).alias("leader"), F.max("class").over(group).alias("last"), F.count("*").over(group).alias("n"))
+    shared = shared.where(F.col("leader") < F.col("last")).select("leader", "class", "size", "spare", (F.col("n") > COMMON).alias("common"))
+    met = scratch.keep(led.unionByName(shared))
+    many = met.where("common").groupBy("class", "size").agg(F.count("*").alias("k"), F.first("spare").alias("spare"))
+    freed = many.where("k <= spare").select("class", "size", F.lit(True).alias("freed"))
+    kept = met.where("NOT common").select("leader", "class").unionByName(
+        met.where("common").join(freed, ["class", "size"], "left").where("freed IS NULL").select("leader", "class"))
+    counts = scratch.keep(kept.where(F.col("leader") != F.col("class")).groupBy("leader", "class").agg(F.count("*").alias("shared")))
+    return counts.unionByName(counts.select("leader", F.col("leader").alias("class"), F.lit(0).cast("bigint").alias("shared")).distinct())
 
 
-def _tree_links(
-    rows: DataFrame, classes: DataFrame, pairs: DataFrame, scratch: Scratch, shingle: int, percent: int, chunk_shingles: int,
-) -> DataFrame:
-    """Links (a, b) between set digests that connect all classes a chain of links connects."""
-    wanted = pairs.select("class").distinct()
-    members = scratch.keep(classes.join(wanted, "class", "left_semi").select("first", "set", "class", "n"))
-    small = F.broadcast(members) if members.count() <= BROADCAST_ROWS else members
-    texts = rows.join(small, rows["doc_id"].eqNullSafe(members["first"])).select("set", "class", "n", "text")
-    sets = scratch.keep(texts.mapInArrow(_sets(shingle), "class bigint, set binary, n bigint, hashes binary"))
-    sizes = pairs.join(members.select("class", "n"), "class").groupBy("leader").agg(F.sum("n").alias("total"))
+def _sets_of(rows: DataFrame, classes: DataFrame, scratch: Scratch, shingle: int) -> DataFrame:
+    """(class, set, n, hashes) of each class, from its first document."""
+    few = small(classes.select("first", "set", "class", "n"))
+    texts = rows.join(few, rows["doc_id"].eqNullSafe(few["first"])).select("set", "class", "n", "text")
+    found = scratch.keep(texts.mapInArrow(_sets(shingle), "class bigint, set binary, n bigint, hashes binary"))
+    # rows that repeat an id and text give their set again
+    return found if found.count() == classes.count() else scratch.keep(found.dropDuplicates(["set"]))
+
+
+def _unique_blocks(pairs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``pairs`` (leader, class) without the blocks that lie within the block of a smaller leader."""
+    above = scratch.keep(pairs.where("leader < class").groupBy(F.col("class").alias("leader")).agg(
+        F.max_by("leader", F.struct("shared", "leader")).alias("above")))
+    looked = pairs.select("leader", "class").join(small(above), "leader")
+    there = pairs.select(F.col("leader").alias("above"), "class", F.lit(1).alias("there"))
+    within = looked.join(there, ["above", "class"], "left").groupBy("leader").agg(F.count("*").alias("n"), F.count("there").alias("k")).where("n = k")
+    gone = scratch.keep(within.select("leader"))
+    return scratch.keep(pairs.select("leader", "class").join(small(gone), "leader", "left_anti"))
+
+
+def _sized(sets: DataFrame, pairs: DataFrame, scratch: Scratch, chunk_shingles: int) -> DataFrame:
+    """``pairs`` with the set's size ``n``, and whether the block is ``large``."""
+    rows = scratch.keep(pairs.join(sets.select("class", "n").distinct(), "class"))
+    large = scratch.keep(rows.groupBy("leader").agg(F.sum("n").alias("total")).where(F.col("total") > chunk_shingles).select("leader", F.lit(True).alias("large")))
+    return rows.join(small(large), "leader", "left").withColumn("large", F.coalesce("large", F.lit(False)))
+
+
+def _leader_links(sets: DataFrame, members: DataFrame, scratch: Scratch, percent: int, chunk_shingles: int) -> DataFrame:
+    """Links (a, b) between the sets of the classes and leaders of ``members`` (leader, class, n)."""
+    sizes = scratch.keep(members.groupBy("leader").agg(F.ceil(F.sum("n") / chunk_shingles).cast("int").alias("chunks")))
+    dealt = members.where("leader <> class").join(small(sizes), "leader").select(
+        "leader", "class", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int").alias("chunk"), F.lit(False).alias("leads"))
+    heads = sizes.select("leader", F.col("leader").alias("class"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(True).alias("leads"))
+    sent = scratch.keep(dealt.unionByName(heads))
+    rows = sets.select("class", "set", "hashes").join(small(sent), "class")
+    return scratch.keep(rows.groupBy("leader", "chunk").applyInArrow(_join_leader(percent), "a binary, b binary"))
+
+
+def _join_leader(percent: int) -> Callable[[pa.Table], pa.Table]:
+    def join(block: pa.Table) -> pa.Table:
+        leads, names, hashes = (block.column(c).to_pylist() for c in ("leads", "set", "hashes"))
+        head = leads.index(True)
+        first = unpacked(hashes[head])
+        found = [n for n, h, l in zip(names, hashes, leads, strict=True) if not l and linked(first, unpacked(h), percent)]
+        return pa.table({"a": pa.array([names[head]] * len(found), pa.binary()), "b": pa.array(found, pa.binary())})
+
+    return join
+
+
+def _tree_links(sets: DataFrame, pairs: DataFrame, near: DataFrame, scratch: Scratch, percent: int, chunk_shingles: int) -> DataFrame:
+    """Links (a, b) between set digests that, with those to the leaders, connect all classes a chain of links connects."""
+    labels = components(near, scratch)
+    named = sets.select("class", "set").join(labels, F.col("set") == labels["node"], "left").select("class", F.coalesce("label", "set").alias("label"))
+    placed = scratch.keep(pairs.join(named, "class"))
+    own = F.max(F.when(F.col("class") == F.col("leader"), F.col("label")))
+    blocks = placed.groupBy("leader").agg(own.alias("core"), F.min("label").alias("least"), F.max("label").alias("most"))
+    mixed = scratch.keep(blocks.where("least <> most").select("leader", "core"))
+    inside = placed.join(small(mixed), "leader").withColumn("apart", F.col("label") != F.col("core"))
+    sizes = inside.groupBy("leader").agg(F.sum("n").alias("total"), F.sum(F.when(F.col("apart"), F.col("n")).otherwise(0)).alias("rest"))
     # a table of its own, so that the join may split a block that a third of the classes share
-    sizes = scratch.keep(sizes.select("leader", F.ceil(F.col("total") / chunk_shingles).cast("int").alias("chunks")))
-    placed = pairs.join(sizes, "leader").withColumn("chunk", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
-    others = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(F.least(c, "chunk").alias("i"), F.greatest(c, "chunk").alias("j")))
-    dealt = placed.select("leader", "class", "chunk", F.explode(others).alias("task")).select("leader", "class", "chunk", "task.i", "task.j")
-    groups = dealt.join(sets, "class").groupBy("leader", "i", "j")
-    found = groups.applyInArrow(_join_block(percent), "a binary, b binary")
+    sizes = scratch.keep(sizes.select(
+        "leader", (F.col("total") <= chunk_shingles).alias("whole"), F.greatest(F.ceil(F.col("rest") / chunk_shingles), F.lit(1)).cast("int").alias("rests"),
+        F.greatest(F.ceil((F.col("total") - F.col("rest")) / chunk_shingles), F.lit(1)).cast("int").alias("cores")))
+    dealt = inside.join(small(sizes), "leader")
+    hashed = F.xxhash64("class")
+    r, c = F.pmod(hashed, F.col("rests")).cast("int"), F.pmod(hashed, F.col("cores")).cast("int")
+    rests, cores = F.sequence(F.lit(0), F.col("rests") - 1), F.sequence(F.lit(0), F.col("cores") - 1)
+    task = "struct<i:int,j:int>"
+    # chunks of those connected with the leader have the numbers -1, -2 ...
+    of_rest = F.concat(
+        F.transform(rests, lambda x: F.struct(F.least(x, r).alias("i"), F.greatest(x, r).alias("j")).cast(task)),
+        F.transform(cores, lambda x: F.struct(r.alias("i"), (-1 - x).alias("j")).cast(task)))
+    of_core = F.transform(rests, lambda x: F.struct(x.alias("i"), (-1 - c).alias("j")).cast(task))
+    one = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")).cast(task))
+    tasks = F.when(F.col("whole"), one).when(F.col("apart"), of_rest).otherwise(of_core)
+    chunk = F.when(F.col("whole"), 0).when(F.col("apart"), r).otherwise(-1 - c)
+    sent = dealt.select("leader", "class", "label", chunk.alias("chunk"), F.explode(tasks).alias("task")).select("leader", "class", "label", "chunk", "task.i", "task.j")
+    found = sets.select("class", "set", "hashes").join(small(scratch.keep(sent)), "class").groupBy("leader", "i", "j").applyInArrow(_join_block(percent), "a binary, b binary")
     return scratch.keep(found.distinct())
 
 
@@ -131,7 +220,7 @@ def _sets(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
                 hashes = shingles(text.as_py(), shingle)
                 if len(hashes) and digest(hashes) == name.as_py():
                     keep.append(i)
-                    out.append(hashes.tobytes())
+                    out.append(packed(hashes))
             rows = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [rows.column("class"), rows.column("set"), rows.column("n"), pa.array(out, pa.binary())], ["class", "set", "n", "hashes"])
@@ -145,9 +234,10 @@ def _join_block(percent: int) -> Callable[[pa.Table], pa.Table]:
         first = {name: i for i, name in reversed(list(enumerate(names)))}
         use = sorted(first.values())
         hashes = block.column("hashes")
-        sets = [np.frombuffer(hashes[i].as_py(), np.uint64) for i in use]
+        sets = [unpacked(hashes[i].as_py()) for i in use]
         across = bool(block.column("i")[0].as_py() != block.column("j")[0].as_py())
-        found = links(sets, chunk[use], across, percent)
+        label = block.column("label").to_pylist()
+        found = links(sets, chunk[use], across, percent, [label[i] for i in use])
         return pa.table({"a": pa.array([names[use[x]] for x, _ in found], pa.binary()), "b": pa.array([names[use[y]] for _, y in found], pa.binary())})
 
     return join

@@ -70,6 +70,19 @@ def shingles(text: str | None, size: int = 4) -> np.ndarray:
     return np.unique(out)
 
 
+def packed(hashes: np.ndarray) -> bytes:
+    """The upper 48 bits of each hash, six bytes each, in order."""
+    return hashes.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    """Hashes from ``packed`` ones, the lower 16 bits made of the upper ones; sorted and distinct."""
+    wide = np.zeros((len(data) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    found = wide.view(">u8").ravel().astype(np.uint64)
+    return np.unique(found | (mix(found) >> np.uint64(48)))
+
+
 def digest(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 
@@ -80,9 +93,9 @@ class Router:
     Such sets differ in at most D(n) elements, n being the smaller size. Elements are dealt by hash into
     segments, more than D(n) of them, so some segment is the same in both (the pigeonhole principle): its
     content is a key. Sizes form classes of ratio 1.5 with one number of segments each; a set has keys for
-    every class a smaller partner can be in. Segments with hardly any element would match by chance and are
-    left out; ``slack`` segments make up for them. A set in which too many are missing (few are) also emits
-    the small ones, under marked keys that only such sets have, so no pair is lost.
+    every class a smaller partner can be in. Empty segments would match by chance and are left out; segments beyond
+    D(n) + 1 make up for them. A set in which too many are missing (few are) also emits the empty ones, under
+    marked keys that only such sets have, so no pair is lost.
     """
 
     def __init__(self, percent: int = 85):
@@ -111,6 +124,14 @@ class Router:
         return out
 
     def keys(self, hashes: np.ndarray) -> np.ndarray:
+        return self.marked_keys(hashes)[0]
+
+    def marked_keys(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(keys, first size of each key's class, how many keys of that class the set can do without).
+
+        A set that has that many keys too many still shares another one with each linked set, if a key is left out by all sets
+        that can do without it. -1: none can be left out.
+        """
         n, out = len(hashes), []
         mixed = None
         for first, last in self.classes(n):
@@ -121,16 +142,20 @@ class Router:
             place = ((hashes >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)
             bounds = np.searchsorted(place, np.arange(top + 1).astype(np.uint64))
             counts = np.diff(bounds)
-            few = 1 if first < 24 else 2
-            big = counts >= few
+            big = counts > 0
             names = (np.uint64(first) << np.uint64(34)) + (np.arange(top).astype(np.uint64) << np.uint64(1))
             content = sums[bounds[1:]] - sums[bounds[:-1]]
-            out.append(mix(content[big] + mix(names[big])))
             whole = np.concatenate([[0], np.cumsum(big)])
             sizes = range(max(first, -(-n * self.percent // 100)), min(n, last) + 1)
-            if any(whole[self.reach(s)] <= self.differ(s) for s in sizes):
-                out.append(mix(content[~big] + mix(names[~big] + np.uint64(1))))
-        return np.concatenate(out) if out else np.empty(0, np.uint64)
+            spare = max(-1, min((int(whole[self.reach(s)]) - self.differ(s) - 1 for s in sizes), default=-1))
+            found = mix(content[big] + mix(names[big]))
+            out.append((found, first, spare))
+            if spare < 0 and len(sizes):
+                out.append((mix(content[~big] + mix(names[~big] + np.uint64(1))), first, -1))
+        if not out:
+            return np.empty(0, np.uint64), np.empty(0, np.int32), np.empty(0, np.int32)
+        lengths = [len(k) for k, _, _ in out]
+        return (np.concatenate([k for k, _, _ in out]), np.repeat([f for _, f, _ in out], lengths).astype(np.int32), np.repeat([s for _, _, s in out], lengths).astype(np.int32))
 
 
 class Tree:
@@ -199,9 +224,11 @@ def _alike(ranges: list[tuple[np.ndarray, np.ndarray]], level: int, a: np.ndarra
     return (low[a] == high[b]) & (low[b] == high[a])
 
 
-def links(sets: list[np.ndarray], side: np.ndarray, across: bool, percent: int = 85) -> list[tuple[int, int]]:
+def links(sets: list[np.ndarray], side: np.ndarray, across: bool, percent: int = 85, known: list | None = None) -> list[tuple[int, int]]:
     """Linked pairs of sets that span all connected components of the links (between both sides only, if ``across``).
 
+    Sets that are equal in ``known`` are connected already.
+
     Dual traversal from the pair (root, root): a pair of nodes is followed down only while sets below it may be
     linked, are not all connected already and, if ``across``, not all on one side. It goes depth first, and at most
     ``PAIRS`` pairs a level wait, however little a level rules out. Pairs of sets are verified exactly, of the pairs
@@ -217,6 +244,9 @@ def links(sets: list[np.ndarray], side: np.ndarray, across: bool, percent: int =
     tree = Tree(ranked, bits)
     sides = _ranges(tree, side[order])
     label, found = np.arange(len(sets)), []
+    if known is not None:
+        names: dict = {}
+        label = np.array([names.setdefault(known[i], len(names)) for i in order])
     labels = _ranges(tree, label)
     root = np.zeros(1, np.int64)
     waiting = [(len(tree.levels) - 1, root, root)]

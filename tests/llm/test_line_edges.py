@@ -143,3 +143,58 @@ def test_two_pipelines_leave_each_other_alone(spark, tmp_path, monkeypatch):
     first = corpus_pipeline.run(spark, f"{tmp_path}/0")
     second = corpus_pipeline.run(spark, f"{tmp_path}/1")
     assert first.select("doc_id").distinct().count() == second.select("doc_id").distinct().count() == 8
+
+
+def near_rows():
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = []
+    for i in range(260):  # near copies of one text
+        words = list(base)
+        words[rng.randrange(len(words))] = f"e{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    for i in range(260):  # texts that share a passage and are not alike
+        rows.append((1000 + i, " ".join(f"u{rng.randrange(10**6)}" for _ in range(50)) + " " + passage))
+    return rows
+
+
+def test_large_blocks_of_near_copies_are_linear(spark, scratch, monkeypatch):
+    """Each class of a block of many chunks meets the leader; what that connects is not sent again."""
+    from quillon.llm import near_duplicates
+
+    sent = []
+    plain = near_duplicates._tree_links
+
+    def counted(sets, placed, near, *rest):
+        sent.append((near.count(), placed.where("large").select("class").distinct().count()))
+        return plain(sets, placed, near, *rest)
+
+    monkeypatch.setattr(near_duplicates, "_tree_links", counted)
+    rows = near_rows()
+    found = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), scratch, shingle=5, percent=80, chunk_shingles=3000)
+    groups = Counter(r["component_id"] for r in found.collect())
+    assert groups[0] == 260 and sum(n == 1 for n in groups.values()) == 260
+    linked, large = sent[0]
+    assert large >= 200 and 0.5 * large <= linked <= 3 * large
+
+
+def test_common_keys_lose_no_link(spark, scratch, monkeypatch):
+    from quillon.llm import near_duplicates
+
+    monkeypatch.setattr(near_duplicates, "COMMON", 3)
+    rows = near_rows()[::3]
+    rng = random.Random(4)
+    rows += [(5000 + i, " ".join(w if rng.random() > 0.01 else "z" for w in t.split())) for i, t in rows]
+    found = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), scratch, shingle=5, percent=80)
+    sets = {}
+    for i, t in rows:
+        w = t.split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+    label = {i: i for i in sets}
+    for i in sorted(sets):
+        for j in sorted(sets):
+            if j < i and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and label[i] != label[j]:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = {k: new if v == old else v for k, v in label.items()}
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == label
