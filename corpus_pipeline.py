@@ -37,7 +37,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Sc
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None) -> DataFrame:
     """Documents without the later copies of repeated line runs; those left without any word go."""
-    done = line_runs.remove_repeated_runs(docs, scratch or Scratch(spark))
+    scratch = scratch or Scratch(spark)
+    # written first: a filter on the lines left would bring the split of the whole text into each look at a line
+    done = scratch.keep(line_runs.remove_repeated_runs(docs, scratch))
     left = done.where((F.size("__removed") == 0) | line_runs.has_word(F.regexp_replace("__text", "\n", " ")))
     return _with_text(left, docs.columns, F.col("__text"))
 
