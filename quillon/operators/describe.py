@@ -12,6 +12,7 @@ from quillon.functions import as_double, column, numeric_columns
 from quillon.operators import ranks
 from quillon.operators.params import attach
 from quillon.operators.ranks import exact_quantiles
+from quillon.session import materialize
 
 QUARTILES = [0.25, 0.5, 0.75]
 QUARTILE_NAMES = ["p25", "p50", "p75"]
@@ -29,8 +30,8 @@ def summarize_data(
 ) -> DataFrame:
     """Count, mean, standard deviation, minimum, quartiles and maximum per numeric column (and group).
 
-    Missing values are ignored and rows with a missing group key are left out. All columns are
-    summarised together: one pass for the moments, and the exact quartiles of all of them at once.
+    Missing values are ignored and rows with a missing group key are left out. All columns are summarised together
+    in two passes over the rows: one for the moments and a sketch of the values, one for the exact quartiles.
     """
     groups = list(grouping_vars or [])
     columns = list(agg_cols) if agg_cols else [c for c in numeric_columns(df) if c not in groups]
@@ -43,11 +44,11 @@ def summarize_data(
         F.min("value").alias("min"), F.max("value").alias("max"),
     ]
     grouped = long.groupBy(*[column(k) for k in keys])
-    if df.count() * len(columns) <= ranks.SMALL_ROWS:
-        summary = grouped.agg(*moments, *ranks.small_quantiles("value", QUARTILES, QUARTILE_NAMES))
-    else:
-        quartiles = ranks.exact_quantiles(long, keys, "value", QUARTILES, QUARTILE_NAMES)
-        summary = grouped.agg(*moments).join(quartiles, keys, "left")
+    found = materialize(grouped.agg(*moments, ranks.sketch_of("value", QUARTILES).alias("__sketch")))
+    known = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    sketched = found.where(F.col("__sketch").isNotNull()).select(*[column(k) for k in keys], "__sketch")
+    quartiles = ranks.quantiles_from_sketch(known, sketched, keys, "value", QUARTILES, QUARTILE_NAMES)
+    summary = found.join(quartiles, keys, "left")
     return summary.select(*[column(k) for k in keys], "count", "mean", "std", "min", *QUARTILE_NAMES, "max")
 
 

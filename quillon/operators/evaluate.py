@@ -16,9 +16,9 @@ from quillon.operators.params import attach, bounded_or_lazy
 from quillon.operators.ranks import (
     add_hash_bucket,
     add_value_bucket,
+    distinct_counts,
     interpolate,
     quantile_ranks,
-    running_counts,
     values_at_ranks,
 )
 from quillon.session import materialize
@@ -30,17 +30,18 @@ CURVE_POINTS = 33
 CURVE_START = 0.01
 
 
-def _scored(scores: DataFrame, by: Sequence[str], score: str, label: str | None, key: str | None = None) -> DataFrame:
+def _scored(scores: DataFrame, by: Sequence[str], score: str, label: str | None, key: str | None = None, keep: bool = True) -> DataFrame:
     """Common column names, scores as doubles, labels as 0/1; rows without a score are left out.
 
-    The steps below read these few columns several times, so they are computed once.
+    Steps that read these few columns several times ``keep`` them, so that they are computed once.
     """
     columns = [*map(column, by), column(score).cast("double").alias("s")]
     if label is not None:
         columns.append(F.coalesce(column(label).cast("int"), F.lit(0)).alias("pos"))
     if key is not None:
         columns.append(column(key).alias("k"))
-    return materialize(scores.select(*columns).dropna(subset=[*by, "s"]))
+    found = scores.select(*columns).dropna(subset=[*by, "s"])
+    return materialize(found) if keep else found
 
 
 def _positives(threshold: float) -> Column:
@@ -78,9 +79,14 @@ def _tied_rows(scored: DataFrame, cuts: DataFrame, by: list[str], tie_breaker: s
     return add_hash_bucket(placed, F.col("place.c"), F.col("h"))
 
 
+def _open(cuts: DataFrame) -> DataFrame:
+    """The cuts at which some of the tied rows count and some don't."""
+    return cuts.where((F.col("slots") > 0) & (F.col("slots") < F.col("n_equal")))
+
+
 def _last_places(scored, cuts, by, tie_breaker, seed, measures=()) -> DataFrame:
     """Per (group, threshold): the place of the last tied row still predicted positive."""
-    wanted = cuts.where((F.col("slots") > 0) & (F.col("slots") < F.col("n_equal"))).select(
+    wanted = _open(cuts).select(
         *by, F.col("cut").alias("s"), F.col("threshold").alias("rank_id"), (F.col("slots") - 1).alias("rank"))
     tied = _tied_rows(scored, cuts, by, tie_breaker, seed)
     found = values_at_ranks(tied, [*by, "s"], "place", wanted, measures)
@@ -101,7 +107,7 @@ def predict_target_class(
     # the caller's columns may have any name, those of the helper columns too
     safe = {c: f"in_{i}" for i, c in enumerate(scores.columns)}
     marked = _mark_positives(
-        scores.toDF(*safe.values()), safe[key], safe[score], threshold, tie_breaker, safe[label] if label is not None else None, seed,
+        materialize(scores.toDF(*safe.values())), safe[key], safe[score], threshold, tie_breaker, safe[label] if label is not None else None, seed,
         [safe[c] for c in by])
     return marked.select(*[F.col(s).alias(c) for c, s in safe.items() if c != out], F.col("chosen").alias(out))
 
@@ -109,10 +115,14 @@ def predict_target_class(
 def _mark_positives(
     scores: DataFrame, key: str, score: str, threshold: float, tie_breaker: str, label: str | None, seed: int, by: list[str],
 ) -> DataFrame:
-    scored = _scored(scores, by, score, label, key)
+    scored = _scored(scores, by, score, label, key, keep=False)  # of rows that are kept already
     cuts, _ = bounded_or_lazy(_cuts(scored, by, [threshold], []))
-    last = _last_places(scored, cuts, by, tie_breaker, seed).select(
-        *by, "threshold", F.col("value.c").alias("__c"), F.col("value.h").alias("__h"), F.col("value.k").alias("__k"))
+    if _open(cuts).isEmpty():
+        last = scored.limit(0).select(
+            *by, F.lit(0.0).alias("threshold"), F.lit(0).alias("__c"), F.lit(0).cast("bigint").alias("__h"), F.col("k").alias("__k"))
+    else:
+        last = _last_places(scored, cuts, by, tie_breaker, seed).select(
+            *by, "threshold", F.col("value.c").alias("__c"), F.col("value.h").alias("__h"), F.col("value.k").alias("__k"))
     limits = cuts.join(last, [*by, "threshold"], "left").select(
         *by, F.col("cut").alias("__cut"), F.col("slots").alias("__slots"), F.col("n_equal").alias("__equal"),
         "__c", "__h", "__k")
@@ -187,11 +197,11 @@ def _topk_counts(scored, thresholds, key, tie_breaker, seed, by: list[str]) -> D
 
 def auc_roc(scores: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """Area under the ROC curve per group, exact with ties; missing when only one class occurs."""
-    return _auc(_scored(scores, by, score, label), list(by))
+    return _auc(_scored(scores, by, score, label, keep=False), list(by))
 
 
 def _auc(scored: DataFrame, by: list[str]) -> DataFrame:
-    counts = running_counts(add_value_bucket(scored, "s"), by, "s", ["pos"])
+    counts = distinct_counts(scored, by, "s", ["pos"])
     negatives_below = (F.col("n_below") - F.col("pos_below")).cast("double")
     negatives_equal = (F.col("n_equal") - F.col("pos_equal")).cast("double")
     wins = F.sum(F.col("pos_equal") * (negatives_below + negatives_equal / 2))
@@ -277,7 +287,7 @@ def fixed_class_metrics(predictions: DataFrame, prediction: str, label: str, thr
 def precision_recall_curve(scores: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """One point per distinct score: precision and recall of all rows scoring at least that much."""
     by = list(by)
-    counts = running_counts(add_value_bucket(_scored(scores, by, score, label), "s"), by, "s", ["pos"])
+    counts = distinct_counts(_scored(scores, by, score, label, keep=False), by, "s", ["pos"])
     predicted, tp = F.col("n_total") - F.col("n_below"), F.col("pos_total") - F.col("pos_below")
     return counts.select(*by, F.col("value").alias("score"), _ratio(tp, predicted).alias("precision"),
                          _ratio(tp, F.col("pos_total")).alias("recall"))

@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillon.functions import column
-from quillon.operators.params import DRIVER_ROWS, salted_join
+from quillon.operators.params import DRIVER_ROWS, skew_join
 from quillon.session import materialize
 
-HOT_KEYS = 1000
 SALTS = 4096
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -19,21 +18,23 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 def lookup(
     rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: str, spread_on: Sequence[str],
-    small_limit: int = DRIVER_ROWS, hot_keys: int = HOT_KEYS,
+    small_limit: int = DRIVER_ROWS, hot_keys: int | None = None,
 ) -> DataFrame:
     """Left join of ``rows`` with a table that has one row per key and the key's row count in ``weight``.
 
-    A table proven small is broadcast. Otherwise the ``hot_keys`` heaviest keys are broadcast (the
-    limit is the bound) and the rest is shuffled, where no key can hold more than 1/hot_keys of the
-    rows. Rows already answered, and rows with a missing key, travel under a salt made from the
+    A table proven small is broadcast. Otherwise the keys with more than a quarter of a task's share of the rows (at most four
+    times as many keys as there are tasks), or the ``hot_keys`` heaviest, are broadcast, and the rest is shuffled. Rows already answered, and rows with a missing key, travel under a salt made from the
     ``spread_on`` columns so that they do not pile up either.
     """
     keys = list(keys)
     table = materialize(table)  # read for its size, for its heaviest keys and for the join
-    if table.count() <= small_limit:
+    found = table.agg(F.count(F.lit(1)).alias("n"), F.sum(weight).alias("rows")).first()
+    if found.n <= small_limit:
         return rows.join(F.broadcast(table), keys, "left")
+    least = (found.rows or 0) / (4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     values = [c for c in table.columns if c not in keys]
-    hot = table.orderBy(F.desc(weight)).limit(hot_keys).select(
+    heaviest = table.where(column(weight) > least) if hot_keys is None else table.orderBy(F.desc(weight)).limit(hot_keys)
+    hot = heaviest.select(
         *keys, *[column(v).alias(f"__hot_{v}") for v in values], F.lit(True).alias("__hot"))
     missing = F.lit(False)
     for k in keys:
@@ -53,12 +54,12 @@ def dimension_join(
 ) -> DataFrame:
     """Join rows to a table that describes their keys.
 
-    The table is counted: a small one of bounded row width is broadcast, a larger one joined with salt.
+    The table is counted: a small one of bounded row width is broadcast, a larger one joined by ``skew_join``.
     """
     keys = list(keys)
     if fits_broadcast(table, broadcast_rows):
         return rows.join(F.broadcast(table), keys, how)
-    return salted_join(rows, table, keys, how)
+    return skew_join(rows, table, keys, how)
 
 
 def fits_broadcast(table: DataFrame, rows: int = BROADCAST_ROWS, total_bytes: int = BROADCAST_BYTES) -> bool:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,9 @@ from quillon.functions import column
 
 # A table fetched to the driver never has more rows than this; beyond it, plans keep a shuffle join.
 DRIVER_ROWS = 20_000
+HEAVY_SAMPLE = 0.02
+# A key has to turn up so often in a sample to count as heavy.
+LEAST_IN_SAMPLE = 50
 
 
 def fetch_bounded(df: DataFrame, limit: int = DRIVER_ROWS) -> list | None:
@@ -43,18 +47,50 @@ def attach(df: DataFrame, by: Sequence[str], table: DataFrame, how: str = "left"
         fields = {f.name: f.dataType for f in table.schema.fields}
         return df.select("*", *[_literal(row[c] if row else None, fields[c]).alias(c) for c in names])
     small, fits = bounded_or_lazy(table)
-    return df.join(small, list(by), how) if fits else salted_join(df, table, list(by), how)
+    return df.join(small, list(by), how) if fits else skew_join(df, table, list(by), how)
 
 
-def salted_join(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "left", least_copies: int = 16) -> DataFrame:
-    """Join rows to a table that is copied as often as the rows need it; a row's copy follows from its place in the input.
+def heavy_keys(rows: DataFrame, keys: Sequence[str], sample: float | None = None) -> tuple[list, int]:
+    """The keys that a fair share of a task could not hold, each with its number of tasks; and how many tasks missing keys need.
 
-    Neither one key, nor a missing one, nor rows that are all alike fill a single task.
+    Keys are counted in a sample of the rows. At most ``4 * shuffle partitions`` keys can reach the limit of a quarter of
+    a task's share, so that many rows come to the driver at most. A key that the sample misses is no heavy one.
     """
-    copies = max(least_copies, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(copies)).cast("int")
-    spread_table = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-    return rows.withColumn("__salt", salt).join(spread_table, [*keys, "__salt"], how).drop("__salt")
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = [column(k) for k in keys]
+    fraction = HEAVY_SAMPLE if sample is None else sample
+    drawn = rows.select(*names) if fraction >= 1 else rows.select(*names).sample(fraction, seed=11)
+    counts = drawn.groupBy(*names).agg(F.count(F.lit(1)).alias("__n"))
+    least = F.greatest(F.lit(LEAST_IN_SAMPLE), F.col("__total") / (4 * parts))
+    totals = counts.agg(F.sum("__n").alias("__total"))
+    found = counts.join(F.broadcast(totals)).where(F.col("__n") >= least).collect()
+    share = {tuple(r[k] for k in keys): min(parts, -(-4 * parts * r["__n"] // r["__total"])) for r in found}
+    missing = max([n for key, n in share.items() if None in key], default=1)
+    return [(*key, int(n)) for key, n in share.items() if None not in key and n > 1], int(missing)
+
+
+def skew_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left", sample: float | None = None) -> DataFrame:
+    """Join rows to a table with few rows a key; a key that is heavy among the rows is spread over as many tasks as it needs.
+
+    Only the table's rows of heavy keys are copied, once for each of the key's tasks; a row's task follows from its place
+    in the input. Rows with a missing key match nothing and are spread as well. How heavy keys are is measured
+    (``heavy_keys``), so a table without any is joined as it is.
+    """
+    keys = list(keys)
+    heavy, missing = heavy_keys(rows, keys, sample)
+    if not heavy and missing == 1:
+        return rows.join(table, keys, how)
+    place = F.monotonically_increasing_id()
+    spark = rows.sparkSession
+    kinds = T.StructType([*[T.StructField(k, table.schema[k].dataType) for k in keys], T.StructField("__tasks", T.IntegerType())])
+    # at most 4 * shuffle partitions rows of a key and a number
+    spread = F.broadcast(spark.createDataFrame(heavy, kinds))
+    absent = reduce(lambda a, b: a | b, [column(k).isNull() for k in keys])
+    tasks = F.when(absent, F.lit(missing)).otherwise(F.coalesce("__tasks", F.lit(1)))
+    salted = rows.join(spread, keys, "left").withColumn("__salt", F.pmod(place, tasks).cast("int")).drop("__tasks")
+    copied = table.join(spread, keys, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__tasks", F.lit(1)) - 1))).drop("__tasks")
+    return salted.join(copied, [*keys, "__salt"], how).drop("__salt")
 
 
 def _literal(value, data_type: T.DataType):

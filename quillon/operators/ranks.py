@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillon.functions import column, quoted
-from quillon.operators.params import bounded_or_lazy
+from quillon.operators.params import attach, bounded_or_lazy
+from quillon.session import materialize
 
 CUT_SAMPLE = 0.01
 # A table counted and found to be no larger than this needs no buckets: one task can hold all of it.
@@ -27,6 +28,9 @@ HASH_BITS = 13
 # A bucket with more rows than this is cut again before its rows are looked at closely.
 SPLIT_ROWS = 20 * ROWS_PER_BUCKET
 BUCKET = "__bucket"
+# The sketch of a group is off by at most its rows divided by the accuracy; bounds are taken with three times that margin.
+SKETCH_ACCURACY, SKETCH_MARGIN = 10_000, 3
+NEAR_PARTS = 1024
 
 
 def add_value_bucket(df: DataFrame, value: str, rows: int | None = None) -> DataFrame:
@@ -152,29 +156,27 @@ def _split_again(
         *[(F.col(f"{s}_before") + F.col(f"{s}_below")).alias(f"{s}_below") for s in sums], *[F.col(f"{s}_equal") for s in sums])
 
 
-def running_counts(df: DataFrame, by: Sequence[str], value: str, measures: Sequence[str] = ()) -> DataFrame:
+def distinct_counts(df: DataFrame, by: Sequence[str], value: str, measures: Sequence[str] = ()) -> DataFrame:
     """One row per (group, distinct value): rows and measure sums at it, below it and in total.
 
-    Equal values are merged map-side first; each window then holds one bucket of one group.
+    The rows are read once: equal values become one row per group, which is written. Each window then holds one
+    bucket of one group, or one row per bucket.
     """
     by = list(by)
     sums = ["n", *measures]
-    counts = df.groupBy(*by, BUCKET, value).agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(m).cast("bigint").alias(m) for m in measures]
-    )
-    totals = bucket_totals(df, by, measures).select(
-        *by, BUCKET, *[f"{s}_before" for s in sums], *[f"{s}_total" for s in sums]
-    )
-    earlier = Window.partitionBy(*by, BUCKET).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    running = counts.select(
-        "*", *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"{s}_run") for s in sums]
-    )
-    return running.join(totals, [*by, BUCKET]).select(
-        *by, F.col(value).alias("value"),
-        *[F.col(f"{s}_total") for s in sums],
-        *[(F.col(f"{s}_before") + F.col(f"{s}_run")).alias(f"{s}_below") for s in sums],
-        *[F.col(s).alias(f"{s}_equal") for s in sums],
-    )
+    counts = materialize(df.groupBy(*map(column, by), column(value)).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(m).cast("bigint").alias(m) for m in measures]))
+    cut = add_value_bucket(counts, value)
+    totals = cut.groupBy(*map(column, by), BUCKET).agg(*[F.sum(s).alias(s) for s in sums])
+    group = Window.partitionBy(*map(column, by)) if by else Window.partitionBy(F.lit(0))
+    earlier = group.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    summed = totals.select(*map(column, by), BUCKET, *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"{s}_before") for s in sums],
+                           *[F.sum(s).over(group).alias(f"{s}_total") for s in sums])
+    past = Window.partitionBy(*map(column, by), BUCKET).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    running = cut.select("*", *[F.coalesce(F.sum(s).over(past), F.lit(0)).alias(f"{s}_run") for s in sums])
+    return running.join(summed, [*by, BUCKET]).select(
+        *map(column, by), column(value).alias("value"), *[F.col(f"{s}_total") for s in sums],
+        *[(F.col(f"{s}_before") + F.col(f"{s}_run")).alias(f"{s}_below") for s in sums], *[F.col(s).alias(f"{s}_equal") for s in sums])
 
 
 def quantile_ranks(probabilities: Sequence[float]) -> dict[str, Column]:
@@ -206,13 +208,59 @@ def small_quantiles(value: Column | str, probabilities: Sequence[float], names:
     return [found[i].alias(name) for i, name in enumerate(names)]
 
 
+def sketch_of(value: str, probabilities: Sequence[float]) -> Column:
+    """A mergeable sketch's values a little below and above each quantile, as an aggregate to go with others of the same pass."""
+    near = [min(1.0, max(0.0, float(p) + side * SKETCH_MARGIN / SKETCH_ACCURACY)) for p in probabilities for side in (-1, 1)]
+    return F.percentile_approx(F.col(value), F.array(*[F.lit(p) for p in near]), F.lit(SKETCH_ACCURACY))
+
+
+def quantiles_from_sketch(
+    numbers: DataFrame, sketches: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float], names: Sequence[str],
+) -> DataFrame:
+    """Linearly interpolated exact quantiles, from the rows and from ``sketches`` (``by..., __sketch``: ``sketch_of`` the rows).
+
+    One pass over the rows: a value between a quantile's two sketched ones is counted by itself, all others only by
+    the gap they lie in, so that little more than a few values per quantile and group is shuffled. Values near a quantile are
+    spread over ``NEAR_PARTS`` parts.
+    """
+    by = list(by)
+    order = sorted(range(len(probabilities)), key=lambda i: probabilities[i])
+    bounds = F.array(*[F.struct(F.get("__sketch", F.lit(2 * i)).alias("lo"), F.get("__sketch", F.lit(2 * i + 1)).alias("hi")) for i in order])
+    if by:
+        placed = attach(numbers, by, sketches.select(*map(column, by), bounds.alias("__bounds")))
+    else:
+        row = sketches.first()
+        points = (row["__sketch"] if row else None) or [0.0] * (2 * len(order))
+        placed = numbers.withColumn("__sketch", F.array(*[F.lit(float(x)) for x in points])).withColumn("__bounds", bounds)
+    v = F.col(value)
+    passed = F.size(F.filter("__bounds", lambda b: b["hi"] < v))
+    rows = placed.select(*map(column, by), v.alias("__v"), passed.alias("__gap"), F.get("__bounds", passed).alias("__next"))
+    near = F.coalesce(F.col("__v") >= F.col("__next.lo"), F.lit(False))
+    part = F.try_divide((F.col("__v") - F.col("__next.lo")) * NEAR_PARTS, F.col("__next.hi") - F.col("__next.lo"))
+    inside = F.when(near & ~F.isnan(part), F.greatest(F.lit(0), F.least(F.lit(NEAR_PARTS - 1), F.floor(part)))).when(near, 0)
+    # -1 is the gap before the quantile's own parts
+    cut = rows.select(*map(column, by), (F.col("__gap") * (NEAR_PARTS + 1) + F.coalesce(inside, F.lit(-1))).cast("bigint").alias(BUCKET), F.when(near, F.col("__v")).alias("__v"))
+    counts = materialize(cut.groupBy(*map(column, by), BUCKET, "__v").agg(F.count(F.lit(1)).alias("k")))
+    totals = counts.groupBy(*map(column, by), BUCKET).agg(F.sum("k").alias("n"), F.max(F.col("__v").isNull()).alias("gap"))
+    group = Window.partitionBy(*map(column, by)) if by else Window.partitionBy(F.lit(0))
+    before = group.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    summed = totals.select("*", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_before"), F.sum("n").over(group).alias("n_total"))
+    located = materialize(bucket_of_ranks(summed, quantile_ranks(probabilities), by).select(*map(column, by), BUCKET, "gap", "n_before", "n_total", "rank_id", "rank"))
+    if not located.where("gap").isEmpty():  # a sketch that missed its margin: cut the values in another way
+        buckets = add_value_bucket(numbers, value)
+        return interpolate(values_at_ranks(buckets, by, value, quantile_ranks(probabilities)), by, probabilities, names)
+    past = Window.partitionBy(*map(column, by), BUCKET).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    running = counts.where("__v IS NOT NULL").withColumn("to", F.sum("k").over(past))
+    at = running.join(located, [*by, BUCKET]).where(
+        (F.col("rank") >= F.col("n_before") + F.col("to") - F.col("k")) & (F.col("rank") < F.col("n_before") + F.col("to")))
+    return interpolate(at.select(*map(column, by), "rank_id", "n_total", F.col("__v").alias("value")), by, probabilities, names)
+
+
 def exact_quantiles(
     df: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float], names: Sequence[str]
 ) -> DataFrame:
-    """Linearly interpolated quantiles per group: one row per group, one column per probability."""
-    numbers = df.select(*by, column(value).cast("double").alias("v")).dropna(subset=[*by, "v"])
-    rows = numbers.count()
-    if rows <= SMALL_ROWS:
-        return numbers.groupBy(*by).agg(*small_quantiles("v", probabilities, names))
-    numbers = add_value_bucket(numbers, "v", rows)
-    return interpolate(values_at_ranks(numbers, by, "v", quantile_ranks(probabilities)), by, probabilities, names)
+    """Linearly interpolated quantiles per group: one row per group, one column per probability. Two passes over the rows."""
+    by = list(by)
+    numbers = df.select(*map(column, by), column(value).cast("double").alias("v")).dropna(subset=[*by, "v"])
+    sketches = materialize(numbers.groupBy(*map(column, by)).agg(sketch_of("v", probabilities).alias("__sketch")))
+    return quantiles_from_sketch(numbers, sketches, by, "v", probabilities, names)

@@ -1,10 +1,9 @@
-"""Point-in-area join on a grid of several cell sizes, with built-in expressions only.
+"""Point-in-area join on grids whose cells follow the areas, with built-in expressions only.
 
-Each area goes to the grid whose cell is at least as large as the area, so it touches four cells at
-most; each point looks up one cell per grid in use. That keeps both sides small whatever mix of tiny
-and huge areas there is, and makes the join an equi-join. Areas whose total size is found to be small
-are broadcast; larger ones are shuffled, with the few areas of every cell copied ``SALTS`` times so
-that a cell crowded with points is spread out.
+An area's cells are as large as the area, halved as often as its number of edges asks for, so that a cell of a border with
+very many edges has few of them. A cell without an edge is inside the area or not as a whole: a point there needs no
+polygon test. A point looks up one cell per cell size in use, which makes the join an equi-join. Cells whose total size is found to
+be small are broadcast; others are shuffled, and a cell crowded with points is spread over as many tasks as it needs.
 """
 
 from __future__ import annotations
@@ -13,12 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillon.functions import column
+from quillon.operators.params import skew_join
+from quillon.session import materialize
 
-SALTS = 16
 BROADCAST_BYTES = 64 * 1024 * 1024
 BYTES_PER_EDGE, BYTES_PER_CELL = 40, 200
-# Sizes of doubles in use differ by at most about 2100 powers of two; real maps need a handful.
-MAX_GRIDS = 64
+# Cells along the longer side of an area are halved until there are as many as a quarter of the root of its edges.
+EDGES_PER_CELL, MOST_HALVINGS = 4, 10
 
 RING_TYPE = "array<array<struct<x:double,y:double>>>"
 
@@ -62,6 +62,37 @@ def strictly_within(x: Column, y: Column, edges: Column) -> Column:
     return (F.size(F.filter(edges, crossed)) % 2 == 1) & ~F.exists(edges, on_edge)
 
 
+def area_cells(areas: DataFrame, geometry: str = "the_geom") -> DataFrame:
+    """The cells of each area: ``__level, __cx, __cy`` (cells of side 2**level), ``__inner``, ``__edges`` and the other columns.
+
+    An inner cell lies within the area and has no edges. A border cell has the edges of its row of cells that do not lie
+    to its left: those that a ray from a point of the cell to the right can cross, or that can hold the point.
+    """
+    size = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"))
+    halvings = F.greatest(F.lit(0), F.least(F.lit(MOST_HALVINGS), F.ceil(F.log2(F.sqrt(F.size("__all")) / EDGES_PER_CELL))))
+    level = F.when(size > 0, F.ceil(F.log2(size)) - halvings).cast("int")  # a flat area holds no point at all
+    carried = [column(c) for c in areas.columns if c != geometry]
+    at, side = F.col("__level"), F.pow(F.lit(2.0), F.col("__level"))
+    prepared = with_bounds(areas, geometry).withColumn("__all", edges_of(column(geometry))).withColumn("__level", level).where(at.isNotNull())
+
+    def span(e: Column, axis: str) -> tuple[Column, Column]:
+        return F.least(e[f"{axis}1"], e[f"{axis}2"]), F.greatest(e[f"{axis}1"], e[f"{axis}2"])
+
+    bottom, left = F.col("__cy") * side, F.col("__cx") * side
+    rows = prepared.withColumn("__cy", F.explode(F.sequence(_cell(F.col("min_y"), at), _cell(F.col("max_y"), at)))).withColumn(
+        "__row", F.filter("__all", lambda e: (span(e, "y")[1] >= bottom) & (span(e, "y")[0] <= bottom + side))).drop("__all", geometry)
+    cells = rows.withColumn("__cx", F.explode(F.sequence(_cell(F.col("min_x"), at), _cell(F.col("max_x"), at))))
+    touched = F.exists("__row", lambda e: (span(e, "x")[1] >= left) & (span(e, "x")[0] <= left + side))
+    marked = cells.withColumn("__touched", touched).withColumn(
+        "__inner", ~F.col("__touched") & strictly_within(left + side / 2, bottom + side / 2, F.col("__row")))
+    edges = F.when(F.col("__touched"), F.filter("__row", lambda e: span(e, "x")[1] >= left)).otherwise(F.slice("__row", 1, 0))
+    return marked.where(F.col("__touched") | F.col("__inner")).select("__level", "__cx", "__cy", "__inner", edges.alias("__edges"), *carried)
+
+
+def _cell(value: Column, level: Column) -> Column:
+    return F.floor(value / F.pow(F.lit(2.0), level)).cast("bigint")
+
+
 def link_points_areas(
     points: DataFrame, areas: DataFrame, x: str = "longitude", y: str = "latitude", geometry: str = "the_geom",
     key: str | None = None, broadcast_bytes: int = BROADCAST_BYTES,
@@ -69,46 +100,18 @@ def link_points_areas(
     """Join every point to every area it lies strictly within.
 
     Points without coordinates and points in no area drop out; a point on a boundary is in neither
-    area. The columns of ``areas`` other than the geometry are appended. ``key`` names a column that
-    differs between points at one place, to spread them evenly; by default all columns are hashed.
+    area. The columns of ``areas`` other than the geometry are appended. ``key`` is accepted and not needed:
+    points at one place are spread by their place in the input.
     """
-    size = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"))
-    level = F.when(size > 0, F.ceil(F.log2(size))).cast("int")  # a flat area holds no point at all
-    prepared = with_bounds(areas, geometry).withColumn("__level", level).where(F.col("__level").isNotNull())
-    prepared = prepared.withColumn("__edges", edges_of(column(geometry)))
-    grids = prepared.groupBy("__level").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.size("__edges")).alias("edges")).limit(MAX_GRIDS + 1).collect()
-    if len(grids) > MAX_GRIDS:
-        raise ValueError("area sizes span too many orders of magnitude")
-    levels = sorted(g["__level"] for g in grids)
-    # every area is in four cells at most
-    size_bound = sum(4 * (g.n * BYTES_PER_CELL + g.edges * BYTES_PER_EDGE) for g in grids)
-    salts = 1 if size_bound <= broadcast_bytes else SALTS
-
-    def cell(value: Column, at: Column) -> Column:
-        return F.floor(value / F.pow(F.lit(2.0), at)).cast("bigint")
-
-    carried = [c for c in areas.columns if c != geometry]
-    at = F.col("__level")
-    keys = ["__level", "__cx", "__cy", "__salt"]
-    placed = (
-        prepared
-        .withColumn("__cx", F.explode(F.sequence(cell(F.col("min_x"), at), cell(F.col("max_x"), at))))
-        .withColumn("__cy", F.explode(F.sequence(cell(F.col("min_y"), at), cell(F.col("max_y"), at))))
-        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        .select(*keys, "__edges", "min_x", "min_y", "max_x", "max_y", *[column(c) for c in carried])
-    )
-    if salts == 1:
-        placed = F.broadcast(placed)
+    placed = materialize(area_cells(areas, geometry))
+    found = placed.agg(F.sum(BYTES_PER_CELL + BYTES_PER_EDGE * F.size("__edges")).alias("bytes"), F.collect_set("__level").alias("levels")).first()
+    levels = sorted(found["levels"])  # exponents of doubles: two thousand at most
     px, py = column(x), column(y)
-    salt = F.pmod(F.xxhash64(*[column(c) for c in ([key] if key else points.columns)]), F.lit(salts)).cast("int")
     looked_up = F.array(*[F.lit(v) for v in levels]) if levels else F.array().cast("array<int>")
-    located = (
-        points.where(px.isNotNull() & py.isNotNull()).withColumn("__salt", salt)
-        .withColumn("__level", F.explode(looked_up))
-        .withColumn("__cx", cell(px, at)).withColumn("__cy", cell(py, at))
-    )
-    candidates = located.join(placed, keys)
-    inside_box = (px > F.col("min_x")) & (px < F.col("max_x")) & (py > F.col("min_y")) & (py < F.col("max_y"))
-    return candidates.where(inside_box).where(strictly_within(px, py, F.col("__edges"))).select(
-        *[column(c) for c in points.columns], *[column(c) for c in carried])
+    located = points.where(px.isNotNull() & py.isNotNull()).withColumn("__level", F.explode(looked_up))
+    located = located.withColumns({"__cx": _cell(px, F.col("__level")), "__cy": _cell(py, F.col("__level"))})
+    keys = ["__level", "__cx", "__cy"]
+    few = (found["bytes"] or 0) <= broadcast_bytes
+    candidates = located.join(F.broadcast(placed), keys) if few else skew_join(located, placed, keys, "inner")
+    return candidates.where(F.col("__inner") | strictly_within(px, py, F.col("__edges"))).select(
+        *[column(c) for c in points.columns], *[column(c) for c in areas.columns if c != geometry])

@@ -98,7 +98,7 @@ def pivot_values(df: DataFrame, field: str) -> list:
     """The values a pivot would spread out, found once and checked against a bound."""
     found = df.select(column(field)).where(column(field).isNotNull()).distinct().limit(MAX_PIVOT_VALUES + 1).collect()
     if len(found) > MAX_PIVOT_VALUES:
-        raise ValueError(f"{field} has more than {MAX_PIVOT_VALUES} values; pass the ones to pivot")
+        raise ValueError(f"{field} has more than {MAX_PIVOT_VALUES} values: pass the ones to pivot, or use map_by_block")
     return sorted(r[0] for r in found)
 
 
@@ -112,6 +112,26 @@ def summarize_by_block(
     return wide.na.fill(0, [str(v) for v in values])
 
 
+def count_by_block(reports: DataFrame, field: str, keys: Sequence[str] = ("block", "geoid10")) -> DataFrame:
+    """One row per block and value of ``field`` that occurs there, with the count ``n``: a pivot in long form, for any number of values."""
+    return reports.dropna(subset=[*keys, field]).groupBy(*map(column, keys), column(field)).agg(F.count(F.lit(1)).alias("n"))
+
+
+def map_by_block(reports: DataFrame, field: str, keys: Sequence[str] = ("block", "geoid10"), out: str = "counts") -> DataFrame:
+    """One row per block with a map from each value that occurs there to its count, in the order of the values.
+
+    Takes any number of values, and the schema does not follow from the data. A value that is not in a map counts 0
+    (``count_of``).
+    """
+    entries = F.sort_array(F.collect_list(F.struct(column(field), F.col("n"))))
+    return count_by_block(reports, field, keys).groupBy(*map(column, keys)).agg(F.map_from_entries(entries).alias(out))
+
+
+def count_of(counts: Column, value) -> Column:
+    """The count of a value in a map of ``map_by_block``."""
+    return F.coalesce(F.try_element_at(counts, value if isinstance(value, Column) else F.lit(value)), F.lit(0))
+
+
 def link_reports_neighborhoods(
     reports: DataFrame, areas: DataFrame, code: str = "community_area", number: str = "area_number",
     name: str = "community",
