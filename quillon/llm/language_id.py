@@ -259,8 +259,10 @@ def holdout(doc_id: str = "doc_id"):
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every document, from the bytes of its whole text alone.
 
-    The network learns from rows that are not held out and have a language. Repeated rows give equal rows;
-    other columns are not looked at. If nothing can be learned, all are ``und``.
+    The network learns from rows that are not held out and have a language. NULL and empty texts, and texts without
+    a letter, are ``und`` with score 0. A very long text is read whole, in windows of ``WINDOW`` bytes. Repeated rows give equal
+    rows; ties between languages go to the first by name. An empty table gives an empty result. Other columns are not
+    looked at. If nothing can be learned, all are ``und``.
     """
     marked = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), holdout().alias("held_out"))
     net = train_windows(*training_sample(marked.where(~F.col("held_out"))))
