@@ -123,8 +123,9 @@ PROFILE_SQL = """
 
 @register(f"""
 WITH {AREAS_SQL}, stats AS ({PROFILE_SQL}),
-l AS (SELECT l_suppkey AS block, area AS geoid10, l_returnflag AS type FROM pts JOIN lineitem USING (l_orderkey, l_linenumber)
-      JOIN areas ON x > x0 AND x < x0 + w AND y > y0 AND y < y0 + h),
+placed AS (SELECT l_suppkey AS block, l_returnflag AS type, floor(l_extendedprice / 100) AS x, l_quantity + floor(l_discount * 100) / 2 AS y
+           FROM lineitem WHERE l_returnflag IN ('A', 'N')),
+l AS (SELECT block, area AS geoid10, type FROM placed JOIN areas ON x > x0 AND x < x0 + w AND y > y0 AND y < y0 + h),
 b AS (SELECT DISTINCT block, geoid10, type FROM l),
 v AS (UNPIVOT (SELECT type, white, black, hispanic, degree, income FROM b JOIN stats USING (geoid10)) ON white, black, hispanic, degree, income INTO NAME measure VALUE v)
 SELECT type, measure, count(v) AS count, round(avg(v), 4) AS mean, round(stddev_samp(v), 4) AS std, round(min(v), 4) AS min, round(quantile_cont(v, 0.25), 4) AS p25,

@@ -88,7 +88,7 @@ def test_cells_follow_the_areas(spark, broadcast_bytes):
     assert rows_of(found, "id", "name") == wanted
     cells = spatial.area_cells(table).groupBy("name").agg(F.max(F.size("__edges")).alias("most"), F.count_if("__inner").alias("inner"), F.count(F.lit(1)).alias("n"))
     by_name = {r["name"]: r for r in cells.collect()}
-    assert by_name["star"]["most"] < 250 and by_name["star"]["n"] > 30 and by_name["star"]["inner"] > 0 and "flat" not in by_name
+    assert by_name["star"]["most"] < 250 and by_name["star"]["n"] > 30 and by_name["star"]["inner"] > 0
 
 
 def test_pivot_of_more_values_than_columns(spark):
@@ -96,7 +96,9 @@ def test_pivot_of_more_values_than_columns(spark):
     found = summaries.map_by_block(rows, "v")
     assert len(found.columns) == 3 and found.count() == 2
     first = found.where("geoid10 = 0").select("counts", summaries.count_of(F.col("counts"), F.lit(4).cast("bigint")).alias("four"), summaries.count_of(F.col("counts"), F.lit(3).cast("bigint")).alias("three")).first()
-    assert len(first["counts"]) == 750 and list(first["counts"]) == sorted(first["counts"]) and (first["four"], first["three"]) == (4, 0)
+    assert len(first["counts"]) == 750 and (first["four"], first["three"]) == (4, 0)
+    keys = F.map_keys("counts")
+    assert found.where(keys == F.sort_array(keys)).count() == 2
     with pytest.raises(ValueError, match="map_by_block"):
         summaries.summarize_by_block(rows, "v")
     assert summaries.count_by_block(rows, "v").count() == 1500
