@@ -1,8 +1,9 @@
 """The corpus pipeline: quality rules, line dedup, near duplicates, benchmark decontamination, packing.
 
 Each stage takes what its predecessor kept, written as Parquet and read again. All but the last return the
-columns of ``documents``; where a stage changes a text, ``n_chars`` follows. Stages write intermediate tables under
-``scratch`` (one of their own in ``spark.checkpoint.dir`` if none is given), which can be cleared once their result is written.
+columns of ``documents``; where a stage changes a text, ``n_chars`` follows. Stages write the tables that their result is read
+from under ``scratch`` (one of their own in ``spark.checkpoint.dir`` if none is given), which can be cleared once that result is
+written. All other tables they make go as soon as these are there.
 """
 
 from __future__ import annotations
@@ -38,8 +39,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Sc
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None) -> DataFrame:
     """Documents without the later copies of repeated line runs; those left without any word go."""
     scratch = scratch or Scratch(spark)
+    others, work = [c for c in docs.columns if c not in ("text", "__removed", "__text")], Scratch(spark)
     # written first: a filter on the lines left would bring the split of the whole text into each look at a line
-    done = scratch.keep(line_runs.remove_repeated_runs(docs, scratch))
+    done = scratch.keep(line_runs.remove_repeated_runs(docs, work).select(*[F.col(f"`{c}`") for c in others], "__removed", "__text"))
+    work.clear()
     left = done.where((F.size("__removed") == 0) | line_runs.has_word(F.regexp_replace("__text", "\n", " ")))
     return _with_text(left, docs.columns, F.col("__text"))
 
@@ -53,7 +56,9 @@ def jaccard_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Sc
     scratch = scratch or Scratch(spark)
     key = line_runs.document_key("doc_id", "text")
     named = docs.select(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), key.alias("key")).alias("doc_id"), "text")
-    found = scratch.keep(near_duplicates.near_duplicates(named, scratch, shingle=5, percent=80).select("doc_id", "component_id"))
+    work = Scratch(spark)
+    found = scratch.keep(near_duplicates.near_duplicates(named, work, shingle=5, percent=80).select("doc_id", "component_id"))
+    work.clear()
     keys = found.groupBy(F.col("doc_id.key").alias("__key")).agg(F.count("*").alias("rows"), F.bool_or(F.col("doc_id") != F.col("component_id")).alias("__gone"))
     special = scratch.keep(keys.where("__gone OR rows > 1").select("__key", "__gone"))
     if special.count() <= SPECIAL_BROADCAST_ROWS:

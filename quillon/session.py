@@ -79,8 +79,14 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def clear(self) -> None:
+        """Remove the tables, and the shuffle files of the finished jobs that wrote them.
+
+        Executors drop shuffle files when the driver's JVM collects their handles, which it does only every half an hour
+        by itself; until then they would add up over the steps of a job.
+        """
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self.spark._jvm.System.gc()
 
 
 def spread(table: DataFrame) -> DataFrame:
