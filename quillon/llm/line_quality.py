@@ -159,7 +159,9 @@ def judge(
 def clean(docs: DataFrame, scratch: Scratch, text_column: str = "text", host_column: str = "source", **limits: int) -> DataFrame:
     """The documents that are kept, without their lines above the limits; columns as in ``docs``."""
     # written first: as a filter on it, the verdict would be pushed to where each use of the words splits the text again
-    judged = scratch.keep(judge(docs, scratch, text_column, host_column, **limits)).where("__q_kept")
+    work = Scratch(scratch.spark)
+    judged = scratch.keep(judge(docs, work, text_column, host_column, **limits)).where("__q_kept")
+    work.clear()
     rest = F.filter(F.split(F.col(f"`{text_column}`"), "\n"), lambda x: ~F.array_contains("__q_removed_lines", line_hash(x)))
     text = F.when(F.col("__q_removed_lines").isNull(), F.col(f"`{text_column}`")).otherwise(F.array_join(rest, "\n"))
     return judged.select(*[text.alias(c) if c == text_column else F.col(f"`{c}`") for c in docs.columns])
