@@ -1,13 +1,15 @@
 """Point-in-area join on grids whose cells follow the areas, with built-in expressions only.
 
-An area's cells are as large as the area, halved as often as its number of edges asks for, so that a cell of a border with
-very many edges has few of them. A cell without an edge is inside the area or not as a whole: a point there needs no
+An area's cells are as large as its shorter side (a sixteenth of the longer one at least), halved as often as its number of edges
+asks for, so that a cell of a border with very many edges has few of them. A cell without an edge is inside the area or not as a whole: a point there needs no
 polygon test. A point looks up one cell per cell size in use, which makes the join an equi-join. Cells whose total size is found to
 be small are broadcast; others are shuffled, and a cell crowded with points is spread over as many tasks as it needs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 BYTES_PER_EDGE, BYTES_PER_CELL = 40, 200
 # Cells along the longer side of an area are halved until there are as many as a quarter of the root of its edges.
 EDGES_PER_CELL, MOST_HALVINGS = 4, 10
+# Cells are squares; a long and narrow area has at most about so many of them along its longer side before halving.
+MOST_ALONG = 16
 
 RING_TYPE = "array<array<struct<x:double,y:double>>>"
 
@@ -68,7 +72,8 @@ def area_cells(areas: DataFrame, geometry: str = "the_geom") -> DataFrame:
     An inner cell lies within the area and has no edges. A border cell has the edges of its row of cells that do not lie
     to its left: those that a ray from a point of the cell to the right can cross, or that can hold the point.
     """
-    size = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"))
+    wide, high = F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")
+    size = F.greatest(F.least(wide, high), F.greatest(wide, high) / MOST_ALONG)
     halvings = F.greatest(F.lit(0), F.least(F.lit(MOST_HALVINGS), F.ceil(F.log2(F.sqrt(F.size("__all")) / EDGES_PER_CELL))))
     level = F.when(size > 0, F.ceil(F.log2(size)) - halvings).cast("int")  # a flat area holds no point at all
     carried = [column(c) for c in areas.columns if c != geometry]
@@ -115,3 +120,50 @@ def link_points_areas(
     candidates = located.join(F.broadcast(placed), keys) if few else skew_join(located, placed, keys, "inner")
     return candidates.where(F.col("__inner") | strictly_within(px, py, F.col("__edges"))).select(
         *[column(c) for c in points.columns], *[column(c) for c in areas.columns if c != geometry])
+
+
+def numbered_shapes(areas: DataFrame, geometry: str = "the_geom") -> DataFrame:
+    """The different geometries of the areas, each with a number ``__shape``."""
+    different = areas.select(column(geometry)).where(column(geometry).isNotNull()).distinct()
+    return materialize(different.withColumn("__shape", F.monotonically_increasing_id()))
+
+
+def aggregate_in_areas(
+    points: DataFrame, areas: DataFrame, measures: Mapping[str, tuple[Column, Callable[[str], Column]]], x: str = "longitude",
+    y: str = "latitude", geometry: str = "the_geom",
+) -> DataFrame:
+    """Aggregates of the points strictly within each area, for areas with one at least; areas keep their other columns.
+
+    ``measures`` has, for each column, an aggregate of points and the function that merges its values. Points at one place are
+    one row in the join, and so are areas of one shape: the work follows the different places and shapes.
+    """
+    shapes = numbered_shapes(areas, geometry)
+    known = points.where(column(x).isNotNull() & column(y).isNotNull())
+    places = known.groupBy(column(x).alias("__x"), column(y).alias("__y")).agg(*[part.alias(name) for name, (part, _) in measures.items()])
+    linked = link_points_areas(places, shapes, "__x", "__y", geometry)
+    found = linked.groupBy("__shape").agg(*[merge(name).alias(name) for name, (_, merge) in measures.items()])
+    return areas.join(shapes, geometry).drop(geometry).join(found, "__shape").drop("__shape")
+
+
+def groups_in_areas(
+    points: DataFrame, areas: DataFrame, groups: Sequence[str], key: str, x: str = "longitude", y: str = "latitude",
+    geometry: str = "the_geom",
+) -> DataFrame:
+    """How many different ``groups`` values have a point strictly within the areas of each key: ``key, groups[1:]..., n``.
+
+    ``n`` counts the values of the first column for each combination of the others; rows with a missing key or group are left out.
+    Keys with the same shapes are one row in the join.
+    """
+    named = areas.dropna(subset=[key])
+    shapes = numbered_shapes(named, geometry)
+    owned = named.join(shapes, geometry).select(column(key), "__shape").distinct().groupBy(column(key)).agg(F.sort_array(F.collect_list("__shape")).alias("__shapes"))
+    owned = materialize(owned)
+    units = materialize(owned.select("__shapes").distinct().withColumn("__unit", F.monotonically_increasing_id()))
+    drawn = units.select("__unit", F.explode("__shapes").alias("__shape")).join(shapes, "__shape").select("__unit", column(geometry))
+    known = points.dropna(subset=list(groups)).where(column(x).isNotNull() & column(y).isNotNull())
+    places = known.select(column(x).alias("__x"), column(y).alias("__y"), *map(column, groups)).distinct()
+    linked = link_points_areas(places, drawn, "__x", "__y", geometry)
+    others = [column(c) for c in groups[1:]]
+    counts = linked.select("__unit", *map(column, groups)).distinct().groupBy("__unit", *others).agg(F.count(F.lit(1)).alias("n"))
+    # one row per unit, and as many more per key as it has combinations of the other columns
+    return owned.join(units, "__shapes").select(column(key), "__unit").join(counts, "__unit").select(column(key), *others, "n")

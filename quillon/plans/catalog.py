@@ -17,6 +17,7 @@ from quillon.functions import (
 )
 from quillon.operators import cleaning, describe, evaluate, features, outliers, summaries, windows
 from quillon.operators.knn import NearestNeighbours
+from quillon.operators.spatial import aggregate_in_areas
 from quillon.plans import credit, crime, funding
 from quillon.plans.views import PROJECTS_SQL, SCORES_SQL, kept_projects, projects, rounded, scores, table
 from quillon.session import Scratch, materialize, spread
@@ -298,10 +299,11 @@ def point_in_polygon(spark, sf_dir):
         "l_orderkey", "l_linenumber",
         F.when(placed, F.floor(F.col("l_extendedprice") / 100).cast("double")).alias("longitude"),
         (F.col("l_quantity") + F.floor(F.col("l_discount") * 100) / 2).alias("latitude"))
-    linked = crime.link_reports_blocks(points, blocks)
-    return linked.groupBy(F.col("geoid10").alias("area")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("l_orderkey").alias("first_order"),
-        F.max("l_linenumber").cast("int").alias("last_line"))
+    measures = {
+        "n": (F.count(F.lit(1)), F.sum), "first_order": (F.min("l_orderkey"), F.min), "last_line": (F.max("l_linenumber"), F.max)}
+    found = aggregate_in_areas(points, blocks, measures)
+    return found.groupBy(F.col("geoid10").alias("area")).agg(
+        F.sum("n").alias("n"), F.min("first_order").alias("first_order"), F.max("last_line").cast("int").alias("last_line"))
 
 
 STATS_SQL = """
