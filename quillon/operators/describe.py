@@ -52,6 +52,21 @@ def summarize_data(
     return summary.select(*[column(k) for k in keys], "count", "mean", "std", "min", *QUARTILE_NAMES, "max")
 
 
+def summarize_weighted(df: DataFrame, columns: Sequence[str], weight: str) -> DataFrame:
+    """``summarize_data`` of rows that each stand for ``weight`` (a positive whole number) equal ones."""
+    long = materialize(long_numbers(df, columns, [weight]).withColumnRenamed(weight, "w"))
+    w, v = F.when(F.col("value").isNotNull(), F.col("w")), F.col("value")
+    means = long.groupBy("column").agg(
+        F.coalesce(F.sum(w), F.lit(0)).alias("count"), F.try_divide(F.sum(w * v), F.sum(w)).alias("mean"),
+        F.min("value").alias("min"), F.max("value").alias("max"))
+    means = materialize(means)  # a row per column
+    squares = long.join(F.broadcast(means.select("column", "mean")), "column").groupBy("column").agg(F.sum(w * (v - F.col("mean")) ** 2).alias("__squares"))
+    known = long.where(v.isNotNull() & ~F.isnan(v))
+    quartiles = ranks.weighted_quantiles(known, ["column"], "value", "w", QUARTILES, QUARTILE_NAMES)
+    std = F.when(F.col("count") > 1, F.sqrt(F.col("__squares") / (F.col("count") - 1))).alias("std")
+    return means.join(squares, "column", "left").join(quartiles, "column", "left").select("column", "count", "mean", std, "min", *QUARTILE_NAMES, "max")
+
+
 def group_means(df: DataFrame, grouping_vars: Sequence[str], agg_cols: Sequence[str] | None = None) -> DataFrame:
     """Only the mean of every numeric column per group: ``group..., column, mean``."""
     groups = list(grouping_vars)

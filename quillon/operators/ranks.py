@@ -256,6 +256,18 @@ def quantiles_from_sketch(
     return interpolate(at.select(*map(column, by), "rank_id", "n_total", F.col("__v").alias("value")), by, probabilities, names)
 
 
+def weighted_quantiles(
+    df: DataFrame, by: Sequence[str], value: str, weight: str, probabilities: Sequence[float], names: Sequence[str],
+) -> DataFrame:
+    """Linearly interpolated quantiles per group, where a row stands for ``weight`` (a whole number) equal ones."""
+    at = distinct_counts(df, by, value, [weight]).withColumn("n_total", F.col(f"{weight}_total"))
+    wanted = F.array(*[F.struct(F.lit(k).alias("rank_id"), e.cast("bigint").alias("rank")) for k, e in quantile_ranks(probabilities).items()])
+    below = F.col(f"{weight}_below")
+    here = F.filter(wanted, lambda r: (r["rank"] >= below) & (r["rank"] < below + F.col(f"{weight}_equal")))
+    located = at.select(*map(column, by), "n_total", "value", F.explode(here).alias("r")).select(*map(column, by), "n_total", "value", "r.rank_id")
+    return interpolate(located, by, probabilities, names)
+
+
 def exact_quantiles(
     df: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float], names: Sequence[str]
 ) -> DataFrame:

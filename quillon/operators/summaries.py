@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillon.functions import column, month_on_common_year, percent
-from quillon.operators.describe import fixed_histogram, summarize_data, value_counts
+from quillon.operators.describe import fixed_histogram, summarize_data, summarize_weighted, value_counts
 from quillon.operators.joins import dimension_join
 from quillon.operators.params import attach
 from quillon.session import materialize
@@ -147,10 +147,13 @@ def link_reports_block_stats(reports: DataFrame, stats: DataFrame, key: str = "g
     return dimension_join(reports, stats, [key])
 
 
-def describe_blocks(block_summaries: DataFrame, stats: DataFrame, columns: Sequence[str], key: str = "geoid10") -> DataFrame:
-    """Eight-number summary of area statistics over the given blocks."""
-    linked = link_reports_block_stats(block_summaries.select(column(key)), stats.select(column(key), *map(column, columns)), key)
-    return summarize_data(linked, agg_cols=columns)
+def describe_blocks(
+    block_summaries: DataFrame, stats: DataFrame, columns: Sequence[str], key: str = "geoid10", weight: str | None = None,
+) -> DataFrame:
+    """Eight-number summary of area statistics over the given blocks; a row counts ``weight`` times, if that is given."""
+    rows = block_summaries.select(column(key), *([column(weight).alias("__weight")] if weight else []))
+    linked = link_reports_block_stats(rows, stats.select(column(key), *map(column, columns)), key)
+    return summarize_weighted(linked, columns, "__weight") if weight else summarize_data(linked, agg_cols=columns)
 
 
 def summarize_neighborhoods(

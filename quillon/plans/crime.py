@@ -8,19 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillon.functions import column, within_dates, year_to_date
-from quillon.operators.spatial import link_points_areas
+from quillon.operators.spatial import groups_in_areas, link_points_areas
 from quillon.operators.summaries import (
     describe_blocks,
     largest_changes,
     link_reports_neighborhoods,
     map_neighborhood_stats,
-    summarize_by_block,
     summarize_monthly,
     summarize_neighborhoods,
     summarize_on_field,
     summarize_yearly,
     summarize_yoy_change,
 )
+from quillon.session import materialize
 from quillon.sources import PROFILE_COLUMNS
 
 
@@ -64,7 +64,11 @@ def compare_year_to_date(reports: DataFrame, ends: dict[int, str], date: str = "
 def block_profile(
     reports: DataFrame, blocks: DataFrame, stats: DataFrame, types: Sequence[str], key: str | None = None,
 ) -> dict[str, DataFrame]:
-    """For each crime type: the census profile of blocks with at least one such report."""
-    linked = link_reports_blocks(reports, blocks, key)
-    by_block = summarize_by_block(linked, "primary_type", types)
-    return {t: describe_blocks(by_block.where(column(t) >= 1), stats, PROFILE_COLUMNS) for t in types}
+    """For each crime type: the census profile of blocks with at least one such report.
+
+    An area counts once for each ``block`` with such a report in it; these are counted per area and not written out as pairs.
+    ``key`` is accepted and not needed.
+    """
+    wanted = reports.where(column("primary_type").isin(list(types)))
+    counted = materialize(groups_in_areas(wanted, blocks, ["block", "primary_type"], "geoid10"))
+    return {t: describe_blocks(counted.where(column("primary_type") == F.lit(t)), stats, PROFILE_COLUMNS, weight="n") for t in types}
