@@ -1,29 +1,36 @@
-"""Exact k nearest neighbours (Euclidean) as a blocked join with triangle-inequality pruning.
+"""Exact k nearest neighbours (Euclidean) as a blocked join with pivot-based pruning.
 
-Training rows are assigned to their nearest pivot. A test row first searches the cell of its own
-nearest pivot, which bounds the distance of its k-th neighbour; it is then sent only to cells that can
-hold something closer (the pivot-based join of Lu et al., 2012). Cells and test rows are cut into
-blocks, so no task ever sees more than one block of either side, and a block pair hands back at most k
-neighbours per test row.
+Equal training vectors are one group, of which the k smallest keys are kept (no other row can be a neighbour), and equal
+test vectors are searched once. Training rows are assigned to their nearest pivot; there are more pivots the more rows there are. A
+test row first searches the cell of its own nearest pivot, which bounds the distance of its k-th neighbour; it is then
+sent only to cells that can hold something as close (the pivot-based join of Lu et al., 2012): by the triangle inequality, and by
+the plane between two pivots. Cells and test rows are cut into blocks, so no task ever sees more than one block of either side, and a
+block pair hands back at most k neighbours per test row. Where little can be ruled out, cells are visited in bundles, so that a
+test row is copied a bounded number of times.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillon.functions import column
-from quillon.session import materialize
+from quillon.session import materialize, spread
 
-PIVOTS = 16
-BLOCK_ROWS = 2000
+LEAST_PIVOTS, MOST_PIVOTS, ROWS_PER_PIVOT = 16, 1024, 2000
+BLOCK_ROWS = 16_000
+BLOCK_NUMBERS = 1 << 21  # doubles of one side of a block pair
 KERNEL_CELLS = 4_000_000  # doubles held at once by the distance kernel
 CHUNK_NUMBERS = 1 << 22  # differences held at once when distances are taken
 SLACK = 1e-9  # rounding allowance when a whole cell is ruled out
+BUNDLES = 16
+MOST_VISITS = 48  # cells a test row visits on average, before these are bundled
 
 
 def _as_array(df: DataFrame, name: str) -> Column:
@@ -32,50 +39,122 @@ def _as_array(df: DataFrame, name: str) -> Column:
     return column(name).cast("array<double>")
 
 
-def _distances_to(pivots: np.ndarray):
-    """Distance of each vector to every pivot, a batch of rows at a time."""
+def _squares(q: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distances of all pairs by one matrix product, and a bound on their error for each row of ``q``."""
+    q2, t2 = (q * q).sum(axis=1), (t * t).sum(axis=1)
+    error = 4e-16 * (q.shape[1] + 16) * (q2 + (t2.max() if len(t2) else 0.0))
+    return q2[:, None] + t2[None, :] - 2.0 * (q @ t.T), error
 
-    @F.pandas_udf("array<double>")
-    def distances(vectors: pd.Series) -> pd.Series:
-        v = np.stack(vectors.to_numpy())
-        step = max(1, CHUNK_NUMBERS // pivots.size)
-        parts = [np.sqrt(((v[i : i + step, None, :] - pivots[None, :, :]) ** 2).sum(axis=2)) for i in range(0, len(v), step)]
-        return pd.Series(list(np.concatenate(parts)))
 
-    return distances
+class _Cells:
+    """The pivots with the sizes and radii of their cells, as tasks need them."""
+
+    def __init__(self, pivots: np.ndarray):
+        self.pivots = pivots
+        self.apart = np.sqrt(np.maximum(_squares(pivots, pivots)[0], 0.0))
+
+    def measured(self, found: list, k: int) -> None:
+        self.k, p = k, len(self.pivots)
+        self.n, self.inner, self.outer = np.zeros(p, np.int64), np.zeros(p), np.zeros(p)
+        for r in found:
+            self.n[r.cell], self.inner[r.cell], self.outer[r.cell] = r.n, r.inner, r.outer
+
+    def nearest(self, v: np.ndarray, occupied: bool) -> np.ndarray:
+        step = max(1, KERNEL_CELLS // len(self.pivots))
+        out = []
+        for i in range(0, len(v), step):
+            d = _squares(v[i : i + step], self.pivots)[0]
+            out.append(np.argmin(np.where(self.n[None, :] > 0, d, np.inf) if occupied else d, axis=1))
+        return np.concatenate(out) if out else np.empty(0, np.int64)
+
+    def visits(self, v: np.ndarray, home: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+        """Cells other than the home cell that can hold a row within the bound, or among the k nearest of all."""
+        step = max(1, KERNEL_CELLS // (4 * len(self.pivots)))
+        return [c for i in range(0, len(v), step) for c in self._visits(v[i : i + step], home[i : i + step], bounds[i : i + step])]
+
+    def _visits(self, v: np.ndarray, home: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+        square, error = _squares(v, self.pivots)
+        error = 4 * error[:, None]
+        far = np.sqrt(np.maximum(square, 0.0) + error)
+        near = np.sqrt(np.maximum(square - error, 0.0))
+        # cells by their furthest possible row: those that hold k rows together bound the k-th neighbour
+        reach = np.where(self.n[None, :] > 0, far + self.outer[None, :], np.inf)
+        order = np.argsort(reach, axis=1)
+        enough = np.cumsum(self.n[order], axis=1) >= self.k
+        at = np.argmax(enough, axis=1)
+        lines = np.arange(len(v))
+        limit = np.where(enough[:, -1], reach[lines, order[lines, at]], np.inf)
+        bound = np.minimum(bounds, limit) * (1 + SLACK) + SLACK
+        possible = np.maximum(near - self.outer[None, :], self.inner[None, :] - far)
+        apart = self.apart[home]
+        plane = np.divide(square - square[lines, home][:, None] - 2 * error, 2 * apart, out=np.zeros_like(apart), where=apart > 0)
+        wanted = (np.maximum(possible, plane) <= bound[:, None]) & (self.n[None, :] > 0)
+        wanted[lines, home] = False
+        return [np.flatnonzero(w) for w in wanted]
+
+
+def _matrix(vectors: pd.Series) -> np.ndarray:
+    return np.stack(vectors.to_numpy()) if len(vectors) else np.empty((0, 1))
 
 
 class NearestNeighbours:
     """Holds training rows prepared for search: pivots, the cell of every row, and cell sizes."""
 
     def __init__(
-        self, train: DataFrame, key: str, features: str, label: str, k: int, pivots: int = PIVOTS,
-        block_rows: int = BLOCK_ROWS,
+        self, train: DataFrame, key: str, features: str, label: str, k: int, pivots: int | None = None,
+        block_rows: int | None = None, most_visits: float = MOST_VISITS,
     ):
-        self.key, self.features, self.k, self.block_rows = key, features, k, block_rows
+        self.key, self.features, self.k, self.most_visits = key, features, k, most_visits
         rows = train.select(
             column(key).alias("n_key"), _as_array(train, features).alias("n_vec"),
             F.coalesce(column(label).cast("double"), F.lit(0.0)).alias("n_label"))
-        first = rows.select("n_vec", F.xxhash64("n_key").alias("h")).orderBy("h").limit(pivots).collect()
+        same = Window.partitionBy("n_vec").orderBy("n_key")
+        rows = materialize(rows.withColumn("r", F.row_number().over(same)).where(F.col("r") <= k).drop("r"))
+        wanted = pivots or min(MOST_PIVOTS, max(LEAST_PIVOTS, rows.count() // ROWS_PER_PIVOT))
+        first = rows.select("n_vec", F.xxhash64("n_key").alias("h")).orderBy("h").limit(wanted).collect()
         if not first:
             raise ValueError("no training rows")
-        self.pivot_distances = _distances_to(np.array([r.n_vec for r in first], dtype=float))
-        placed = rows.withColumn("d", self.pivot_distances("n_vec"))
-        placed = materialize(placed.withColumn("radius", F.array_min("d")).withColumn(
-            "cell", (F.array_position("d", F.col("radius")) - 1).cast("int")).drop("d"))
-        cells = placed.groupBy("cell").agg(
-            F.count(F.lit(1)).alias("n"), F.min("radius").alias("inner"), F.max("radius").alias("outer")).collect()
-        self.cells = {r.cell: r for r in cells}
-        # hashing the key spreads even identical rows over the blocks of a crowded cell
-        blocks = self._per_cell({c: self._blocks(r.n) for c, r in self.cells.items()})
-        self.train = placed.withColumn(
-            "n_block", F.pmod(F.xxhash64("n_key"), blocks[F.col("cell")].cast("bigint")).cast("int"))
+        self.cells = _Cells(np.unique(np.array([r.n_vec for r in first], dtype=float), axis=0))
+        self.block_rows = block_rows or max(1, min(BLOCK_ROWS, BLOCK_NUMBERS // self.cells.pivots.shape[1]))
+        placed = materialize(spread(rows).withColumn("at", self._placing()("n_vec")).select("n_key", "n_vec", "n_label", "at.*"))
+        self.cells.measured(placed.groupBy("cell").agg(
+            F.count(F.lit(1)).alias("n"), F.min("radius").alias("inner"), F.max("radius").alias("outer")).collect(), k)
+        self.train = placed.drop("radius")
+
+    def _placing(self):
+        cells = self.cells
+
+        @F.pandas_udf("cell int, radius double")
+        def place(vectors: pd.Series) -> pd.DataFrame:
+            v = _matrix(vectors)
+            at = cells.nearest(v, False)
+            return pd.DataFrame({"cell": at.astype(np.int32), "radius": np.sqrt(((v - cells.pivots[at]) ** 2).sum(axis=1))})
+
+        return place
+
+    def _homes(self):
+        cells = self.cells
 
-    def _blocks(self, n: int) -> int:
-        return -(-n // self.block_rows)
+        @F.pandas_udf("int")
+        def home(vectors: pd.Series) -> pd.Series:
+            return pd.Series(cells.nearest(_matrix(vectors), True).astype(np.int32))
 
-    def _per_cell(self, values: dict[int, int]) -> Column:
-        return F.create_map(*[F.lit(x) for kv in sorted(values.items()) for x in kv])
+        return home
+
+    def _visiting(self):
+        cells = self.cells
+
+        @F.pandas_udf("array<int>")
+        def visit(vectors: pd.Series, home: pd.Series, bounds: pd.Series) -> pd.Series:
+            found = cells.visits(_matrix(vectors), home.to_numpy(), bounds.to_numpy(dtype=float))
+            return pd.Series([c.astype(np.int32) for c in found], dtype=object)
+
+        return visit
+
+    def _bundles(self) -> np.ndarray:
+        """The bundle of each cell: that of the nearest of a few pivots."""
+        few = np.arange(0, len(self.cells.pivots), -(-len(self.cells.pivots) // BUNDLES))
+        return np.argmin(self.cells.apart[:, few], axis=1)
 
     def neighbours(self, test: DataFrame) -> DataFrame:
         """The k nearest training rows of every test row: ``q_key, n_key, n_label, distance``.
@@ -83,54 +162,49 @@ class NearestNeighbours:
         Equal distances are ordered by the training key.
         """
         queries = test.select(column(self.key).alias("q_key"), _as_array(test, self.features).alias("q_vec"))
-        queries = queries.withColumn("q_dist", self.pivot_distances("q_vec"))
-        occupied = F.array(*[F.lit(c) for c in sorted(self.cells)])
-        home = F.array_min(F.transform(occupied, lambda c: F.struct(
-            F.get(F.col("q_dist"), c).alias("d"), c.alias("cell"))))["cell"]
-        at_home = queries.withColumn("home", home).withColumn("cell", home)
-        near = materialize(self._search(at_home))  # read twice below
-
-        bound = near.groupBy("q_key").agg(
-            F.when(F.count(F.lit(1)) >= self.k, F.max("distance")).otherwise(F.lit(float("inf"))).alias("bound"))
-        inner = self._per_cell_double("inner")
-        outer = self._per_cell_double("outer")
-
-        def nearest_possible(c: Column) -> Column:
-            d = F.get(F.col("q_dist"), c)
-            return F.greatest(d - outer[c], inner[c] - d, F.lit(0.0))
-
-        visits = queries.withColumn("home", home).join(bound, "q_key", "left").withColumn(
-            "cell", F.explode(F.filter(occupied, lambda c: (c != F.col("home")) & (
-                nearest_possible(c) <= F.coalesce(F.col("bound"), F.lit(float("inf"))) * (1 + SLACK) + SLACK))))
-        found = near.unionByName(self._search(visits.drop("bound")))
-        return self._keep_nearest(found)
-
-    def _per_cell_double(self, field: str) -> Column:
-        return F.create_map(*[F.lit(x) for c, r in sorted(self.cells.items()) for x in (c, float(r[field]))])
-
-    def _keep_nearest(self, found: DataFrame) -> DataFrame:
+        # the home cell is found once: another product of the same numbers may round in another way
+        different = materialize(queries.select("q_vec").distinct().withColumn("q", F.monotonically_increasing_id()).withColumn("home", self._homes()("q_vec")))
+        infinite = F.lit(float("inf"))
+        at_home = different.withColumn("bound", infinite).withColumn("cell", F.col("home")).drop("home")
+        near = materialize(self._search(at_home, np.arange(len(self.cells.pivots))))  # read twice below
+
+        bound = near.groupBy("q").agg(F.when(F.count(F.lit(1)) >= self.k, F.max("distance")).otherwise(infinite).alias("bound"))
+        bounded = different.join(bound, "q", "left").withColumn("bound", F.coalesce("bound", infinite))
+        visits = materialize(bounded.withColumn("cells", self._visiting()("q_vec", "home", "bound")))
+        mean = visits.agg(F.avg(F.size("cells")).alias("n")).first().n or 0
+        groups = self._bundles() if mean > self.most_visits else np.arange(len(self.cells.pivots))
+        named = F.array(*[F.lit(int(g)) for g in groups])
+        sent = visits.withColumn("cell", F.explode(F.array_distinct(F.transform("cells", lambda c: F.get(named, c))))).drop("cells")
+        rest = self._search(sent, groups)
+        found = self._keep_nearest(near.unionByName(rest), "q")
+        return self._keep_nearest(queries.join(different, "q_vec").select("q_key", "q").join(found, "q").drop("q"), "q_key")
+
+    def _keep_nearest(self, found: DataFrame, of: str) -> DataFrame:
         """Merge the block results of each test row: at most k per block pair came back."""
-        order = Window.partitionBy("q_key").orderBy("distance", "n_key")
+        order = Window.partitionBy(of).orderBy("distance", "n_key")
         return found.withColumn("r", F.row_number().over(order)).where(F.col("r") <= self.k).drop("r")
 
-    def _search(self, visits: DataFrame) -> DataFrame:
-        """Exact k nearest rows within the cell each row of ``visits`` names."""
-        blocks = self._per_cell({c: self._blocks(r.n) for c, r in self.cells.items()})
-        sizes = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per pivot at most
-        q_blocks = self._per_cell({c: 1 for c in self.cells} | {r.cell: self._blocks(r.n) for r in sizes})
-        left = visits.withColumn(
-            "q_block", F.pmod(F.xxhash64("q_key"), q_blocks[F.col("cell")].cast("bigint")).cast("int")
-        ).withColumn("n_block", F.explode(F.sequence(F.lit(0), blocks[F.col("cell")] - 1))).select(
-            "cell", "q_block", "n_block", "q_key", "q_vec")
-        right = self.train.withColumn(
-            "q_block", F.explode(F.sequence(F.lit(0), q_blocks[F.col("cell")] - 1))).select(
-            "cell", "q_block", "n_block", "n_key", "n_vec", "n_label")
-        key_type = {f.name: f.dataType.simpleString() for f in left.schema.fields}["q_key"]
-        train_key = {f.name: f.dataType.simpleString() for f in right.schema.fields}["n_key"]
-        schema = f"q_key {key_type}, n_key {train_key}, n_label double, distance double"
+    def _search(self, visits: DataFrame, groups: np.ndarray) -> DataFrame:
+        """Exact k nearest rows, within the bound, of the group of cells that each row of ``visits`` names; but not of its ``home`` cell, if it has that."""
+        held = np.bincount(groups, weights=self.cells.n, minlength=len(groups)).astype(int)
+        sizes = {r.cell: r.n for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per pivot at most
+        n_blocks = F.array(*[F.lit(max(1, -(-int(n) // self.block_rows))) for n in held])
+        q_blocks = F.array(*[F.lit(max(1, -(-sizes.get(c, 0) // self.block_rows))) for c in range(len(groups))])
+        group = F.get(F.array(*[F.lit(int(g)) for g in groups]), F.col("cell"))
+        home = F.col("home") if "home" in visits.columns else F.lit(-1)
+        left = visits.select(
+            "cell", F.pmod(F.xxhash64("q"), F.get(q_blocks, F.col("cell")).cast("bigint")).cast("int").alias("q_block"),
+            F.explode(F.sequence(F.lit(0), F.get(n_blocks, F.col("cell")) - 1)).alias("n_block"), "q", "q_vec", "bound", home.alias("home"))
+        grouped = self.train.withColumn("own", F.col("cell")).withColumn("cell", group)
+        # hashing the key spreads even identical rows over the blocks of a crowded cell
+        right = grouped.select(
+            "cell", F.explode(F.sequence(F.lit(0), F.get(q_blocks, F.col("cell")) - 1)).alias("q_block"),
+            F.pmod(F.xxhash64("n_key", "n_vec"), F.get(n_blocks, F.col("cell")).cast("bigint")).cast("int").alias("n_block"), "n_key", "n_vec", "n_label", "own")
+        train_key = self.train.schema["n_key"].dataType.simpleString()
         keys = ["cell", "q_block", "n_block"]
-        found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_block_kernel(self.k), schema)
-        return self._keep_nearest(found)
+        found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
+            _block_kernel(self.k), f"q bigint, n_key {train_key}, n_label double, distance double")
+        return self._keep_nearest(found, "q")
 
     def score(self, test: DataFrame, out: str = "score") -> DataFrame:
         """Append the share of positives among the k nearest training rows."""
@@ -138,27 +212,48 @@ class NearestNeighbours:
         return test.join(shares.withColumnRenamed("q_key", self.key), self.key, "left")
 
 
+def _vectors(table: pa.Table, name: str) -> np.ndarray:
+    parts = [c for c in table.column(name).chunks if len(c)]
+    return np.concatenate([p.flatten().to_numpy(zero_copy_only=False).reshape(len(p), -1) for p in parts])
+
+
 def _block_kernel(k: int):
     """Nearest rows of one training block for the queries of one query block."""
 
-    def nearest(queries: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
-        if queries.empty or train.empty:
-            return pd.DataFrame({"q_key": [], "n_key": [], "n_label": [], "distance": []})
-        train = train.sort_values("n_key", kind="stable")
-        t, q = np.stack(train["n_vec"].to_numpy()), np.stack(queries["q_vec"].to_numpy())
-        keys, labels = train["n_key"].to_numpy(), train["n_label"].to_numpy()
-        kept = min(k, len(t))
-        step = max(1, KERNEL_CELLS // t.size)
-        best, distances = [], []
-        for start in range(0, len(q), step):
-            d = np.sqrt(((q[start:start + step, None, :] - t[None, :, :]) ** 2).sum(axis=2))
-            order = np.argsort(d, axis=1, kind="stable")[:, :kept]
-            best.append(order)
-            distances.append(np.take_along_axis(d, order, axis=1))
-        chosen = np.concatenate(best).ravel()
-        return pd.DataFrame({
-            "q_key": np.repeat(queries["q_key"].to_numpy(), kept), "n_key": keys[chosen], "n_label": labels[chosen],
-            "distance": np.concatenate(distances).ravel(),
-        })
+    def nearest(queries: pa.Table, train: pa.Table) -> pa.Table:
+        train = train.take(pc.sort_indices(train, sort_keys=[("n_key", "ascending")], null_placement="at_start"))
+        lines, chosen, distances = _nearest(queries, train, k) if queries.num_rows and train.num_rows else ([], [], [])
+        at, of = pa.array(chosen, pa.int64()), pa.array(lines, pa.int64())
+        return pa.table({
+            "q": queries.column("q").take(of), "n_key": train.column("n_key").take(at), "n_label": train.column("n_label").take(at),
+            "distance": pa.array(distances, pa.float64())})
 
     return nearest
+
+
+def _nearest(queries: pa.Table, train: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, training row, distance) of the k nearest within the queries' bounds; the order of the training rows breaks ties.
+
+    Candidates come from a matrix product, with an allowance for its rounding; distances from differences.
+    """
+    t, q = _vectors(train, "n_vec"), _vectors(queries, "q_vec")
+    bound, home, own = (table.column(c).to_numpy() for table, c in ((queries, "bound"), (queries, "home"), (train, "own")))
+    step, out = max(1, KERNEL_CELLS // len(t)), []
+    for start in range(0, len(q), step):
+        part = slice(start, start + step)
+        square, error = _squares(q[part], t)
+        if home[0] >= 0:
+            square[home[part][:, None] == own[None, :]] = np.inf
+        limit = bound[part] ** 2 * (1 + SLACK) + SLACK * SLACK
+        if len(t) > k and (np.isinf(limit).any() or len(t) < 64):
+            limit = np.minimum(limit, np.partition(square, k - 1, axis=1)[:, k - 1])
+        rows, cols = np.nonzero((square <= (limit + 4 * error)[:, None]) & (square < np.inf))
+        width = max(1, CHUNK_NUMBERS // t.shape[1])
+        d = [np.sqrt(((q[start + rows[i : i + width]] - t[cols[i : i + width]]) ** 2).sum(axis=1)) for i in range(0, len(rows), width)]
+        d = np.concatenate(d) if d else np.empty(0)
+        order = np.lexsort((cols, d, rows))
+        rows, cols, d = rows[order], cols[order], d[order]
+        rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        kept = rank < k
+        out.append((rows[kept] + start, cols[kept], d[kept]))
+    return tuple(np.concatenate([o[i] for o in out]) for i in range(3))
