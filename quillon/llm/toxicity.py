@@ -45,6 +45,7 @@ BITS = 18
 PREFIX = 5
 SAMPLE = 4_000
 MOST_PAIRS = 50_000
+DESCRIBED_ROWS = 64
 LEAST_TEXTS = 3
 CHI_SQUARED = 10.83  # p = 0.001
 
@@ -239,7 +240,9 @@ def labelled_sample(
     chosen = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     # at most 4 * limit rows of two integers
     found = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").where(F.col("text").isNotNull())
-    rows = scratch.keep(found.limit(4 * limit).select("label", "text").mapInArrow(
+    # a limit leaves one partition; at most as many tasks as there are cores share its rows
+    limited = found.limit(4 * limit).select("label", "text").repartition(docs.sparkSession.sparkContext.defaultParallelism)
+    rows = scratch.keep(limited.mapInArrow(
         _described(following_terms(terms)), "label int, ids array<int>, swaps array<struct<gone:array<int>,come:array<int>,n:bigint>>"))
     total = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("ones")).first()
     per = rows.select("label", F.explode("ids").alias("id")).groupBy("id").agg(F.count("*").alias("n"), F.sum("label").alias("ones")).where(F.col("n") >= least)
@@ -261,7 +264,8 @@ def _described(following: Mapping[str, str]) -> Callable[[Iterator[pa.RecordBatc
         "swaps", pa.list_(pa.struct([("gone", pa.list_(pa.int32())), ("come", pa.list_(pa.int32())), ("n", pa.int64())])))])
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # a few rows at a time: as Python objects, features and swaps take many times the room of their texts
+        for batch in (whole.slice(i, DESCRIBED_ROWS) for whole in batches for i in range(0, whole.num_rows, DESCRIBED_ROWS)):
             texts = batch.column("text").to_pylist()
             swaps = [[{"gone": list(g), "come": list(c), "n": n} for (g, c), n in sorted(swapped_features(t, following).items())] for t in texts]
             yield pa.RecordBatch.from_arrays(
