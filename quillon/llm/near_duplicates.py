@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillon.llm.components import components
-from quillon.llm.signature_tree import Router, digest, linked, links, packed, shingles, unpacked
+from quillon.llm.signature_tree import Router, digest, linked, links, packed, promising, shingles, sketch, unpacked
 from quillon.llm.turns import small
 from quillon.session import Scratch, spread
 
@@ -22,6 +22,7 @@ HOT_IN_SAMPLE = 16
 HOT_KEYS = 10_000
 COMMON = 32
 CHUNK_SHINGLES = 400_000
+SLICE_ROWS = 256  # rows described at once: a batch of keys is some hundred times as long as its input
 
 
 def near_duplicates(
@@ -39,8 +40,9 @@ def near_duplicates(
        a key that ever meet. Keys found hot in a sample take a leader beforehand and skip the shuffle.
     3. A block all of whose classes are also in the block of the leader that its own leader shares most keys with is
        left out: all its pairs meet there. Of the many blocks that near copies of one text form, few are left.
-    4. In a block a signature tree over the sets is traversed against itself and pairs are verified (``links``); pairs that
-       are connected already are passed over. In a block of more than ``chunk_shingles`` shingles all classes are first
+    4. Of a block, sketches of the sets go first (``sketch``): sets that differ too much from all others there, as their
+       sketches prove, are not sent to it. In a block a signature tree over the other sets is traversed against itself and
+       pairs are verified (``links``); pairs that are connected already are passed over. In a block of more than ``chunk_shingles`` shingles all classes are first
        compared with the leader alone. Those that are not connected by that meet each other and the rest, in chunks; the
        rest don't meet again, so a large block of near copies costs one comparison each.
     5. Components of the links give each document its smallest partner.
@@ -55,7 +57,10 @@ def near_duplicates(
         T.StructField("doc_id", id_type), T.StructField("n_shingles", T.LongType()), T.StructField("set", T.BinaryType()), T.StructField("class", T.LongType())])))
     classes = scratch.keep(known.where("n_shingles > 0").groupBy("set").agg(F.min("doc_id").alias("first"), F.first("class").alias("class"), F.first("n_shingles").alias("n")))
     sets = _sets_of(rows, classes, scratch, shingle)
-    placed = _sized(sets, _unique_blocks(_blocks(sets, scratch, percent), scratch), scratch, chunk_shingles)
+    work = Scratch(scratch.spark)
+    pairs = _unique_blocks(_blocks(sets, work, percent), scratch)
+    work.clear()  # the keys' shuffle files are as large as the texts
+    placed = _sized(sets, pairs, scratch, chunk_shingles)
     near = _leader_links(sets, placed.where("large"), scratch, percent, chunk_shingles)
     found = near.unionByName(_tree_links(sets, placed, near, scratch, percent, chunk_shingles))
     labels = components(found, scratch)
@@ -67,11 +72,17 @@ def near_duplicates(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(start, SLICE_ROWS)
+
+
 def _describe(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Size and digest of each document's set."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sliced(batches):
             sizes, sets = [], []
             for text in batch.column("text"):
                 hashes = shingles(text.as_py(), shingle)
@@ -89,7 +100,7 @@ def _keys(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         router = Router(percent)
-        for batch in batches:
+        for batch in _sliced(batches):
             found = [router.marked_keys(unpacked(h.as_py())) for h in batch.column("hashes")]
             of = np.repeat(np.arange(batch.num_rows), [len(k) for k, _, _ in found])
             columns = [np.concatenate([f[i] for f in found]) if found else np.empty(0) for i in range(3)]
@@ -130,10 +141,10 @@ def _blocks(sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
 
 
 def _sets_of(rows: DataFrame, classes: DataFrame, scratch: Scratch, shingle: int) -> DataFrame:
-    """(class, set, n, hashes) of each class, from its first document."""
+    """(class, set, n, hashes, sketch) of each class, from its first document."""
     few = small(classes.select("first", "set", "class", "n"))
     texts = rows.join(few, rows["doc_id"].eqNullSafe(few["first"])).select("set", "class", "n", "text")
-    found = scratch.keep(texts.mapInArrow(_sets(shingle), "class bigint, set binary, n bigint, hashes binary"))
+    found = scratch.keep(texts.mapInArrow(_sets(shingle), "class bigint, set binary, n bigint, hashes binary, sketch binary"))
     # rows that repeat an id and text give their set again
     return found if found.count() == classes.count() else scratch.keep(found.dropDuplicates(["set"]))
 
@@ -206,24 +217,43 @@ def _tree_links(sets: DataFrame, pairs: DataFrame, near: DataFrame, scratch: Scr
     tasks = F.when(F.col("whole"), one).when(F.col("apart"), of_rest).otherwise(of_core)
     chunk = F.when(F.col("whole"), 0).when(F.col("apart"), r).otherwise(-1 - c)
     sent = dealt.select("leader", "class", "label", chunk.alias("chunk"), F.explode(tasks).alias("task")).select("leader", "class", "label", "chunk", "task.i", "task.j")
-    found = sets.select("class", "set", "hashes").join(small(scratch.keep(sent)), "class").groupBy("leader", "i", "j").applyInArrow(_join_block(percent), "a binary, b binary")
+    sketched = sets.select("class", "n", "sketch").join(small(scratch.keep(sent)), "class")
+    # most classes of a block share but a passage with its others: a sketch is a 24th of a set at most, or 64 bits
+    wanted = sketched.groupBy("leader", "i", "j").applyInArrow(_near_sketches(percent), sent.schema)
+    found = sets.select("class", "set", "hashes").join(small(scratch.keep(wanted)), "class").groupBy("leader", "i", "j").applyInArrow(_join_block(percent), "a binary, b binary")
     return scratch.keep(found.distinct())
 
 
+def _near_sketches(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """The rows of a block whose sets another one may be linked with that is not connected with them yet."""
+
+    def near(block: pa.Table) -> pa.Table:
+        own = block.select(["leader", "class", "label", "chunk", "i", "j"])
+        _, label = np.unique(np.array(block.column("label").to_pylist(), dtype=object), return_inverse=True)
+        across = bool(block.column("i")[0].as_py() != block.column("j")[0].as_py())
+        side = block.column("chunk").to_numpy() if across else None
+        found = promising(block.column("sketch").to_pylist(), block.column("n").to_numpy(), percent, label, side)
+        return own.filter(pa.array(found))
+
+    return near
+
+
 def _sets(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The shingle hashes of the classes' first documents; other texts under such an id are passed over."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep, out = [], []
+        for batch in _sliced(batches):
+            keep, out, sketches = [], [], []
             for i, (text, name) in enumerate(zip(batch.column("text"), batch.column("set"), strict=True)):
                 hashes = shingles(text.as_py(), shingle)
                 if len(hashes) and digest(hashes) == name.as_py():
                     keep.append(i)
                     out.append(packed(hashes))
+                    sketches.append(sketch(hashes))
             rows = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [rows.column("class"), rows.column("set"), rows.column("n"), pa.array(out, pa.binary())], ["class", "set", "n", "hashes"])
+                [rows.column("class"), rows.column("set"), rows.column("n"), pa.array(out, pa.binary()), pa.array(sketches, pa.binary())],
+                ["class", "set", "n", "hashes", "sketch"])
 
     return sets
 

@@ -11,6 +11,9 @@ FANOUT = 8
 BATCH = 512
 PAIRS = 1 << 18
 MAP_BYTES = 1 << 18
+SKETCH_BITS = (64, 1 << 14)
+SKETCH_SETS = 1 << 13
+SKETCH_WORDS = 1 << 18
 
 # Fixed odd multipliers of the hash.
 BASE, MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -83,6 +86,52 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.unique(found | (mix(found) >> np.uint64(48)))
 
 
+def sketch(hashes: np.ndarray) -> bytes:
+    """A bitmap of about a bit an element: a bit is set where an odd number of elements fall.
+
+    Two bitmaps of one size differ in no more bits than their sets do in elements. The larger of two is
+    brought to the size of the smaller by folding it, its halves added up without carry. Of a hash the
+    upper 48 bits count, as in ``packed``.
+    """
+    least, most = SKETCH_BITS
+    bits = min(most, max(least, 1 << max(len(hashes) - 1, 1).bit_length()))
+    upper = hashes >> np.uint64(16)  # sorted, as the hashes are
+    distinct = upper[np.concatenate([[True], upper[1:] != upper[:-1]])] if len(upper) else upper
+    at = (mix(distinct) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def _folded(data: bytes, size: int) -> np.ndarray:
+    return np.bitwise_xor.reduce(np.frombuffer(data, np.uint64).reshape(-1, size // 8), axis=0)
+
+
+def promising(sketches: list[bytes], sizes: np.ndarray, percent: int, label: np.ndarray, side: np.ndarray | None = None) -> np.ndarray:
+    """Whether each set may be linked with another of another ``label`` (and ``side``, if given). No set that is is missed.
+
+    Linked sets differ in at most (100 - percent) / (100 + percent) of the sum of their sizes. More than ``SKETCH_SETS``
+    sets are not compared: all may be linked.
+    """
+    if len(sketches) > SKETCH_SETS:
+        return np.ones(len(sketches), bool)
+    widths, found = np.array([len(s) for s in sketches]), np.zeros(len(sketches), bool)
+    for width in np.unique(widths):
+        others = np.flatnonzero((widths >= width) & (percent * sizes <= 100 * sizes[widths == width].max()))
+        maps = np.stack([_folded(sketches[i], width) for i in others])
+        here = np.flatnonzero(widths[others] == width)
+        step = max(1, SKETCH_WORDS // maps.size)
+        for start in range(0, len(here), step):
+            at = here[start : start + step]
+            a, b = others[at], others
+            apart = np.bitwise_count(maps[at][:, None, :] ^ maps[None, :, :]).sum(axis=2, dtype=np.int64)
+            both = sizes[a][:, None] + sizes[b][None, :]
+            near = ((100 + percent) * apart <= (100 - percent) * both) & (label[a][:, None] != label[b][None, :])
+            if side is not None:
+                near &= side[a][:, None] != side[b][None, :]
+            found[a] |= near.any(axis=1)
+            found[b] |= near.any(axis=0)
+    return found
+
+
 def digest(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 
