@@ -96,19 +96,21 @@ def _describe(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
 
 
 def _keys(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The routing keys of each class, one a row, with their size class and how many of that the class can do without."""
+    """The routing keys of each class, one a row, with their size class, how many of that the class can do without, and its size."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         router = Router(percent)
         for batch in _sliced(batches):
-            found = [router.marked_keys(unpacked(h.as_py())) for h in batch.column("hashes")]
+            sets = [unpacked(h.as_py()) for h in batch.column("hashes")]
+            found = [router.marked_keys(h) for h in sets]
             of = np.repeat(np.arange(batch.num_rows), [len(k) for k, _, _ in found])
             columns = [np.concatenate([f[i] for f in found]) if found else np.empty(0) for i in range(3)]
             # 48 bits of a key: another key of the same ones only adds comparisons
             names = (columns[0].astype(np.uint64) >> np.uint64(16)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("class").take(pa.array(of)), pa.array(names, pa.int64()), pa.array(columns[1].astype(np.int32)), pa.array(columns[2].astype(np.int32))],
-                ["class", "key", "size", "spare"])
+                [batch.column("class").take(pa.array(of)), pa.array(names, pa.int64()), pa.array(columns[1].astype(np.int32)), pa.array(columns[2].astype(np.int32)),
+                 pa.array(np.array([len(h) for h in sets], np.int32)).take(pa.array(of))],
+                ["class", "key", "size", "spare", "n"])
 
     return keys
 
@@ -116,21 +118,25 @@ def _keys(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 def _blocks(sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """(leader, class, shared): every two classes that can be linked are together in a leader's block; how many keys led there.
 
+    Under a key, a class meets no other unless the next smaller or the next larger one there is near enough in size.
     A key of more than ``COMMON`` classes, as a passage makes it that many texts hold, is left out by every class that
     has enough others. Linked classes that both leave it out share another key. A leader stands in its own block.
     """
-    schema = "class bigint, key bigint, size int, spare int"
+    schema = "class bigint, key bigint, size int, spare int, n int"
     keyed = sets.select("class", "hashes").mapInArrow(_keys(percent), schema)
     sampled = sets.where(F.pmod("class", F.lit(SAMPLED)) == 0).select("class", "hashes").mapInArrow(_keys(percent), schema)
     counted = sampled.groupBy("key").agg(F.count("*").alias("n"), F.min("class").alias("leader"))
     # at most HOT_KEYS rows; a key that is missed here is only slower
     hot = scratch.keep(counted.where(F.col("n") >= HOT_IN_SAMPLE).orderBy(F.desc("n"), "key").limit(HOT_KEYS).select("key", "leader"))
     marked = keyed.join(F.broadcast(hot), "key", "left")
-    group = Window.partitionBy("key")
+    group, by_size = Window.partitionBy("key"), Window.partitionBy("key").orderBy("n")
     led = marked.where(F.col("leader").isNotNull()).select("leader", "class", "size", "spare", F.lit(True).alias("common"))
+    n = F.col("n").cast("bigint")
+    alike = F.coalesce(100 * F.lag(n).over(by_size) >= percent * n, F.lit(False)) | F.coalesce(100 * n >= percent * F.lead(n).over(by_size), F.lit(False))
     shared = marked.where(F.col("leader").isNull()).select(
-        "class", "size", "spare", F.min("class").over(group).alias("leader"), F.max("class").over(group).alias("last"), F.count("*").over(group).alias("n"))
-    shared = shared.where(F.col("leader") < F.col("last")).select("leader", "class", "size", "spare", (F.col("n") > COMMON).alias("common"))
+        "class", "size", "spare", F.min("class").over(group).alias("leader"), F.max("class").over(group).alias("last"), F.count("*").over(group).alias("held"),
+        alike.alias("alike"))
+    shared = shared.where((F.col("leader") < F.col("last")) & F.col("alike")).select("leader", "class", "size", "spare", (F.col("held") > COMMON).alias("common"))
     met = scratch.keep(led.unionByName(shared))
     many = met.where("common").groupBy("class", "size").agg(F.count("*").alias("k"), F.first("spare").alias("spare"))
     freed = many.where("k <= spare").select("class", "size", F.lit(True).alias("freed"))
