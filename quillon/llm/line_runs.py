@@ -31,7 +31,9 @@ def line_positions(docs: DataFrame, id_column: str, text_column: str) -> DataFra
     parts = docs.select(
         document_key(id_column, text_column).alias("key"), F.col(f"`{id_column}`").alias("id"), F.posexplode(normal_lines(text_of(text_column))).alias("p", "text"))
     rows = parts.select("key", "id", "p", F.unhex(F.md5("text")).alias("line"), count_normal_words(F.col("text")).alias("w"))
-    once = rows.distinct()
+    # told by the documents' keys alone: lines are shuffled twice only where an id and text come again
+    again = docs.groupBy(document_key(id_column, text_column).alias("key")).agg(F.count("*").alias("n")).where("n > 1")
+    once = rows if again.isEmpty() else rows.distinct()
     sofar = Window.partitionBy("key").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
     return once.withColumn("c", F.sum("w").over(sofar))
 
@@ -55,7 +57,8 @@ def first_ranks(lines: DataFrame, scratch: Scratch) -> DataFrame:
     Lines sort by hash; (h, o) is the rank.
     """
     classes = lines.groupBy("line").agg(F.count("*").alias("n")).where("n > 1").withColumn("h", F.xxhash64("line"))
-    ranked = scratch.keep(_ranked(classes.withColumn("b", F.lit(0)), ["h"], F.lit(0), ["line"]).select("line", "h", "o"))
+    before = Window.partitionBy("h").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)  # mostly one line a hash
+    ranked = scratch.keep(classes.select("line", "h", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("o")))
     return scratch.keep(lines.join(ranked, "line").select("key", "id", "p", "w", "c", "h", "o"))
 
 
@@ -68,7 +71,8 @@ def doubled_ranks(ranks: DataFrame, length: int, scratch: Scratch) -> DataFrame:
     ahead = ranks.select("key", (F.col("p") - length).alias("p"), F.col("h").alias("h2"), F.col("o").alias("o2"))
     pairs = scratch.keep(ranks.join(ahead, ["key", "p"]))
     names = ["h", "o", "h2", "o2"]
-    classes = pairs.groupBy(*names).agg(F.count("*").alias("n")).where("n > 1").withColumn("b", F.shiftright("h2", 56))
+    # read twice
+    classes = scratch.keep(pairs.groupBy(*names).agg(F.count("*").alias("n")).where("n > 1").withColumn("b", F.shiftright("h2", 56)))
     renamed = classes.withColumnRenamed("o", "from")
     ranked = _ranked(renamed, ["h", "from"], F.col("from"), ["h2", "o2"])
     fresh = scratch.keep(ranked.select("h", F.col("from").alias("o"), "h2", "o2", F.col("o").alias("rank")))
@@ -148,14 +152,15 @@ def remove_repeated_runs(
     if size <= BROADCAST_LINES:
         found = F.broadcast(found)  # at most BROADCAST_LINES integers
     joined = rows.withColumn("key", document_key(safe[id_column], text_name)).join(found, "key", "left")
-    parts = joined.withColumn("split", F.split(text_of(text_name), "\n"))
+    parts = joined.withColumn("split", F.when(F.col("lines").isNotNull(), F.split(text_of(text_name), "\n")))
     everything = F.sequence(F.lit(0), F.size("split") - 1)
     worded = F.filter(everything, lambda j: has_word(F.get("split", j)))
     listed = parts.withColumn("worded", F.when(F.col("lines").isNotNull(), worded))
     removed = listed.withColumn("removed", F.coalesce(F.transform("lines", lambda p: F.get("worded", p)), F.array().cast("array<int>")))
     left = F.transform(F.array_except(everything, F.col("removed")), lambda j: F.get("split", j))
     text = F.when(F.size("removed") == 0, F.col(text_name).cast("string")).otherwise(F.array_join(left, "\n"))
-    count = F.when(F.col(text_name).isNull(), 0).otherwise(F.size("split")).cast("bigint")
+    breaks = F.octet_length(text_of(text_name)) - F.octet_length(F.replace(text_of(text_name), F.lit("\n"), F.lit("")))
+    count = F.when(F.col(text_name).isNull(), 0).otherwise(breaks + 1).cast("bigint")
     added = {"__n_lines": count, "__removed": F.col("removed"), "__text": text}
     return removed.select(*[F.col(s).alias(c) for c, s in safe.items() if c not in added], *[v.alias(n) for n, v in added.items()])
 
