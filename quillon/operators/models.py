@@ -24,6 +24,7 @@ from quillon.operators.specs import parameters
 FEATURES, LABEL, SCORE = "features", "label", "score"
 DEEPEST_TREE = 30  # the deepest tree Spark grows
 BINS = 32
+ROWS_PER_TASK = 50_000  # of a fit by gradients
 
 
 @dataclass
@@ -61,6 +62,16 @@ def _prepared(train: DataFrame, label: str) -> DataFrame:
     return train.withColumn(label, column(label).cast("double"))
 
 
+def _gathered(train: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """Training rows for a fit by gradients, in no more parts than their number asks for, and that number.
+
+    Such a fit runs a job for every step, some hundred of them. With a few thousand rows a part a step would be mostly the starting of tasks,
+    and of a second stage that adds up their sums.
+    """
+    n = train.count()
+    return _prepared(train, label).coalesce(max(1, -(-n // ROWS_PER_TASK))), n
+
+
 def _tree(train, label, key, spec):
     p = parameters(spec, {"criterion": "gini", "max_depth": None, "min_samples_leaf": 1, "random_state": 0})
     model = DecisionTreeClassifier(
@@ -98,20 +109,22 @@ def _logistic(train, label, key, spec):
     p = parameters(spec, {"penalty": "l2", "C": 1.0, "max_iter": 100, "tol": 1e-4, "fit_intercept": True})
     if p["penalty"] not in ("l1", "l2"):
         raise ValueError("penalty must be 'l1' or 'l2'")
+    rows, n = _gathered(train, label)
     model = LogisticRegression(
-        **_common(label), regParam=1.0 / (p["C"] * max(train.count(), 1)),
+        **_common(label), regParam=1.0 / (p["C"] * max(n, 1)),
         elasticNetParam=1.0 if p["penalty"] == "l1" else 0.0, maxIter=p["max_iter"], tol=p["tol"],
         fitIntercept=p["fit_intercept"], standardization=False, family="binomial",
-    ).fit(_prepared(train, label))
+    ).fit(rows)
     return _with_score(model, _probability())
 
 
 def _svc(train, label, key, spec):
     p = parameters(spec, {"C": 1.0, "max_iter": 1000, "tol": 1e-4, "fit_intercept": True})
+    rows, n = _gathered(train, label)
     model = LinearSVC(
-        **_common(label), regParam=1.0 / (p["C"] * max(train.count(), 1)), maxIter=p["max_iter"], tol=p["tol"],
+        **_common(label), regParam=1.0 / (p["C"] * max(n, 1)), maxIter=p["max_iter"], tol=p["tol"],
         fitIntercept=p["fit_intercept"], standardization=False,
-    ).fit(_prepared(train, label))
+    ).fit(rows)
     return _with_score(model, vector_to_array(F.col("rawPrediction"))[1])
 
 
