@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +24,10 @@ HOT_KEYS = 10_000
 COMMON = 32
 CHUNK_SHINGLES = 400_000
 SLICE_ROWS = 256  # rows described at once: a batch of keys is some hundred times as long as its input
+PASSES = 4  # over the size classes of keys
+BUNDLE_KEYS = 1 << 19  # keys that a task bundles at once
+BUCKET_KEYS = 1 << 17  # keys of a bucket, about
+PLANES = {"key": 6, "class": 8, "size": 4, "spare": 4, "n": 4}  # bytes of each value in a bundle
 
 
 def near_duplicates(
@@ -38,6 +43,7 @@ def near_duplicates(
     2. A class is routed under its pigeonhole keys (``Router``): two linked classes share one at least. The
        smallest class under a key leads it, and the classes led by one form a block; that is all rows of
        a key that ever meet. Keys found hot in a sample take a leader beforehand and skip the shuffle.
+       The others are shuffled in bundles, some size classes after the others (keys of two of them never meet).
     3. A block all of whose classes are also in the block of the leader that its own leader shares most keys with is
        left out: all its pairs meet there. Of the many blocks that near copies of one text form, few are left.
     4. Of a block, sketches of the sets go first (``sketch``): sets that differ too much from all others there, as their
@@ -54,8 +60,9 @@ def near_duplicates(
     id_type = docs.schema[id_column].dataType
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     known = scratch.keep(spread(rows).mapInArrow(_describe(shingle), T.StructType([
-        T.StructField("doc_id", id_type), T.StructField("n_shingles", T.LongType()), T.StructField("set", T.BinaryType()), T.StructField("class", T.LongType())])))
-    classes = scratch.keep(known.where("n_shingles > 0").groupBy("set").agg(F.min("doc_id").alias("first"), F.first("class").alias("class"), F.first("n_shingles").alias("n")))
+        T.StructField("doc_id", id_type), T.StructField("n_shingles", T.LongType()), T.StructField("set", T.BinaryType())])))
+    distinct = known.where("n_shingles > 0").groupBy("set").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"))
+    classes = scratch.keep(distinct.withColumn("class", F.monotonically_increasing_id()))  # a number has fewer bytes to shuffle than a hash
     sets = _sets_of(rows, classes, scratch, shingle)
     work = Scratch(scratch.spark)
     pairs = _unique_blocks(_blocks(sets, work, percent), scratch)
@@ -88,21 +95,23 @@ def _describe(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
                 hashes = shingles(text.as_py(), shingle)
                 sizes.append(len(hashes))
                 sets.append(digest(hashes) if len(hashes) else None)
-            names = [int.from_bytes(s[:8], "little", signed=True) if s else None for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), pa.array(names, pa.int64())], ["doc_id", "n_shingles", "set", "class"])
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary())], ["doc_id", "n_shingles", "set"])
 
     return describe
 
 
-def _keys(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The routing keys of each class, one a row, with their size class, how many of that the class can do without, and its size."""
+def _keys(percent: int, only: Callable[[int], bool] | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The routing keys of each class, one a row, with their size class, how many of that the class can do without, and its size.
+
+    ``only`` says of a size class, by its first size, whether its keys are wanted.
+    """
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         router = Router(percent)
         for batch in _sliced(batches):
             sets = [unpacked(h.as_py()) for h in batch.column("hashes")]
-            found = [router.marked_keys(h) for h in sets]
+            found = [router.marked_keys(h, only) for h in sets]
             of = np.repeat(np.arange(batch.num_rows), [len(k) for k, _, _ in found])
             columns = [np.concatenate([f[i] for f in found]) if found else np.empty(0) for i in range(3)]
             # 48 bits of a key: another key of the same ones only adds comparisons
@@ -124,20 +133,19 @@ def _blocks(sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """
     schema = "class bigint, key bigint, size int, spare int, n int"
     keyed = sets.select("class", "hashes").mapInArrow(_keys(percent), schema)
-    sampled = sets.where(F.pmod("class", F.lit(SAMPLED)) == 0).select("class", "hashes").mapInArrow(_keys(percent), schema)
+    sampled = sets.where(F.pmod(F.xxhash64("class"), F.lit(SAMPLED)) == 0).select("class", "hashes").mapInArrow(_keys(percent), schema)
     counted = sampled.groupBy("key").agg(F.count("*").alias("n"), F.min("class").alias("leader"))
     # at most HOT_KEYS rows; a key that is missed here is only slower
     hot = scratch.keep(counted.where(F.col("n") >= HOT_IN_SAMPLE).orderBy(F.desc("n"), "key").limit(HOT_KEYS).select("key", "leader"))
-    marked = keyed.join(F.broadcast(hot), "key", "left")
-    group, by_size = Window.partitionBy("key"), Window.partitionBy("key").orderBy("n")
-    led = marked.where(F.col("leader").isNotNull()).select("leader", "class", "size", "spare", F.lit(True).alias("common"))
-    n = F.col("n").cast("bigint")
-    alike = F.coalesce(100 * F.lag(n).over(by_size) >= percent * n, F.lit(False)) | F.coalesce(100 * n >= percent * F.lead(n).over(by_size), F.lit(False))
-    shared = marked.where(F.col("leader").isNull()).select(
-        "class", "size", "spare", F.min("class").over(group).alias("leader"), F.max("class").over(group).alias("last"), F.count("*").over(group).alias("held"),
-        alike.alias("alike"))
-    shared = shared.where((F.col("leader") < F.col("last")) & F.col("alike")).select("leader", "class", "size", "spare", (F.col("held") > COMMON).alias("common"))
-    met = scratch.keep(led.unionByName(shared))
+    known = np.sort(np.array([r["key"] for r in hot.collect()], np.int64))
+    total = sets.agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
+    met = []
+    for turn in range(PASSES):
+        met.append(scratch.keep(_met(sets, percent, turn, known, total["n"] or 0, total["most"] or 0)))
+        Scratch(scratch.spark).clear()  # of the shuffle files of this pass
+    if len(known):
+        met.append(scratch.keep(keyed.join(F.broadcast(hot), "key").select("leader", "class", "size", "spare", F.lit(True).alias("common"))))
+    met = reduce(DataFrame.unionByName, met)
     many = met.where("common").groupBy("class", "size").agg(F.count("*").alias("k"), F.first("spare").alias("spare"))
     freed = many.where("k <= spare").select("class", "size", F.lit(True).alias("freed"))
     kept = met.where("NOT common").select("leader", "class").unionByName(
@@ -146,6 +154,94 @@ def _blocks(sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     return counts.unionByName(counts.select("leader", F.col("leader").alias("class"), F.lit(0).cast("bigint").alias("shared")).distinct())
 
 
+def _met(sets: DataFrame, percent: int, turn: int, hot: np.ndarray, shingles_in_all: int, most: int) -> DataFrame:
+    """(leader, class, size, spare, common) of the classes that meet under the keys of the size classes of this ``turn``, but not under ``hot`` ones."""
+    firsts = Router(percent).ranges(most)[turn::PASSES]
+    sizes = reduce(Column.__or__, [F.col("n").between(first, last * 100 // percent) for first, last in firsts], F.lit(False))
+    # a shingle makes half a key or less
+    buckets = int(min(1 << 31, max(1, shingles_in_all // (2 * PASSES * BUCKET_KEYS))))
+    wanted = frozenset(first for first, _ in firsts)
+    bundles = sets.where(sizes).select("class", "hashes").mapInArrow(_bundles(percent, wanted, buckets, hot), f"bucket bigint, {', '.join(f'`{c}` binary' for c in PLANES)}")
+    return bundles.groupBy("bucket").applyInArrow(_led(percent), "leader bigint, class bigint, size int, spare int, common boolean")
+
+
+def _bundles(percent: int, wanted: frozenset[int], buckets: int, hot: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The keys of ``_keys`` but the hot ones, sorted, those of a bucket in one row: a binary per column, in which the first bytes of all values come first.
+
+    A shuffle packs such columns well, as most upper bytes are equal; a row per key would take twice as many bytes, and the more the
+    more parts it is dealt to.
+    """
+
+    def bundled(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        columns = {c: np.concatenate([b.column(c).to_numpy() for b in parts]) for c in PLANES}
+        if len(hot):
+            at = np.minimum(np.searchsorted(hot, columns["key"]), len(hot) - 1)
+            cold = hot[at] != columns["key"]
+            columns = {c: v[cold] for c, v in columns.items()}
+        order = np.argsort(columns["key"])
+        columns = {c: v[order] for c, v in columns.items()}
+        bucket = ((columns["key"].astype(np.uint64) >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(32)
+        names, starts = np.unique(bucket, return_index=True)
+        ends = [*starts[1:], len(bucket)]
+        packs = [pa.array([_planes(v[a:b], PLANES[c]) for a, b in zip(starts, ends, strict=True)] if len(bucket) else [], pa.binary()) for c, v in columns.items()]
+        return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int64)), *packs], ["bucket", *columns])
+
+    def bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in _keys(percent, wanted.__contains__)(batches):
+            held.append(batch)
+            n += batch.num_rows
+            if n >= BUNDLE_KEYS:
+                yield bundled(held)
+                held, n = [], 0
+        if held:
+            yield bundled(held)
+
+    return bundles
+
+
+def _planes(values: np.ndarray, width: int) -> bytes:
+    """The lowest ``width`` bytes of each value: first the highest of all, then the next of all."""
+    return np.ascontiguousarray(values.astype(">i8").view(np.uint8).reshape(-1, 8)[:, 8 - width :].T).tobytes()
+
+
+def _values(data: bytes, width: int) -> np.ndarray:
+    """Values from ``_planes``; those of fewer than six bytes may be negative."""
+    rows = np.frombuffer(data, np.uint8).reshape(width, -1)
+    wide = np.zeros((rows.shape[1], 8), np.uint8)
+    wide[:, 8 - width :] = rows.T
+    found = wide.view(">i8").ravel().astype(np.int64)
+    return found.astype(np.int32).astype(np.int64) if width == 4 else found
+
+
+def _led(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """The rows of a bucket whose key another class has too, one near enough in size next to them, with the key's smallest class."""
+
+    def led(bucket: pa.Table) -> pa.Table:
+        def values(c: str) -> np.ndarray:
+            return np.concatenate([_values(v, PLANES[c]) for v in bucket.column(c).to_pylist()])
+
+        key = values("key")
+        order = np.argsort(key)
+        same = key[order[1:]] == key[order[:-1]]
+        order = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
+        key, size, spare, n, name = key[order], *(values(c)[order] for c in ("size", "spare", "n", "class"))
+        order = np.lexsort((n, key))
+        key, size, spare, n, name = (v[order] for v in (key, size, spare, n, name))
+        same = key[1:] == key[:-1]
+        near = same & (100 * n[:-1] >= percent * n[1:])
+        alike = np.concatenate([near, [False]]) | np.concatenate([[False], near]) if len(key) else np.empty(0, bool)
+        starts = np.flatnonzero(np.concatenate([[True], ~same])) if len(key) else np.empty(0, np.int64)
+        held = np.diff(np.concatenate([starts, [len(key)]])) if len(key) else np.empty(0, np.int64)
+        leader, last = (np.repeat(f.reduceat(name, starts), held) if len(key) else name for f in (np.minimum, np.maximum))
+        keep = alike & (leader < last)
+        return pa.table({
+            "leader": leader[keep], "class": name[keep], "size": size[keep].astype(np.int32), "spare": spare[keep].astype(np.int32),
+            "common": np.repeat(held, held)[keep] > COMMON})
+
+    return led
+
+
 def _sets_of(rows: DataFrame, classes: DataFrame, scratch: Scratch, shingle: int) -> DataFrame:
     """(class, set, n, hashes, sketch) of each class, from its first document."""
     few = small(classes.select("first", "set", "class", "n"))
@@ -249,16 +345,17 @@ def _sets(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _sliced(batches):
-            keep, out, sketches = [], [], []
+            keep, out, sketches, counts = [], [], [], []
             for i, (text, name) in enumerate(zip(batch.column("text"), batch.column("set"), strict=True)):
                 hashes = shingles(text.as_py(), shingle)
                 if len(hashes) and digest(hashes) == name.as_py():
                     keep.append(i)
                     out.append(packed(hashes))
                     sketches.append(sketch(hashes))
+                    counts.append(len(unpacked(out[-1])))  # rarely fewer than before they were cut
             rows = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [rows.column("class"), rows.column("set"), rows.column("n"), pa.array(out, pa.binary()), pa.array(sketches, pa.binary())],
+                [rows.column("class"), rows.column("set"), pa.array(counts, pa.int64()), pa.array(out, pa.binary()), pa.array(sketches, pa.binary())],
                 ["class", "set", "n", "hashes", "sketch"])
 
     return sets

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 
@@ -158,32 +159,36 @@ class Router:
         d = self.differ(n)
         return d + 5 + -(-d * 35 // 100)
 
-    def classes(self, n: int) -> list[tuple[int, int]]:
-        """First and last size of the classes in which n itself or a smaller partner of n lies."""
+    def ranges(self, n: int) -> list[tuple[int, int]]:
+        """First and last size of all classes up to the one of n."""
         least = next((i for i in range(1, 10_000) if self.differ(i)), None)
-        if least is None or n < least:
+        if least is None:
             return []
-        low = -(-n * self.percent // 100)
         out, first = [], least
         while first <= n:
-            last = max(first, first * 3 // 2)
-            if last >= low:
-                out.append((first, last))
-            first = last + 1
+            out.append((first, max(first, first * 3 // 2)))
+            first = out[-1][1] + 1
         return out
 
+    def classes(self, n: int) -> list[tuple[int, int]]:
+        """First and last size of the classes in which n itself or a smaller partner of n lies."""
+        low = -(-n * self.percent // 100)
+        return [(first, last) for first, last in self.ranges(n) if last >= low]
+
     def keys(self, hashes: np.ndarray) -> np.ndarray:
         return self.marked_keys(hashes)[0]
 
-    def marked_keys(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def marked_keys(self, hashes: np.ndarray, only: Callable[[int], bool] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(keys, first size of each key's class, how many keys of that class the set can do without).
 
         A set that has that many keys too many still shares another one with each linked set, if a key is left out by all sets
-        that can do without it. -1: none can be left out.
+        that can do without it. -1: none can be left out. ``only`` says which classes are wanted, by their first size.
         """
         n, out = len(hashes), []
         mixed = None
         for first, last in self.classes(n):
+            if only is not None and not only(first):
+                continue
             if mixed is None:
                 mixed = mix(hashes)
                 sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed)])
