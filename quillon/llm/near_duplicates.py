@@ -124,6 +124,27 @@ def _keys(percent: int, only: Callable[[int], bool] | None = None) -> Callable[[
     return keys
 
 
+def _hot(percent: int, hot: np.ndarray, leaders: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(leader, class, size, spare, keys) of each class: how many of its keys are among the ``hot`` ones (sorted), by their leader and size class.
+
+    A large group of near copies shares most of its keys, which few classes lead: a class is a few rows, however many keys it has.
+    """
+
+    def led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _keys(percent)(batches):
+            key = batch.column("key").to_numpy()
+            at = np.minimum(np.searchsorted(hot, key), len(hot) - 1)
+            own = np.flatnonzero(hot[at] == key)
+            rows = np.stack([leaders[at[own]], *(batch.column(c).to_numpy()[own].astype(np.int64) for c in ("class", "size", "spare"))])
+            found, keys = np.unique(rows, axis=1, return_counts=True)
+            leader, name, size, spare = found
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(leader), pa.array(name), pa.array(size.astype(np.int32)), pa.array(spare.astype(np.int32)), pa.array(keys.astype(np.int64))],
+                ["leader", "class", "size", "spare", "keys"])
+
+    return led
+
+
 def _blocks(sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """(leader, class, shared): every two classes that can be linked are together in a leader's block; how many keys led there.
 
@@ -132,25 +153,25 @@ def _blocks(sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     has enough others. Linked classes that both leave it out share another key. A leader stands in its own block.
     """
     schema = "class bigint, key bigint, size int, spare int, n int"
-    keyed = sets.select("class", "hashes").mapInArrow(_keys(percent), schema)
     sampled = sets.where(F.pmod(F.xxhash64("class"), F.lit(SAMPLED)) == 0).select("class", "hashes").mapInArrow(_keys(percent), schema)
     counted = sampled.groupBy("key").agg(F.count("*").alias("n"), F.min("class").alias("leader"))
     # at most HOT_KEYS rows; a key that is missed here is only slower
     hot = scratch.keep(counted.where(F.col("n") >= HOT_IN_SAMPLE).orderBy(F.desc("n"), "key").limit(HOT_KEYS).select("key", "leader"))
-    known = np.sort(np.array([r["key"] for r in hot.collect()], np.int64))
+    known, leaders = np.array(sorted((r["key"], r["leader"]) for r in hot.collect()), np.int64).reshape(-1, 2).T
     total = sets.agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
     met = []
     for turn in range(PASSES):
-        met.append(scratch.keep(_met(sets, percent, turn, known, total["n"] or 0, total["most"] or 0)))
+        met.append(scratch.keep(_met(sets, percent, turn, known, total["n"] or 0, total["most"] or 0)).withColumn("keys", F.lit(1).cast("bigint")))
         Scratch(scratch.spark).clear()  # of the shuffle files of this pass
     if len(known):
-        met.append(scratch.keep(keyed.join(F.broadcast(hot), "key").select("leader", "class", "size", "spare", F.lit(True).alias("common"))))
+        led = sets.select("class", "hashes").mapInArrow(_hot(percent, known, leaders), "leader bigint, class bigint, size int, spare int, keys bigint")
+        met.append(scratch.keep(led.withColumn("common", F.lit(True))))
     met = reduce(DataFrame.unionByName, met)
-    many = met.where("common").groupBy("class", "size").agg(F.count("*").alias("k"), F.first("spare").alias("spare"))
+    many = met.where("common").groupBy("class", "size").agg(F.sum("keys").alias("k"), F.first("spare").alias("spare"))
     freed = many.where("k <= spare").select("class", "size", F.lit(True).alias("freed"))
-    kept = met.where("NOT common").select("leader", "class").unionByName(
-        met.where("common").join(freed, ["class", "size"], "left").where("freed IS NULL").select("leader", "class"))
-    counts = scratch.keep(kept.where(F.col("leader") != F.col("class")).groupBy("leader", "class").agg(F.count("*").alias("shared")))
+    kept = met.where("NOT common").select("leader", "class", "keys").unionByName(
+        met.where("common").join(freed, ["class", "size"], "left").where("freed IS NULL").select("leader", "class", "keys"))
+    counts = scratch.keep(kept.where(F.col("leader") != F.col("class")).groupBy("leader", "class").agg(F.sum("keys").alias("shared")))
     return counts.unionByName(counts.select("leader", F.col("leader").alias("class"), F.lit(0).cast("bigint").alias("shared")).distinct())
 
 

@@ -109,3 +109,51 @@ def test_classes_have_numbers(spark):
     finally:
         near_duplicates._blocks = plain
     assert len(seen) == 50 and max(seen) < 50
+
+
+def test_hot_keys_are_a_few_rows_a_class(spark, monkeypatch):
+    """Near copies share hundreds of hot keys, which few classes lead: counted in the task, not written out a row a key."""
+    monkeypatch.setattr(near_duplicates, "SAMPLED", 1)
+    rng = np.random.default_rng(7)
+    text = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([text[:i], text[i + 1 :]])) for i in range(40)] + _hashes(30)
+    per_key, kept = _blocks_by_key(sets, 85), []
+
+    class Counted(Scratch):
+        def keep(self, df):
+            found = super().keep(df)
+            if {"leader", "class", "size", "spare", "keys", "common"} == set(df.columns):
+                kept.append((found.count(), found.selectExpr("sum(keys)").first()[0]))
+            return found
+
+    found = near_duplicates._blocks(_table(spark, sets), Counted(spark), 85)
+    assert {(r["leader"], r["class"]): r["shared"] for r in found.collect() if r["leader"] != r["class"]} == per_key
+    rows, keys = kept[-1]
+    assert keys > 40 * 30 and 10 * rows < keys, kept
+
+
+def _blocks_by_key(sets, percent):
+    """{(leader, class): keys} as a row for every hot key gives them."""
+    router, rows = Router(percent), []
+    for name, s in enumerate(sets):
+        h = unpacked(packed(s))
+        rows += [(int(key) >> 16, name, int(first), int(spare), len(h)) for key, first, spare in zip(*router.marked_keys(h), strict=True)]
+    held = defaultdict(list)
+    for r in rows:
+        held[r[0]].append(r)
+    met = []
+    for key, group in held.items():
+        hot = len(group) >= near_duplicates.HOT_IN_SAMPLE
+        group.sort(key=lambda r: r[4])
+        leader = min(r[1] for r in group)
+        for i, r in enumerate(group):
+            near = any(0 <= j < len(group) and 100 * min(r[4], group[j][4]) >= percent * max(r[4], group[j][4]) for j in (i - 1, i + 1))
+            if hot or near and len({g[1] for g in group}) > 1:
+                met.append((leader, *r[1:4], hot or len(group) > near_duplicates.COMMON))
+    common, out = defaultdict(int), defaultdict(int)
+    for _, name, size, _, many in met:
+        common[name, size] += many
+    for leader, name, size, spare, many in met:
+        if leader != name and not (many and common[name, size] <= spare):
+            out[leader, name] += 1
+    return dict(out)
