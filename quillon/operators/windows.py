@@ -44,6 +44,10 @@ class Windows:
         read = self.rows.sparkSession.read.schema(self.rows.schema).parquet(path)
         return Windows(read.select(*[column(c) for c in self.rows.columns]), self.splits)
 
+    def without(self, *names: str) -> Windows:
+        """The windows without some columns, such as the date, which has done its work once rows are placed."""
+        return Windows(self.rows.select(*[column(c) for c in self.rows.columns if c not in names]), self.splits)
+
     def split(self, split_id: int) -> DataFrame:
         """The rows of one split, with ``split_id`` and ``role``."""
         parts = [(F.col(SINCE) <= split_id, "train"), (F.col(TESTED) == split_id, "test")]

@@ -251,6 +251,6 @@ def grid_scores_per_split(spark, sf_dir):
     placed = windows.temporal_windows(
         kept_projects(spark, sf_dir, "projectid", "posted", "price", "grade", funding.LATE), "posted", {"months": 6}, {"days": 60})
     specs = [{"model": "dummy", "strategy": "most_frequent"}, {"model": "dt", "max_depth": 2}]
-    scores = score_grid(placed, specs, funding.LATE, "projectid", ["grade"], features=lambda rows: rows.drop("posted"))
+    scores = score_grid(placed.without("posted"), specs, funding.LATE, "projectid", ["grade"])
     return scores.groupBy("model_id", "split_id").agg(
         F.count(SCORE).alias("n_scores"), F.countDistinct("projectid").alias("n_keys"), F.sum(funding.LATE).alias("n_late"))

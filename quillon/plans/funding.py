@@ -188,4 +188,4 @@ def earlier_scores(
         binned = cut_variable(binned, name, 10, [f"dec{i / 10}" for i in range(10)]).drop(f"{name}_bin")
     dummies = create_dummies_many(binned, [*categories, *deciles])
     placed = consecutive_windows(dummies, date_col, time_length or {"months": 6})
-    return score_grid(placed, specs, label, key, [], parallelism, lambda rows: rows.drop(date_col))
+    return score_grid(placed.without(date_col), specs, label, key, [], parallelism)

@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from quillon.functions import column, numeric_columns
 from quillon.operators.evaluate import THRESHOLDS, evaluate_classifier
-from quillon.operators.features import sparse_encoder
+from quillon.operators.features import category_values, sparse_encoder
 from quillon.operators.models import FEATURES, SCORE, generate_classifier, predict_target_probability
 from quillon.operators.specs import spec_label
-from quillon.operators.splits import SPLIT, test_rows, train_rows
-from quillon.operators.windows import Windows
+from quillon.operators.splits import ROLE, SPLIT, test_rows, train_rows
+from quillon.operators.windows import SINCE, TESTED, Windows
 from quillon.session import Scratch
 
 
@@ -27,21 +27,27 @@ def score_grid(
     """Scores of every specification on every test set: ``model_id, model, split_id, key, score, label``.
 
     Each row is written once, in the folder of its window; a split reads the windows before its boundary. ``features``
-    turns the rows of one split (with ``split_id`` and ``role``) into features; encoders are fitted on the split's
-    own training rows. As in Spark's cross validation, a few fits run side by side, each a distributed job.
+    turns the rows of one split (with ``split_id`` and ``role``) into features; its result is cached, as it may take joins. Without it
+    the stored rows are the features: each step reads the windows and columns it needs, nothing is copied a split, and
+    categories are counted once by window for all splits.
+    Encoders are fitted on the split's own training rows. As in Spark's cross validation, a few fits run side by side, each a distributed job.
     """
     scratch = scratch or Scratch(windows.rows.sparkSession)
     stored = windows.kept(scratch)
+    counts = None
+    if categorical and not features:
+        values = Windows(category_values(stored.rows, categorical, SINCE, TESTED), stored.splits)
+        counts = scratch.keep(values.states({"n": (F.count(F.lit(1)), "sum")}, ["i", "v"]).where(F.col(ROLE) == "train"))
     keep = [column(key), column(label).cast("int").alias(label), FEATURES]
 
-    def prepare(split: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    def prepare(split: int) -> tuple[list[DataFrame], DataFrame, DataFrame]:
         rows = stored.split(split)
-        ready = (features(rows) if features else rows).persist()
+        ready = features(rows).persist() if features else rows
         numeric = [c for c in numeric_columns(ready, booleans=True) if c not in (key, label, SPLIT)]
         numeric += [f.name for f in ready.schema.fields if isinstance(f.dataType, VectorUDT)]  # wide dummies
-        encoder = sparse_encoder(train_rows(ready, split), categorical, numeric)
+        encoder = sparse_encoder(train_rows(ready, split), categorical, numeric, counts=counts.where(F.col(SPLIT) == split) if counts else None)
         train = encoder.transform(train_rows(ready, split)).select(*keep).persist()
-        return ready, train, encoder.transform(test_rows(ready, split)).select(*keep)
+        return [train, *[ready] * bool(features)], train, encoder.transform(test_rows(ready, split)).select(*keep)
 
     def fit_and_score(split: int, train: DataFrame, test: DataFrame, number: int, spec: Mapping) -> DataFrame:
         model = generate_classifier(train, spec, label, key)
@@ -54,8 +60,8 @@ def score_grid(
     with ThreadPoolExecutor(parallelism) as pool:
         started = []
         for split in stored.usable():
-            *cached, test = prepare(split)
-            fits = [pool.submit(fit_and_score, split, cached[1], test, n, spec) for n, spec in enumerate(specs, start=1)]
+            cached, train, test = prepare(split)
+            fits = [pool.submit(fit_and_score, split, train, test, n, spec) for n, spec in enumerate(specs, start=1)]
             started.append((cached, fits))
             if len(started) > 1:  # at most two splits stay cached
                 pieces += _finish(*started.pop(0))
